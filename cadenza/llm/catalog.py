@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from cadenza.llm import nearest
+from cadenza.llm import nearest, percentiles
 
 
 def queries() -> dict:
-    return {"p1_found": nearest.found}
+    return {
+        "p1_found": nearest.found,
+        "p5_percentiles": percentiles.all_percentiles,
+        "p5_combined_days": percentiles.combined_days,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": nearest.FOUND_SQL}
+    return {
+        "p1_found": nearest.FOUND_SQL,
+        "p5_percentiles": percentiles.ALL_SQL,
+        "p5_combined_days": percentiles.COMBINED_SQL,
+    }
