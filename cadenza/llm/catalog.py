@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from cadenza.llm import nearest, percentiles
+from cadenza.llm import encode, nearest, packing, percentiles
+from cadenza.sources.tables import table
+
+
+def _ids(tokenizer: str):
+    return lambda spark, sf_dir: encode.encode_texts(table(spark, sf_dir, "documents"), "doc_id", "text", tokenizer)
 
 
 def queries() -> dict:
@@ -10,6 +15,13 @@ def queries() -> dict:
         "p1_found": nearest.found,
         "p5_percentiles": percentiles.all_percentiles,
         "p5_combined_days": percentiles.combined_days,
+        "p6_ids": _ids("byte_bpe_50k"),
+        "p6_ids_multi": _ids("byte_bpe_multi_50k"),
+        "p6_ids_words": _ids("word_bpe_49k"),
+        "p6_ids_pieces": _ids("piece_bpe_32k"),
+        "p6_decoded": lambda s, d: encode.decoded(table(s, d, "documents"), "byte_bpe_50k"),
+        "p7_containers": packing.containers,
+        "p7_fill": lambda s, d: packing.fill(packing.containers(s, d)),
     }
 
 
@@ -18,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": nearest.FOUND_SQL,
         "p5_percentiles": percentiles.ALL_SQL,
         "p5_combined_days": percentiles.COMBINED_SQL,
+        "p6_decoded": encode.DECODED_SQL,
     }
