@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cadenza.llm import encode, nearest, packing, percentiles
+from cadenza.llm import encode, nearest, packing, percentiles, sentences
 from cadenza.sources.tables import table
 
 
@@ -21,6 +21,7 @@ def queries() -> dict:
         "p6_ids_pieces": _ids("piece_bpe_32k"),
         "p6_decoded": lambda s, d: encode.decoded(table(s, d, "documents"), "byte_bpe_50k"),
         "p7_containers": packing.containers,
+        "p8_found": lambda s, d: sentences.found(table(s, d, "documents")),
         "p7_fill": lambda s, d: packing.fill(packing.containers(s, d)),
     }
 
