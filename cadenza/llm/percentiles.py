@@ -38,28 +38,46 @@ def ordered_long(v: Column) -> Column:
     return F.when(v < 0, -bits).otherwise(bits)
 
 
-def _pass(rows: DataFrame, targets: DataFrame, k: int, how: str) -> DataFrame:
-    """(g, targets) after digit k of 4: each target (prefix, pct, rank) follows the digit that holds its rank.
+def double_of(u: Column) -> Column:
+    """The double that ordered_long maps to u."""
+    bits = F.abs(u)
+    e, m = F.shiftright(bits, 52), bits.bitwiseAND(F.lit((1 << 52) - 1)).cast("double")
+    normal = (1 + m / F.lit(float(1 << 52))) * F.pow(F.lit(2.0), e - 1023)
+    v = F.when(e == 0, m * F.lit(5e-324)).when(e == 2047, F.lit(float("inf"))).otherwise(normal)
+    return F.when(u < 0, -v).otherwise(v)
 
-    rows: g, v and part; counts are made per part and then added up.
+
+def _pass(rows: DataFrame, targets: DataFrame, keys: list[str], percents: tuple[int, ...], k: int, how: str, by_part: bool) -> DataFrame:
+    """keys, n and for each percentile its digits so far and its rank among the values with them, after digit k of 4.
+
+    rows: keys, u and part; with by_part, counts are made per part and then added up.
     """
     shift = 64 - DIGIT_BITS * k
-    u = ordered_long(F.col("v"))
-    prefix = F.lit(0).cast("bigint") if k == 1 else F.shiftright(u, shift + DIGIT_BITS)
-    digit = F.shiftright(u, shift) if k == 1 else F.shiftright(u, shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
-    asked = rows.join(targets.hint(how), "g").select("g", "part", "v", prefix.alias("prefix"), digit.cast("int").alias("digit"), "targets")
-    asked = asked.withColumn("t", F.filter("targets", lambda t: t["prefix"] == F.col("prefix"))).where(F.size("t") > 0)
-    counts = asked.groupBy("g", "prefix", "digit", "part").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("v"), F.any_value("t").alias("t"))
-    counts = counts.groupBy("g", "prefix", "digit").agg(F.sum("c").alias("c"), F.min("v").alias("v"), F.any_value("t").alias("t"))
-    counts = counts.withColumn("upto", F.sum("c").over(W.partitionBy("g", "prefix").orderBy("digit")))
-    hits = counts.withColumn("t", F.explode("t")).where((F.col("upto") >= F.col("t.rank")) & (F.col("upto") - F.col("c") < F.col("t.rank")))
-    step = F.when(F.lit(k == 1), F.col("digit").cast("bigint")).otherwise(F.col("prefix") * (1 << DIGIT_BITS) + F.col("digit"))
-    hit = F.struct(step.alias("prefix"), F.col("t.pct").alias("pct"), (F.col("t.rank") - F.col("upto") + F.col("c")).alias("rank"), "v")
-    return hits.groupBy("g").agg(F.collect_list(hit).alias("targets"))  # one entry a percentile
+    prefix = F.lit(0).cast("bigint") if k == 1 else F.shiftright("u", shift + DIGIT_BITS)
+    digit = F.shiftright("u", shift) if k == 1 else F.shiftright("u", shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
+    asked = rows.join(targets.hint(how), keys).withColumn("prefix", prefix)
+    carried = ["n", *[f"{c}{p}" for p in percents for c in ("digits", "rank")]]
+    if k > 1:
+        asked = asked.where(F.col("prefix").isin(*[F.col(f"digits{p}") for p in percents]))
+    asked = asked.withColumn("digit", digit.cast("int"))
+    keep = [F.any_value(c).alias(c) for c in carried]
+    at = [*keys, "prefix", "digit"]
+    if by_part:
+        asked = asked.groupBy(*at, "part").agg(F.count(F.lit(1)).alias("c"), *keep)
+        counts = asked.groupBy(*at).agg(F.sum("c").alias("c"), *keep)
+    else:
+        counts = asked.groupBy(*at).agg(F.count(F.lit(1)).alias("c"), *keep)
+    counts = counts.withColumn("upto", F.sum("c").over(W.partitionBy(*keys, "prefix").orderBy("digit")))
+    step = F.col("digit").cast("bigint") if k == 1 else F.col("prefix") * (1 << DIGIT_BITS) + F.col("digit")
+    out = [F.any_value("n").alias("n")]
+    for p in percents:
+        hit = (F.col("prefix") == F.col(f"digits{p}")) & (F.col("upto") >= F.col(f"rank{p}")) & (F.col("upto") - F.col("c") < F.col(f"rank{p}"))
+        out += [F.max(F.when(hit, step)).alias(f"digits{p}"), F.max(F.when(hit, F.col(f"rank{p}") - F.col("upto") + F.col("c"))).alias(f"rank{p}")]
+    return counts.groupBy(*keys).agg(*out)
 
 
 def percentiles(values: DataFrame, groups: list[str], value: str, part: str | None = None, percents: tuple[int, ...] = PERCENTS, hot_rows: int = 1_000_000) -> DataFrame:
-    """groups, n and a column pNN for each percent: the smallest value with at least n * percent / 100 values up to it.
+    """groups (as strings), n and a column pNN for each percent: the smallest value with at least n * percent / 100 values up to it.
 
     Null, NaN and negative values are not measurements and are left out; a group
     without any does not come out. Null group values form groups of their own.
@@ -68,33 +86,34 @@ def percentiles(values: DataFrame, groups: list[str], value: str, part: str | No
 
     A group of up to hot_rows rows is read four times from one shuffle by its
     group. A larger group is never gathered: each pass counts it where its rows
-    are and moves at most 2**16 counts a task.
+    are and moves at most 2**16 counts a task and percentile.
     """
-    null_safe = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")) for c in groups]
     v = F.col(value).cast("double")
+    keys = [f"k{i}" for i in range(len(groups))]
     rows = values.where(v.isNotNull() & ~F.isnan(v) & (v >= 0))
-    rows = rows.select(*groups, F.to_json(F.array(*null_safe)).alias("g"), v.alias("v"), (F.lit(0) if part is None else F.col(part)).alias("part"))
-    sizes = rows.groupBy("g", *groups).agg(F.count(F.lit(1)).alias("n"))
+    # keys without nulls: '=' and the value, or '~'
+    cols = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")).alias(k) for c, k in zip(groups, keys)]
+    rows = rows.select(*cols, ordered_long(v).alias("u"), *([] if part is None else [F.col(part).alias("part")]))
     rank = lambda p: F.floor((F.col("n") * p + 99) / 100).cast("bigint")
-    start = F.array(*[F.struct(F.lit(0).cast("bigint").alias("prefix"), F.lit(p).alias("pct"), rank(p).alias("rank"), F.lit(None).cast("double").alias("v")) for p in percents])
-    hot = hot_keys(rows.select("g"), ["g"], hot_rows)
+    first = [c for p in percents for c in (F.lit(0).cast("bigint").alias(f"digits{p}"), rank(p).alias(f"rank{p}"))]
+    hot = hot_keys(rows, keys, hot_rows)
     out = None
     for is_hot in (False, True):
         if is_hot and hot is None:
             continue
         if is_hot:  # at most count / hot_rows groups: small whatever the data
-            mine = rows.join(F.broadcast(hot.select("g")), "g", "left_semi").select("g", "v", "part")
-            targets = hot.select("g", F.col("n_hot").alias("n")).select("g", start.alias("targets"))
+            mine = rows.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
+            targets = hot.select(*keys, F.col("n_hot").alias("n"))
         else:
-            mine = rows if hot is None else rows.join(F.broadcast(hot.select("g")), "g", "left_anti")
-            mine = mine.select("g", "v", "part").repartition("g")
-            targets = mine.groupBy("g").agg(F.count(F.lit(1)).alias("n")).select("g", start.alias("targets"))
+            mine = rows if hot is None else rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+            mine = mine.repartition(*keys)
+            targets = mine.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        targets = targets.select(*keys, "n", *first)
         for k in range(1, 64 // DIGIT_BITS + 1):
-            targets = _pass(mine, targets, k, "broadcast" if is_hot else "shuffle_hash")
+            targets = _pass(mine, targets, keys, percents, k, "broadcast" if is_hot else "shuffle_hash", part is not None)
         out = targets if out is None else out.unionByName(targets)
-    pick = lambda p: F.element_at(F.filter("targets", lambda t: t["pct"] == p), 1)["v"].alias(f"p{p}")
-    picked = out.select("g", *[pick(p) for p in percents])
-    return sizes.join(picked, "g").select(*groups, "n", *[f"p{p}" for p in percents])
+    back = [F.when(F.col(k) != "~", F.substring(F.col(k), 2, 2**31 - 1)).alias(c) for c, k in zip(groups, keys)]
+    return out.select(*back, "n", *[double_of(F.col(f"digits{p}")).alias(f"p{p}") for p in percents])
 
 
 def _measurements(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
