@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.operators import dedupe, intervals, orphans
+from cadenza.plans import queries as core
 from cadenza.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,7 +23,7 @@ def queries() -> dict[str, Query]:
         "p3_found": _tables(orphans.found, "activity_v", "segment_manifest", "story_phrase"),
         "p3_report": lambda s, d: orphans.report(orphans.found(table(s, d, "activity_v"), table(s, d, "segment_manifest"), table(s, d, "story_phrase"))),
         "p4_found": _tables(intervals.found, "word_items", "page_data"),
-    }
+    } | core.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
@@ -31,4 +32,4 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": orphans.FOUND_SQL,
         "p3_report": orphans.REPORT_SQL,
         "p4_found": intervals.FOUND_SQL,
-    }
+    } | core.SQL
