@@ -11,6 +11,7 @@ their container by their rank within their size, which is counted in salted part
 
 from __future__ import annotations
 
+import bisect
 from collections import defaultdict
 
 import numpy as np
@@ -28,6 +29,8 @@ LARGE = 0.3
 GROUPS = 192
 #: Configurations that fill less than this part of a container, as rounded, aren't used.
 FULL = 0.995
+#: Steps of room that configurations are planned in at most; rounded sizes are rounded up to them.
+STEPS = 16_384
 
 
 def linear_groups(sizes: np.ndarray, counts: np.ndarray, k: int) -> list[np.ndarray]:
@@ -38,25 +41,27 @@ def linear_groups(sizes: np.ndarray, counts: np.ndarray, k: int) -> list[np.ndar
 
 
 def _best_pattern(w: np.ndarray, y: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """The configuration of the largest dual value: an unbounded knapsack over the rounded sizes."""
+    """The configuration of the largest dual value: an unbounded knapsack over the rounded sizes.
+
+    Filled in blocks as wide as the least size, since nothing in a block depends on the same block.
+    """
     best, took = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    order = np.argsort(w)
-    ws, ys = w[order], y[order]
-    fits = np.searchsorted(ws, np.arange(capacity + 1), side="right")
-    for c in range(int(ws[0]), capacity + 1):
-        gain = best[c - ws[: fits[c]]] + ys[: fits[c]]
-        j = int(np.argmax(gain))
-        if gain[j] > best[c - 1] + 1e-12:
-            best[c], took[c] = gain[j], j
-        else:
-            best[c] = best[c - 1]
+    width = int(w.min())
+    for low in range(width, capacity + 1, width):
+        room = np.arange(low, min(low + width, capacity + 1))
+        before = room[:, None] - w[None, :]
+        gain = np.where(before >= 0, best[np.maximum(before, 0)] + y, -1.0)
+        j = gain.argmax(axis=1)
+        top = np.maximum.accumulate(np.r_[best[low - 1], gain[np.arange(len(room)), j]])
+        best[room] = top[1:]
+        took[room] = np.where(top[1:] > top[:-1] + 1e-12, j, -1)
     pattern, c = np.zeros(len(w), np.int64), capacity
     while c > 0:
         if took[c] < 0:
             c -= 1
         else:
-            pattern[order[took[c]]] += 1
-            c -= int(ws[took[c]])
+            pattern[took[c]] += 1
+            c -= int(w[took[c]])
     return float(best[capacity]), pattern
 
 
@@ -89,35 +94,45 @@ class Plan:
         self.used: dict[int, int] = defaultdict(int)  # ranks of each size given away
         self.rows: list[tuple[int, int, int, int, int]] = []  # size, from rank, to rank, first container, copies in each
         self.open: dict[int, list[tuple[int, int]]] = defaultdict(list)  # room -> (first container, how many)
+        self.rooms: list[int] = []  # the rooms of open, in order
 
     def put(self, size: int, first: int, many: int, copies: int) -> None:
         lo = self.used[size]
         self.used[size] = lo + many * copies
         self.rows.append((size, lo, lo + many * copies, first, copies))
 
+    def leave(self, room: int, first: int, many: int) -> None:
+        """Containers that have this room left."""
+        if room and not self.open[room]:
+            bisect.insort(self.rooms, room)
+        self.open[room].append((first, many))
+
     def new(self, many: int, content: list[tuple[int, int]]) -> None:
         """many new containers with copies of each size."""
         for size, copies in content:
             self.put(size, self.n, many, copies)
-        self.open[self.capacity - sum(s * c for s, c in content)].append((self.n, many))
+        self.leave(self.capacity - sum(s * c for s, c in content), self.n, many)
         self.n += many
 
     def best_fit(self, size: int, count: int) -> None:
         """count items of one size, each into the container with the least room that takes it, or a new one."""
         while count:
-            room = min((r for r in self.open if r >= size and self.open[r]), default=None)
-            if room is None:
+            at = bisect.bisect_left(self.rooms, size)
+            if at == len(self.rooms):
                 copies = min(self.capacity // size, count)
                 self.new(many := count // copies, [(size, copies)])
                 count -= many * copies
                 continue
+            room = self.rooms[at]
             first, many = self.open[room].pop()
+            if not self.open[room]:
+                self.rooms.pop(at)
             copies = min(room // size, count)
             take = min(many, count // copies)
             if take < many:
-                self.open[room].append((first + take, many - take))
+                self.leave(room, first + take, many - take)
             self.put(size, first, take, copies)
-            self.open[room - copies * size].append((first, take))
+            self.leave(room - copies * size, first, take)
             count -= take * copies
 
 
@@ -132,7 +147,8 @@ def plan(sizes: dict[int, int], capacity: int, groups: int = GROUPS, large: floa
         demand = np.array([counts[m].sum() for m in members], float)
         queues = [[[int(big[i]), int(counts[i])] for i in m] for m in members]
         # fullest configurations first, so that what rounding leaves over is small
-        for pattern, many in sorted(configurations(w, demand, capacity), key=lambda p: -int(p[0] @ w)):
+        unit = -(-capacity // STEPS)
+        for pattern, many in sorted(configurations(-(-w // unit), demand, capacity // unit), key=lambda p: -int(p[0] @ w)):
             if pattern @ w < FULL * capacity:
                 break  # what would leave much room is placed size by size below
             slots = [(int(j), int(pattern[j])) for j in np.flatnonzero(pattern)]
