@@ -87,7 +87,7 @@ WITH i AS (
   SELECT 'word_items' AS src, activity_id, page_index, CAST(round(start * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM word_items
   UNION ALL
   SELECT 'page_data', activity_id, -1, CAST(start_time AS BIGINT), CAST(end_time AS BIGINT) FROM page_data),
-v AS (SELECT * FROM i WHERE activity_id IS NOT NULL AND page_index IS NOT NULL AND e > s),
+v AS (SELECT DISTINCT * FROM i WHERE activity_id IS NOT NULL AND page_index IS NOT NULL AND e > s),
 b AS (SELECT *, max(e) OVER (PARTITION BY src, activity_id, page_index ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM v),
 g AS (SELECT *, sum(CASE WHEN p IS NULL OR s > p THEN 1 ELSE 0 END) OVER (PARTITION BY src, activity_id, page_index ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS n FROM b),
 m AS (SELECT src, activity_id, page_index, n, min(s) AS s, max(e) AS e FROM g GROUP BY ALL),

@@ -57,7 +57,7 @@ def exclusive_quantile(df: DataFrame, keys: list[str], value: Column, k: int, of
 def tumbling(df: DataFrame, time: str, width: str, keys: list[str], value: str) -> DataFrame:
     """keys, window_start, n, total, mean per window of the width; used alike on batches and streams."""
     out = df.groupBy(F.window(time, width).alias("_w"), *keys).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.avg(value).alias("mean"))
-    return out.select(F.col("_w.start").alias("window_start"), *keys, "n", F.round("total", 4).alias("total"), F.round("mean", 6).alias("mean"))
+    return out.select(F.col("_w.start").alias("window_start"), *keys, "n", F.round("total", 4).alias("total"), F.round("mean", 9).alias("mean"))
 
 
 def spine(windows: DataFrame, time: str, step: str, keys: DataFrame) -> DataFrame:

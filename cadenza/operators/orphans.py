@@ -23,14 +23,16 @@ MAX_BITS = 1 << 26
 class KeyFilter:
     """A Bloom filter of keys, tested inside generated code."""
 
-    data: bytes
+    data: bytes | None
 
     @classmethod
     def of(cls, keys: DataFrame, key: str, fpp: float = 0.01, max_bits: int = MAX_BITS) -> KeyFilter:
         """keys: distinct or not; each task fills its own filter and the filters are merged in a tree."""
         spark = keys.sparkSession
         hashed = keys.select(F.xxhash64(key).alias("h"))
-        n = max(1, hashed.agg(F.approx_count_distinct("h")).first()[0])
+        n = hashed.agg(F.approx_count_distinct("h")).first()[0]
+        if not n:
+            return cls(None)
         bits = min(max_bits, max(1024, int(n * 9.6 * 1.1)))
         bloom = hashed._jdf.stat().bloomFilter("h", n, bits)
         out = spark._jvm.java.io.ByteArrayOutputStream()
@@ -39,6 +41,8 @@ class KeyFilter:
 
     def may_hold(self, df: DataFrame, key: Column) -> Column:
         """False only where no parent has this key."""
+        if self.data is None:
+            return F.lit(False)
         spark = df.sparkSession
         jvm = spark._jvm
         utils = jvm.org.apache.spark.sql.classic.ExpressionUtils

@@ -376,11 +376,11 @@ _RUNS = """WITH c AS (SELECT user_id, event_id, ts, event_type, value, CASE WHEN
 r AS (SELECT *, sum(c) OVER (PARTITION BY {keys} ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM c)"""
 
 
-@query(_RUNS.format(src="events", keys="user_id") + " SELECT user_id, CAST(run AS BIGINT) AS run, event_type, count(*) AS n, round(avg(value), 6) AS mean_value FROM r GROUP BY 1, 2, 3")
+@query(_RUNS.format(src="events", keys="user_id") + " SELECT user_id, CAST(run AS BIGINT) AS run, event_type, count(*) AS n, round(avg(value), 9) AS mean_value FROM r GROUP BY 1, 2, 3")
 def run_length_groups(spark, d):
     """Runs of equal consecutive tokens."""
     r = Q.runs(table(spark, d, "events").select("user_id", "ts", "event_id", "event_type", "value"), ["user_id"], ["ts", "event_id"], "event_type", "value", Q.hour_of("ts"))
-    return r.withColumn("mean_value", F.round("mean_value", 6))
+    return r.withColumn("mean_value", F.round("mean_value", 9))
 
 
 _SEGMENTS = "(SELECT user_id, event_id, ts, event_type, value, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS segment FROM events WHERE event_type <> 'signup')"
@@ -397,11 +397,11 @@ def segment_by_separator(spark, d):
 c AS (SELECT *, CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER (PARTITION BY user_id, segment ORDER BY ts, event_id) THEN 1 ELSE 0 END AS c FROM s),
 r AS (SELECT *, sum(c) OVER (PARTITION BY user_id, segment ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM c),
 m AS (SELECT user_id, segment, run, avg(value) AS v FROM r GROUP BY 1, 2, 3)
-SELECT user_id, CAST(segment AS BIGINT) AS segment, count(*) AS n_runs, round(avg(v), 6) AS confidence FROM m GROUP BY 1, 2""")
+SELECT user_id, CAST(segment AS BIGINT) AS segment, count(*) AS n_runs, round(avg(v), 9) AS confidence FROM m GROUP BY 1, 2""")
 def mean_of_means_conf(spark, d):
     e = table(spark, d, "events").where("event_type <> 'signup'").select("user_id", "ts", "event_id", "event_type", "value")
     t = Q.mean_of_means(e, ["user_id"], ["ts", "event_id"], "event_type", "value", "error", Q.hour_of("ts"))
-    return t.select("user_id", F.col("segment").cast("bigint").alias("segment"), "n_runs", F.round("confidence", 6).alias("confidence"))
+    return t.select("user_id", F.col("segment").cast("bigint").alias("segment"), "n_runs", F.round("confidence", 9).alias("confidence"))
 
 
 _ELEMENTS = "|".join(ELEMENTS)
@@ -621,7 +621,7 @@ def phoneme_sub_regex(spark, d):
 # ---- metrics, windows, alarms
 
 
-@query("""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total, round(avg(value), 6) AS mean FROM events GROUP BY 1, 2""")
+@query("""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total, round(avg(value), 9) AS mean FROM events GROUP BY 1, 2""")
 def tumbling_metrics(spark, d):
     return metrics.tumbling(table(spark, d, "events"), "ts", "1 hour", ["event_type"], "value")
 
@@ -752,7 +752,7 @@ def slice_export_plan(spark, d):
     return sinks.export_plan(table(spark, d, "segment_manifest")).select("segment_id", "start_ms", "end_ms")
 
 
-@query("""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total, round(avg(value), 6) AS mean FROM events GROUP BY 1, 2""")
+@query("""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total, round(avg(value), 9) AS mean FROM events GROUP BY 1, 2""")
 def stream_tumbling_equals_batch(spark, d):
     """The same windows from a stream."""
     t = queue.stream_tumbling(spark, f"{d}/events.parquet", "ts", "1 hour", ["event_type"], "value", "40 days")
