@@ -65,7 +65,7 @@ def softmax_max(values: Column) -> Column:
 def renest(flat: Column, sizes: Column) -> Column:
     """The flat array cut into arrays of the given sizes."""
     starts = F.aggregate(sizes, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
-    return F.transform(F.arrays_zip(starts.alias("s"), sizes.alias("n")), lambda p: F.slice(flat, p["s"] + 1, p["n"]))
+    return F.transform(F.arrays_zip(F.slice(starts, F.lit(1), F.size(sizes)).alias("s"), sizes.alias("n")), lambda p: F.slice(flat, p["s"] + 1, p["n"]))
 
 
 def trim_trailing(nested: Column) -> Column:

@@ -1,6 +1,7 @@
 """Alignment of expected and observed sequences: the sequential steps, as Arrow-batched functions.
 
-Rows that need no search (equal sequences, an empty side) never reach Python.
+Rows that need no search (equal sequences, an empty side) are answered by
+column functions and hand empty arrays to Python.
 """
 
 from __future__ import annotations
@@ -154,7 +155,7 @@ def _matches(fn, story: Column, told: Column) -> Column:
     whole = F.transform(story, lambda w: F.lit(1))
     blank = F.array().cast("array<string>")
     trivial = (F.size(story) == 0) | (F.coalesce(F.size(told), F.lit(0)) <= 0)
-    hand = lambda x: F.when(trivial | (story == told), blank).otherwise(x)
+    hand = lambda x: F.coalesce(F.when(~trivial & (story != told), x), blank)
     return F.when(story.isNull(), blank.cast("array<int>")).when(trivial, none).when(story == told, whole).otherwise(run(hand(story), hand(told)))
 
 

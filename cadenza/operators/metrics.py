@@ -17,19 +17,19 @@ def batch_summary(df: DataFrame, keys: list[str], ok: Column, seconds: Column) -
     out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("n_ok"), F.coalesce(F.sum(F.when(ok, seconds)), F.lit(0.0)).alias("total_s"), F.count(F.when(ok, seconds)).alias("_timed"))
     rate = F.col("n_ok") / F.col("n")
     grade = F.when(rate >= 0.95, "excellent").when(rate >= 0.9, "good").when(rate >= 0.8, "fair").otherwise("poor")
-    return out.select(*keys, "n", "n_ok", (F.col("n") - F.col("n_ok")).alias("n_failed"), F.round("total_s", 4).alias("total_s"), F.round(F.try_divide("total_s", "_timed"), 6).alias("mean_s"), F.coalesce(F.floor(F.try_divide(F.col("n_ok"), F.col("total_s") / 60)), F.lit(0)).cast("int").alias("per_minute"), F.round(rate, 6).alias("success_rate"), grade.alias("grade"))
+    return out.select(*keys, "n", "n_ok", (F.col("n") - F.col("n_ok")).alias("n_failed"), F.round("total_s", 6).alias("total_s"), F.round(F.try_divide("total_s", "_timed"), 10).alias("mean_s"), F.coalesce(F.floor(F.try_divide(F.col("n_ok"), F.col("total_s") / 60)), F.lit(0)).cast("int").alias("per_minute"), F.round(rate, 6).alias("success_rate"), grade.alias("grade"))
 
 
 def statistics(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
     """keys, n, mean, stdev (0 under two values), least, most of the non-null values."""
     v = df.select(*keys, value.alias("v")).where("v IS NOT NULL")
-    return v.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("v"), 6).alias("mean"), F.round(F.coalesce(F.stddev_samp("v"), F.lit(0.0)), 6).alias("stdev"), F.min("v").alias("least"), F.max("v").alias("most"))
+    return v.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("v"), 10).alias("mean"), F.round(F.coalesce(F.stddev_samp("v"), F.lit(0.0)), 6).alias("stdev"), F.min("v").alias("least"), F.max("v").alias("most"))
 
 
 def speedups(stats: DataFrame, name: str, baseline: str) -> DataFrame:
     """stats with speedup over the row named baseline (null without one); one scalar, not a join of rows."""
     base = stats.where(F.col(name) == baseline).agg(F.max("mean").alias("_base"))
-    return stats.join(F.broadcast(base)).withColumn("speedup", F.round(F.try_divide("_base", "mean"), 6)).drop("_base")
+    return stats.join(F.broadcast(base)).withColumn("speedup", F.round(F.try_divide("_base", "mean"), 9)).drop("_base")
 
 
 def histogram_ranks(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
@@ -51,7 +51,7 @@ def exclusive_quantile(df: DataFrame, keys: list[str], value: Column, k: int, of
     h = h.withColumn("j", j).withColumn("delta", m * k - F.col("j") * of)
     at = lambda r: F.min(F.when(F.col("upto") >= r, F.col("v")))
     out = h.groupBy(*keys).agg(F.max("n").alias("n"), at(F.col("j")).alias("a"), at(F.col("j") + 1).alias("b"), F.max("delta").alias("d"))
-    return out.select(*keys, "n", F.when(F.col("n") > 1, F.round((F.col("a") * (of - F.col("d")) + F.col("b") * F.col("d")) / of, 6)).alias("q"))
+    return out.select(*keys, "n", F.when(F.col("n") > 1, F.round((F.col("a") * (of - F.col("d")) + F.col("b") * F.col("d")) / of, 10)).alias("q"))
 
 
 def tumbling(df: DataFrame, time: str, width: str, keys: list[str], value: str) -> DataFrame:

@@ -299,7 +299,7 @@ def accuracy_stats(spark, d):
 
 @query("""WITH r AS (SELECT strftime(make_timestamp("timestamp" * 1000000), '%Y-%m-%d') AS day, status = 'processed' AS ok, CASE WHEN NOT isnan(processing_time) AND processing_time >= 0 THEN processing_time END AS t FROM activity_results),
 s AS (SELECT day, count(*) AS n, count(*) FILTER (WHERE ok) AS n_ok, coalesce(sum(t) FILTER (WHERE ok), 0) AS total_s, count(t) FILTER (WHERE ok) AS k FROM r GROUP BY day)
-SELECT day, n, n_ok, n - n_ok AS n_failed, round(total_s, 4) AS total_s, round(total_s / nullif(k, 0), 6) AS mean_s, CAST(coalesce(floor(n_ok / nullif(total_s / 60, 0)), 0) AS INT) AS per_minute, round(n_ok / n, 6) AS success_rate,
+SELECT day, n, n_ok, n - n_ok AS n_failed, round(total_s, 6) AS total_s, round(total_s / nullif(k, 0), 10) AS mean_s, CAST(coalesce(floor(n_ok / nullif(total_s / 60, 0)), 0) AS INT) AS per_minute, round(n_ok / n, 6) AS success_rate,
 CASE WHEN n_ok / n >= 0.95 THEN 'excellent' WHEN n_ok / n >= 0.9 THEN 'good' WHEN n_ok / n >= 0.8 THEN 'fair' ELSE 'poor' END AS grade FROM s""")
 def batch_summary(spark, d):
     day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("timestamp") / 86400).cast("int")).cast("string")
@@ -309,14 +309,14 @@ def batch_summary(spark, d):
 
 @query("""WITH v AS (SELECT processor, processing_time AS v FROM activity_results WHERE NOT isnan(processing_time) AND processing_time >= 0),
 s AS (SELECT processor, count(*) AS n, avg(v) AS mean, coalesce(stddev_samp(v), 0) AS stdev, min(v) AS least, max(v) AS most FROM v GROUP BY processor)
-SELECT processor, n, round(mean, 6) AS mean, round(stdev, 6) AS stdev, least, most, round((SELECT round(mean, 6) FROM s WHERE processor = 'cpu-lambda-x86') / round(mean, 6), 6) AS speedup FROM s""")
+SELECT processor, n, round(mean, 10) AS mean, round(stdev, 6) AS stdev, least, most, round((SELECT round(mean, 10) FROM s WHERE processor = 'cpu-lambda-x86') / round(mean, 10), 9) AS speedup FROM s""")
 def bench_stats(spark, d):
     """Statistics of a processor and its speedup over a baseline."""
     t = table(spark, d, "activity_results")
     return metrics.speedups(metrics.statistics(t, ["processor"], metrics.measured("processing_time")), "processor", "cpu-lambda-x86")
 
 
-@query("""SELECT processor FROM activity_results WHERE NOT isnan(processing_time) AND processing_time >= 0 AND processor IS NOT NULL GROUP BY processor ORDER BY round(avg(processing_time), 6), processor LIMIT 1""")
+@query("""SELECT processor FROM activity_results WHERE NOT isnan(processing_time) AND processing_time >= 0 AND processor IS NOT NULL GROUP BY processor ORDER BY round(avg(processing_time), 10), processor LIMIT 1""")
 def fastest_processor(spark, d):
     s = metrics.statistics(table(spark, d, "activity_results").where("processor IS NOT NULL"), ["processor"], metrics.measured("processing_time"))
     return s.orderBy("mean", "processor").limit(1).select("processor")
@@ -324,7 +324,7 @@ def fastest_processor(spark, d):
 
 @query("""WITH v AS (SELECT processor, processing_time AS v, row_number() OVER (PARTITION BY processor ORDER BY processing_time) AS k, count(*) OVER (PARTITION BY processor) AS n FROM activity_results WHERE NOT isnan(processing_time) AND processing_time >= 0),
 j AS (SELECT processor, n, greatest(1, least(n - 1, (n + 1) * 19 // 20)) AS j FROM v GROUP BY ALL)
-SELECT j.processor, j.n, CASE WHEN j.n > 1 THEN round((max(v) FILTER (WHERE k = j) * (20 - ((j.n + 1) * 19 - j * 20)) + max(v) FILTER (WHERE k = j + 1) * ((j.n + 1) * 19 - j * 20)) / 20, 6) END AS q
+SELECT j.processor, j.n, CASE WHEN j.n > 1 THEN round((max(v) FILTER (WHERE k = j) * (20 - ((j.n + 1) * 19 - j * 20)) + max(v) FILTER (WHERE k = j + 1) * ((j.n + 1) * 19 - j * 20)) / 20, 10) END AS q
 FROM j JOIN v ON v.processor IS NOT DISTINCT FROM j.processor GROUP BY j.processor, j.n, j""")
 def p95_exclusive(spark, d):
     """The 95th percentile by the (n + 1) rule."""
@@ -712,15 +712,15 @@ def redrive_oldest(spark, d):
 # ---- sinks and streams
 
 
-@query("""SELECT strftime(make_timestamp("timestamp" * 1000000), '%Y-%m-%d') AS dt, count(*) AS n, round(sum(CASE WHEN NOT isnan(processing_time) THEN processing_time ELSE 0 END), 4) AS total FROM activity_results GROUP BY 1""")
+@query("""SELECT strftime(make_timestamp("timestamp" * 1000000), '%Y-%m-%d') AS dt, count(*) AS n, round(sum(CASE WHEN NOT isnan(processing_time) THEN processing_time ELSE 0 END), 6) AS total FROM activity_results GROUP BY 1""")
 def partitioned_sink_roundtrip(spark, d):
     """Results written by day and read back with the day from the folder."""
     day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("timestamp") / 86400).cast("int"))
     path = shared_dir(spark, "results")
     t = table(spark, d, "activity_results").withColumn("dt", day.cast("string"))
-    t.select("dt", F.nanvl("processing_time", F.lit(0.0)).alias("processing_time"), "status").repartition("dt").write.partitionBy("dt").json(path)
+    t.select("dt", F.coalesce(F.nanvl("processing_time", F.lit(0.0)), F.lit(0.0)).alias("processing_time"), "status").repartition("dt").write.partitionBy("dt").json(path)
     back = spark.read.schema("processing_time double, status string, dt string").json(path)
-    return back.groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("processing_time"), 4).alias("total"))
+    return back.groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("processing_time"), 6).alias("total"))
 
 
 @query("""WITH c AS (SELECT activity_id AS activityid, max_by(status, ("timestamp", status)) AS status FROM activity_results GROUP BY 1), t AS (SELECT activityid, max(studentid) AS studentid, max(status) AS status FROM activity_v GROUP BY 1)

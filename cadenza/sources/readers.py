@@ -47,7 +47,7 @@ def read_pages(spark: SparkSession, pattern: str) -> DataFrame:
     lines = spark.read.text(pattern, wholetext=True).select("value", F.input_file_name().alias("file"))
     name = F.element_at(F.split("file", "/"), -1)
     rx = r"^(.+)_(\d+)_page\.txt$"
-    words = F.filter(F.transform(F.split("value", r"\r?\n"), F.trim), lambda w: w != "")
+    words = F.filter(F.transform(F.split("value", r"\r?\n"), lambda w: F.trim(w)), lambda w: w != "")
     return lines.where(name.rlike(rx)).select(F.regexp_extract(name, rx, 1).alias("story"), F.regexp_extract(name, rx, 2).cast("int").alias("page_index"), words.alias("words"), F.array_join(words, " ").alias("text"))
 
 
