@@ -30,14 +30,13 @@ def periods_and_gaps(df: DataFrame, keys: list[str], hot_rows: int = 1_000_000,
         ok = ok & F.col(k).isNotNull()
     rows = df.where(ok & (F.col("end_ms") > F.col("start_ms"))).select(*keys, "start_ms", "end_ms")
     hot = hot_keys(rows, keys, hot_rows)
-    if hot is None:
-        rows = rows.withColumn("_slice", F.lit(0).cast("bigint"))
-    else:
+    at = keys
+    if hot is not None:
+        at = [*keys, "_slice"]
         # at most count / hot_rows keys: small whatever the data
         cut = rows.join(F.broadcast(hot.drop("n_hot")), keys).withColumn("_slice", F.floor(F.col("start_ms") / slice_ms))
         cut = cut.groupBy(*keys, "_slice", "start_ms").agg(F.max("end_ms").alias("end_ms")).select(*keys, "start_ms", "end_ms", "_slice")
         rows = rows.join(F.broadcast(hot.drop("n_hot")), keys, "left_anti").withColumn("_slice", F.lit(0).cast("bigint")).unionByName(cut)
-    at = [*keys, "_slice"]
     gap = F.expr("make_interval(0, 0, 0, 0, 0, 0, cast((end_ms - start_ms) as decimal(18, 0)) / 1000)")
     merged = rows.groupBy(*at, F.session_window(F.timestamp_millis("start_ms"), gap).alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
     merged = merged.select(*at, F.unix_millis("_s.start").alias("s"), F.unix_millis("_s.end").alias("e"))
