@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -37,6 +38,7 @@ SPACES = re.compile(r"[\s​⁠﻿]*")
 WORD = re.compile(r"[^\W_]+(?:[-'’·][^\W_]+)*")
 BEFORE = re.compile(r"[\w.\-/’'̀-ͯऀ-ॿ]*$")
 LIST = re.compile(r"[^\S\n\r]*(?:(\d{1,3})[.)]|([^\W\d_])[.)])(?=\s)")
+INNER_END = re.compile(r"[\s”’\"'」』»)）]+$")
 DASH = re.compile(r"[—–]")
 
 
@@ -124,7 +126,7 @@ def _lists(s: str) -> dict[int, int]:
 
 def _says(s: str, a: int) -> bool:
     """Do the words from a on report the quotation before them?"""
-    rest = s[a : a + 90]
+    rest = unicodedata.normalize("NFC", s[a : a + 90])
     stop = re.search(rf"[{re.escape(STRONG)}]|[.](?=\s|$)|[:：]\s*[{re.escape(''.join(QUOTES))}]|[,]\s*[{re.escape(''.join(QUOTES))}]", rest)
     clause = rest[: stop.start()] if stop else rest
     if stop and stop.group()[0] in ":：,":
@@ -161,7 +163,7 @@ def candidates(s: str) -> list[tuple[int, int, tuple[str, ...]]]:
         out.append(_mark(s, i, e, heads))
     for a, b in quotes:
         e = b + 1
-        inner = s[a + 1 : b].rstrip(" \t\r\n”’\"'」』»)）")
+        inner = INNER_END.sub("", s[a + 1 : b])
         nxt = SPACES.match(s, e).end()
         if not inner or inner[-1] not in STRONG + DOTS or any(x < a < y for x, y in brackets + spoken):
             continue
@@ -194,8 +196,6 @@ def candidates(s: str) -> list[tuple[int, int, tuple[str, ...]]]:
 
 @functools.lru_cache(maxsize=4096)
 def _name(c: str) -> str:
-    import unicodedata
-
     return unicodedata.name(c, "")
 
 
@@ -249,9 +249,9 @@ def _mark(s: str, i: int, e: int, heads: set[int]) -> tuple[int, int, tuple[str,
         feats += ["ellipsis", "e_open" if opened and _cased(bare) or kind == "list" else "e_on"]
         return e, start, tuple(feats)
     feats.append("dot")
-    token = BEFORE.search(s[max(0, i - 40) : i]).group()
+    token = unicodedata.normalize("NFC", BEFORE.search(s[max(0, i - 40) : i]).group())
     if glued:
-        plain = re.fullmatch(r"[^\W\d_]{2,}[’'\w]*|\d+|[»”\"')\]]*", token.split(".")[-1]) and "_" not in token and "/" not in token
+        plain = re.fullmatch(r"(?:[^\W\d_]['’])?[^\W\d_]{2,}[’'\-\w]*|\d+|[»”\"')\]]*", token.split(".")[-1]) and "_" not in token and "/" not in token
         following = s[e : e + 2]
         sentence = kind in ("cap", "open") and (kind == "open" or not following[1:2].isupper() and following[1:2] != ".") or (kind == "bare" and not (prev.isalpha() and prev.isascii())) or (kind == "digit" and plain and token.isalpha() and len(token) > 2 and not _abbreviation(token, kind, word))
         if not (plain and sentence and "." not in token) or prev.isspace():
@@ -276,6 +276,9 @@ def _abbreviation(token: str, kind: str, word: str, after: str = "") -> str:
     t = token.lower().strip("’'-(")
     if not t:
         return ""
+    head, _, tail = t.rpartition(".")
+    if len(head.rsplit(".")[-1]) > 2 and head[-1:].isalpha():
+        t = tail  # a sentence begins without a space before the abbreviation
     letters = t.replace(".", "")
     if t in seed.NEVER_LAST or t.split("/")[-1] in seed.NEVER_LAST:
         return "abbr"
@@ -304,7 +307,7 @@ def _quote(s: str, a: int, e: int, start: int, heads: set[int]) -> tuple[int, in
     if kind == "end":
         return e, start, ()
     feats = ["quote"]
-    lead = s[max(0, a - 30) : a].rstrip()
+    lead = unicodedata.normalize("NFC", s[max(0, a - 30) : a]).rstrip()
     said = re.search(r"[\w฀-๿]+$", lead)
     if lead and (lead[-1] in ",:：，،" or (said and said.group().lower() in seed.SPEECH)):
         feats.append("q_told")
