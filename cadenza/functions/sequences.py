@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -84,9 +86,24 @@ def trim_trailing(nested: Column) -> Column:
 
 
 def head_tail(previous: Column, current: Column, following: Column, n: int) -> Column:
-    """The last n entries of the array before, the array, the first n of the array after."""
-    tail = F.when(F.size(previous) > n, F.slice(previous, F.size(previous) - n + 1, F.lit(n))).otherwise(F.coalesce(previous, F.array().cast("array<double>")))
-    return F.concat(tail, current, F.coalesce(F.slice(following, 1, n), F.array().cast("array<double>")))
+    """The last n entries of the array before, the array, the first n of the array after; null neighbours add nothing."""
+    none = F.filter(current, lambda x: F.lit(False))
+    tail = F.when(F.size(previous) > n, F.slice(previous, F.size(previous) - n + 1, F.lit(n))).otherwise(F.coalesce(previous, none))
+    return F.concat(tail, current, F.coalesce(F.slice(following, 1, n), none))
+
+
+def resample(values: Column, length: int) -> Column:
+    """The array linearly interpolated at length evenly spaced places from its first to its last entry; null and empty arrays give an empty one."""
+
+    @F.pandas_udf("array<double>")
+    def interp(s: pd.Series) -> pd.Series:
+        out = []
+        for v in s:
+            v = np.asarray([] if v is None else v, float)
+            out.append(np.interp(np.linspace(0, len(v) - 1, length), np.arange(len(v)), v) if len(v) else v)
+        return pd.Series(out, dtype=object)
+
+    return interp(values)
 
 
 def accepted(item: Column, form: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import folded
+from cadenza.plans.skew import hot_keys
 
 #: Epoch values from here up are milliseconds.
 MILLIS_FROM = 100_000_000_000
@@ -30,6 +31,7 @@ def tag_duplicates(
     row_id: str,
     stored: DataFrame | None = None,
     part_rows: int = 100_000,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """All stored and new rows with ``_keep``: true for exactly one row of each identifier.
 
@@ -41,18 +43,27 @@ def tag_duplicates(
 
     An empty table gives an empty result. Columns of the input called like an
     identifier part are not touched: the parts live in the struct ``_id``, which
-    is dropped again.
+    is dropped again. An identifier with more than hot_rows rows is never
+    shuffled by itself: its rows are marked where they are and go to their parts.
     """
     rows = new if stored is None else stored.unionByName(new, allowMissingColumns=True)
     key = F.struct(*[c.alias(k) for k, c in identifier.items()])
     rows = rows.withColumn("_id", key)
     # combined before the shuffle: a hot identifier is one row a task
     freq = rows.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    # AQE broadcasts the repeated identifiers if they turn out small, else it splits hot partitions of the rows
-    repeated = freq.select(F.col("_id").alias("_rid"), "_n")
+    hot = hot_keys(rows.select("_id"), ["_id"], hot_rows)
     on = F.col("_id") == F.col("_rid")  # structs: null fields compare as equal
-    singles = rows.join(repeated, on, "left_anti").withColumn("_keep", F.lit(True))
-    many = rows.join(repeated, on).withColumn("_part", F.pmod(F.xxhash64(row_id), F.ceil(F.col("_n") / part_rows)))
+    some = rows
+    if hot is not None:  # at most count / hot_rows identifiers: small whatever the data
+        often = F.broadcast(hot.select(F.col("_id").alias("_rid"), F.col("n_hot").alias("_n")))
+        some = rows.join(often, on, "left_anti")
+    # AQE broadcasts the repeated identifiers if they turn out small
+    repeated = freq.select(F.col("_id").alias("_rid"), "_n")
+    singles = some.join(repeated, on, "left_anti").withColumn("_keep", F.lit(True))
+    many = some.join(repeated, on)
+    if hot is not None:
+        many = many.unionByName(rows.join(often, on))
+    many = many.withColumn("_part", F.pmod(F.xxhash64(row_id), F.ceil(F.col("_n") / part_rows)))
     first = many.withColumn("_r1", F.row_number().over(W.partitionBy("_id", "_part").orderBy(*order, row_id)))
     # winners of the parts meet in part -1; the others have lost and stay where they are
     final = first.withColumn("_part", F.when(F.col("_r1") == 1, F.lit(-1)).otherwise(F.col("_part")))
@@ -61,7 +72,7 @@ def tag_duplicates(
     return singles.drop("_id").unionByName(final.drop("_id", "_rid", "_n", "_part", "_r1", "_r2"))
 
 
-def tag_deliveries(new: DataFrame, stored: DataFrame | None = None, part_rows: int = 100_000) -> DataFrame:
+def tag_deliveries(new: DataFrame, stored: DataFrame | None = None, part_rows: int = 100_000, hot_rows: int = 1_000_000) -> DataFrame:
     """Deliveries of job messages with ``_keep``.
 
     Two deliveries are of one message if activity_id and source are equal apart
@@ -78,6 +89,7 @@ def tag_deliveries(new: DataFrame, stored: DataFrame | None = None, part_rows: i
         "delivery_id",
         None if stored is None else stored.where(named),
         part_rows,
+        hot_rows,
     )
 
 

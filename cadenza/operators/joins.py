@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.sequences import accepted, common_length, plain_phrase
 from cadenza.functions.text import folded
+from cadenza.plans.skew import skew_join
 
 
 def with_phrases(activities: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -18,21 +19,21 @@ def with_phrases(activities: DataFrame, phrases: DataFrame) -> DataFrame:
     """
     a = activities.withColumn("_story", folded(F.col("storyid")))
     p = phrases.select(folded(F.col("storyid")).alias("_story"), "phraseindex", "expected_text", "reference_phonemes")
-    return a.join(p, "_story", "left").where(F.col("expected_text").isNotNull()).drop("_story")
+    return skew_join(a, p, ["_story"], "left").where(F.col("expected_text").isNotNull()).drop("_story")
 
 
 def without_phrases(activities: DataFrame, phrases: DataFrame) -> DataFrame:
     """Activities whose story has no phrase."""
     a = activities.withColumn("_story", folded(F.col("storyid")))
     p = phrases.where(F.col("expected_text").isNotNull()).select(folded(F.col("storyid")).alias("_story")).distinct()
-    return a.join(p, "_story", "left_anti").drop("_story")
+    return skew_join(a, p, ["_story"], "left_anti").drop("_story")
 
 
 def dropped_rows(activities: DataFrame, phrases: DataFrame) -> DataFrame:
     """n_activities and n_dropped (without a phrase), in one row."""
     a = activities.withColumn("_story", folded(F.col("storyid")))
     p = phrases.where(F.col("expected_text").isNotNull()).select(folded(F.col("storyid")).alias("_story"), F.lit(True).alias("_has")).distinct()
-    return a.join(p, "_story", "left").agg(F.count(F.lit(1)).alias("n_activities"), F.count_if(F.col("_has").isNull()).alias("n_dropped"))
+    return skew_join(a, p, ["_story"], "left").agg(F.count(F.lit(1)).alias("n_activities"), F.count_if(F.col("_has").isNull()).alias("n_dropped"))
 
 
 def words_in_pages(pages: DataFrame, words: DataFrame, right_ms: int = 1000, bucket_ms: int = 30_000) -> DataFrame:
@@ -54,7 +55,7 @@ def pages_with_phrases(documents: DataFrame, phrases: DataFrame) -> DataFrame:
     """(doc_id, storyid, phraseindex): phrases that occur in a text of their story, compared without case and punctuation."""
     d = documents.where(F.col("text").isNotNull()).select("doc_id", folded(F.col("story_id")).alias("storyid"), plain_phrase(F.col("text")).alias("_page"))
     p = phrases.select(folded(F.col("storyid")).alias("storyid"), "phraseindex", plain_phrase(F.array_join("expected_text", " ")).alias("_phrase")).where("_phrase <> ''").distinct()
-    return d.join(p, "storyid").where(F.instr(F.col("_page"), F.col("_phrase")) > 0).select("doc_id", "storyid", "phraseindex")
+    return skew_join(d, p, ["storyid"]).where(F.instr(F.col("_page"), F.col("_phrase")) > 0).select("doc_id", "storyid", "phraseindex")
 
 
 def accepted_forms(phrases: DataFrame) -> DataFrame:
@@ -81,3 +82,27 @@ def first_page_of(pages: DataFrame) -> DataFrame:
 def absolute_index(pages: DataFrame, relative: int) -> DataFrame:
     """(activity_id, page_index, phrase): the page's phrase index at a 0-based place, null outside."""
     return pages.select("activity_id", "page_index", F.get("phrase_indices", F.lit(relative)).alias("phrase"))
+
+
+def with_fallback(rows: DataFrame, cache: DataFrame, key: str, column: str) -> DataFrame:
+    """rows with column from the cache (one row a key) where it has the key and a value, else their own."""
+    c = cache.select(key, F.col(column).alias("_cached"))
+    return skew_join(rows, c, [key], "left").withColumn(column, F.coalesce("_cached", column)).drop("_cached")
+
+
+def not_done(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """Rows whose key has no output yet; a null key is never done."""
+    return skew_join(rows, done.select(key).distinct(), [key], "left_anti")
+
+
+def with_heads(listing: DataFrame, heads: DataFrame) -> DataFrame:
+    """Objects with the metadata fetched for their key, null where there is none."""
+    return listing.join(heads, "key", "left")
+
+
+def spoken_forms(words: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """words (word) with phonemes of the dictionary (word, phonemes; one row a word), null for unknown words.
+
+    AQE broadcasts the dictionary if it turns out small; hot words are spread.
+    """
+    return skew_join(words, dictionary, ["word"], "left")

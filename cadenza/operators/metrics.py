@@ -60,6 +60,23 @@ def tumbling(df: DataFrame, time: str, width: str, keys: list[str], value: str)
     return out.select(F.col("_w.start").alias("window_start"), *keys, "n", F.round("total", 4).alias("total"), F.round("mean", 9).alias("mean"))
 
 
+def window_quantile(df: DataFrame, time: str, width: str, value: str, q: float) -> DataFrame:
+    """window_start, n, q: the platform's inclusive percentile of a window's samples."""
+    out = df.groupBy(F.window(time, width).alias("_w")).agg(F.count(F.lit(1)).alias("n"), F.round(F.percentile(value, q), 6).alias("q"))
+    return out.select(F.col("_w.start").alias("window_start"), "n", "q")
+
+
+def transfer_stats(df: DataFrame, keys: list[str], ms: Column, size: Column) -> DataFrame:
+    """keys, n, mean_ms and mb_per_s, guarded against no operations and no time."""
+    out = df.groupBy(*keys).agg(F.count(ms).alias("n"), F.sum(ms).alias("_ms"), F.sum(size).alias("_b"))
+    return out.select(*keys, "n", F.round(F.col("_ms") / F.greatest(F.lit(1.0), F.col("n").cast("double")), 6).alias("mean_ms"), F.round(F.col("_b") / 1e6 / F.greatest(F.lit(0.001), F.col("_ms") / 1000), 9).alias("mb_per_s"))
+
+
+def to_target(value: Column, target: float, now: int, least: int, most: int) -> Column:
+    """The number of workers that would bring value to its target, within bounds."""
+    return F.least(F.greatest(F.ceil(value * now / target), F.lit(least)), F.lit(most)).cast("int")
+
+
 def spine(windows: DataFrame, time: str, step: str, keys: DataFrame) -> DataFrame:
     """Every step from the first to the last window for every key."""
     ends = windows.agg(F.min(time).alias("a"), F.max(time).alias("b"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import folded, nonblank
+from cadenza.plans.skew import skew_join, spread
 
 #: Bits of a filter at most (8 MB): what is broadcast is bounded whatever the number of keys. With more keys the
 #: filter lets more references through to the exact join; the result stays the same.
@@ -50,7 +51,7 @@ class KeyFilter:
         return Column(utils.column(test(utils.expression(F.lit(self.data)._jc), utils.expression(F.xxhash64(key)._jc))))
 
 
-def orphans(refs: DataFrame, parents: DataFrame) -> DataFrame:
+def orphans(refs: DataFrame, parents: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
     """The rows of refs (any columns, with ``key`` string and ``at`` timestamp) whose target is not there, with ``state``.
 
     parents: ``key``, ``begins``, ``ends`` (null: for ever), repeated rows allowed;
@@ -58,19 +59,26 @@ def orphans(refs: DataFrame, parents: DataFrame) -> DataFrame:
     never there, but its key exists. state is 'missing' if no row has the key,
     'late' if all rows with it begin after ``at``, otherwise 'deleted'. References
     with a null key or a null time refer to nothing.
-    Empty refs give an empty result; without parents all refs are missing.
+    Empty refs give an empty result; without parents all refs are missing. A
+    column of refs called state is replaced. Keys with more than hot_rows
+    references are spread over tasks.
     """
-    life = parents.where(F.col("key").isNotNull()).select(F.col("key").alias("_key"), "begins", "ends").distinct()
+    life = parents.where(F.col("key").isNotNull()).select(F.col("key").alias("_key"), F.col("begins").alias("_begins"), F.col("ends").alias("_ends")).distinct()
     asked = refs.where(F.col("key").isNotNull() & F.col("at").isNotNull())
     bloom = KeyFilter.of(life, "_key")
     # one pass decides; the two branches are columns of the same rows
     asked = asked.withColumn("_may", bloom.may_hold(asked, F.col("key")))
     definite = asked.where("NOT _may").withColumn("state", F.lit("missing"))
-    there = (F.col("key") == F.col("_key")) & (F.col("begins") <= F.col("at")) & (F.col("ends").isNull() | (F.col("at") < F.col("ends")))
-    absent = asked.where("_may").join(life, there, "left_anti")
-    first = life.groupBy("_key").agg(F.min("begins").alias("_first"))
-    state = F.when(F.col("_key").isNull(), "missing").when(F.col("_first") <= F.col("at"), "deleted").otherwise("late")
-    checked = absent.join(first, F.col("key") == F.col("_key"), "left").withColumn("state", state)
+    first = life.groupBy("_key").agg(F.min("_begins").alias("_first"))
+    left, right, on = spread(asked.where("_may"), life.withColumnRenamed("_key", "key"), ["key"], hot_rows)
+    same = F.lit(True)
+    for k in on:
+        same = same & (left[k] == right[k])
+    there = (F.col("_begins") <= F.col("at")) & (F.col("_ends").isNull() | (F.col("at") < F.col("_ends")))
+    absent = left.join(right, same & there, "left_anti").drop("_salt")
+    state = F.when(F.col("_known").isNull(), "missing").when(F.col("_first") <= F.col("at"), "deleted").otherwise("late")
+    checked = skew_join(absent.withColumn("_key", F.col("key")), first.withColumn("_known", F.lit(True)), ["_key"], "left", hot_rows)
+    checked = checked.withColumn("state", state).drop("_known")
     return definite.drop("_may").unionByName(checked.drop("_may", "_key", "_first"))
 
 
@@ -100,7 +108,7 @@ def found(activity_v: DataFrame, segment_manifest: DataFrame, story_phrase: Data
     known = acts.select(F.col("act").alias("key"), F.col("createdat").alias("begins"), F.lit(None).cast(dict(acts.dtypes)["createdat"]).alias("ends"))
     activities = orphans(segs.drop("phraseindex"), known)
     # the phrase of a segment: by the story of its activity; an unknown activity or story refers to nothing
-    told = segs.where(F.col("phraseindex").isNotNull()).join(acts.where(F.col("story").isNotNull()).select("act", "story"), F.col("key") == F.col("act"))
+    told = skew_join(segs.where(F.col("phraseindex").isNotNull()), acts.where(F.col("story").isNotNull()).select(F.col("act").alias("key"), "story"), ["key"])
     told = told.select("ref_id", _pair(F.col("story"), F.col("phraseindex")).alias("key"), "at")
     spoken = orphans(told, phrases.select(_pair(F.col("story"), F.col("phraseindex")).alias("key"), "begins", "ends"))
     return out(stories, "activity_v", "story_phrase").unionByName(out(activities, "segment_manifest", "activity_v")).unionByName(out(spoken, "segment_manifest", "story_phrase"))

@@ -93,6 +93,21 @@ def audio_key(key: str) -> Column:
     return F.coalesce(F.col(key).contains(".wav") & ~F.col(key).contains("complete"), F.lit(False))
 
 
+def route(tags: str, first: str, second: str) -> Column:
+    """'general' if the tags hold first, else 'partner' if they hold second, else 'error'; null tags are an error."""
+    return F.when(F.array_contains(tags, first), "general").when(F.array_contains(tags, second), "partner").otherwise("error")
+
+
+def length_guard(n: Column, least: int, most: int) -> Column:
+    """'empty', 'short', 'long' or 'ok' for a number of samples; null is empty."""
+    return F.when(F.coalesce(n, F.lit(0)) <= 0, "empty").when(n > most, "long").when(n < least, "short").otherwise("ok")
+
+
+def sampled(df: DataFrame, key: str, per_mille: int) -> DataFrame:
+    """Rows whose key falls into a fixed part: metric sampling where the part is the feature, alike in every run."""
+    return df.where(F.pmod(F.xxhash64(key), F.lit(1000)) < per_mille)
+
+
 def segment_violations() -> dict[str, Column]:
     """Broken rules of a segment row, by name; null values break their rule."""
     bad = lambda c: ~F.coalesce(c, F.lit(False))

@@ -148,7 +148,7 @@ def literal_list_parse(spark, d):
 ON {FOLD.format(c='a.storyid')} = {FOLD.format(c='p.storyid')} WHERE p.expected_text IS NOT NULL""")
 def left_join_notnull(spark, d):
     """Activities with the phrases of their story."""
-    return joins.with_phrases(table(spark, d, "activity_v"), table(spark, d, "story_phrase")).select("activityid", "status", "phraseindex", F.size("expected_text").alias("n_words"))
+    return joins.with_phrases(table(spark, d, "activity_v"), table(spark, d, "story_phrase")).select("activityid", "status", "phraseindex", F.size("expected_text").cast("bigint").alias("n_words"))
 
 
 @query(f"""SELECT count(*) AS n_activities, count(*) FILTER (WHERE NOT coalesce({STORY} IN (SELECT {STORY} FROM story_phrase WHERE storyid IS NOT NULL), false)) AS n_dropped FROM activity_v""")
@@ -769,3 +769,139 @@ def dlq_split(spark, d):
     good = spark.read.schema(readers.JOB).parquet(f"{base}/good").select(F.lit("good").alias("kind"))
     bad = spark.read.schema("value string, reason string").parquet(f"{base}/bad").select(F.col("reason").alias("kind"))
     return good.unionByName(bad).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- further operators of the survey
+
+
+@query(f"""SELECT {STORY} AS story, phraseindex, len(expected_text) AS n_words, CAST(row_number() OVER (PARTITION BY {STORY} ORDER BY phraseindex, len(expected_text)) - 1 AS INT) AS place FROM story_phrase""")
+def columnar_pivot(spark, d):
+    """Grouped lists turned back into rows."""
+    item = F.struct("phraseindex", F.size("expected_text").alias("n"))
+    g = table(spark, d, "story_phrase").groupBy(folded(F.col("storyid")).alias("story")).agg(F.array_sort(F.collect_list(item)).alias("l"))
+    g = g.select("story", F.transform("l", lambda x: x["phraseindex"]).alias("i"), F.transform("l", lambda x: x["n"]).alias("n"))
+    return g.select("story", F.posexplode(F.arrays_zip("i", "n")).alias("place", "x")).select("story", F.col("x.i").alias("phraseindex"), F.col("x.n").cast("bigint").alias("n_words"), "place")
+
+
+@query("""SELECT delivery_id, coalesce(a.studentid, j.student_id) AS student_id FROM job_messages j LEFT JOIN (SELECT activityid, max(studentid) AS studentid FROM activity_v GROUP BY 1) a ON a.activityid = j.activity_id""")
+def lookup_fallback(spark, d):
+    """A value from a table of known activities, else from the message."""
+    known = table(spark, d, "activity_v").groupBy(F.col("activityid").alias("activity_id")).agg(F.max("studentid").alias("student_id"))
+    return joins.with_fallback(table(spark, d, "job_messages").select("delivery_id", "activity_id", "student_id"), known, "activity_id", "student_id").select("delivery_id", "student_id")
+
+
+@query("""SELECT activityid AS activity_id, status FROM activity_v WHERE activityid NOT IN (SELECT activity_id FROM activity_results WHERE activity_id IS NOT NULL)""")
+def skip_existing(spark, d):
+    rows = table(spark, d, "activity_v").select(F.col("activityid").alias("activity_id"), "status")
+    return joins.not_done(rows, table(spark, d, "activity_results"), "activity_id")
+
+
+@query("""WITH z AS (SELECT expected_text, reference_phonemes, unnest(generate_series(1, least(len(expected_text), len(reference_phonemes)))) AS i FROM story_phrase WHERE expected_text IS NOT NULL AND reference_phonemes IS NOT NULL),
+dict AS (SELECT expected_text[i] AS word, min(reference_phonemes[i]) AS phonemes FROM z WHERE expected_text[i] < 'n' GROUP BY 1 HAVING min(reference_phonemes[i]) IS NOT NULL),
+w AS (SELECT activity_id, page_index, unnest(string_split(array_to_string(phrases, ' '), ' ')) AS word FROM page_data WHERE len(phrases) > 0)
+SELECT activity_id, page_index, count(*) AS n_words, count(phonemes) AS n_known FROM w LEFT JOIN dict USING (word) GROUP BY 1, 2""")
+def dictionary_join(spark, d):
+    """Words of pages with their phonetic forms."""
+    n = F.least(F.size("expected_text"), F.size("reference_phonemes"))
+    z = table(spark, d, "story_phrase").where(n >= 0).select(F.explode(F.arrays_zip(F.slice("expected_text", F.lit(1), n).alias("word"), F.slice("reference_phonemes", F.lit(1), n).alias("p"))).alias("x"))
+    words = z.where("x.word < 'n'").groupBy("x.word").agg(F.min("x.p").alias("phonemes")).where("phonemes IS NOT NULL")
+    w = table(spark, d, "page_data").where(F.size("phrases") > 0).select("activity_id", "page_index", F.explode(F.split(F.array_join("phrases", " "), " ")).alias("word"))
+    return joins.spoken_forms(w, words).groupBy("activity_id", "page_index").agg(F.count(F.lit(1)).alias("n_words"), F.count("phonemes").alias("n_known"))
+
+
+@query(f"""SELECT activityid, count(ms) AS n, round(sum(ms) / greatest(1, count(ms)), 6) AS mean_ms, round(sum(b) / 1e6 / greatest(0.001, sum(ms) / 1000), 9) AS mb_per_s
+FROM (SELECT activityid, end_ms - start_ms AS ms, (end_ms - start_ms) * 32 AS b FROM segment_manifest) GROUP BY 1""")
+def transfer_stats(spark, d):
+    ms = F.col("end_ms") - F.col("start_ms")
+    return metrics.transfer_stats(table(spark, d, "segment_manifest"), ["activityid"], ms, ms * 32)
+
+
+@query("SELECT activity_id, CAST(sum(coalesce(len(phrases), 0)) AS BIGINT) AS n_aligned FROM page_data GROUP BY 1")
+def total_aligned(spark, d):
+    return table(spark, d, "page_data").groupBy("activity_id").agg(F.sum(F.coalesce(F.size("phrases"), F.lit(0))).alias("n_aligned"))
+
+
+@query("SELECT segment_id, CASE WHEN coalesce((end_ms - start_ms) * 16, 0) <= 0 THEN 'empty' WHEN (end_ms - start_ms) * 16 > 100000 THEN 'long' WHEN (end_ms - start_ms) * 16 < 32000 THEN 'short' ELSE 'ok' END AS guard FROM segment_manifest")
+def length_guards(spark, d):
+    """Samples of a segment at 16 kHz within bounds."""
+    n = (F.col("end_ms") - F.col("start_ms")) * 16
+    return table(spark, d, "segment_manifest").select("segment_id", select.length_guard(n, 32_000, 100_000).alias("guard"))
+
+
+@query("""SELECT storyid, phraseindex, CASE WHEN list_contains(expected_text, 'the') THEN 'general' WHEN list_contains(expected_text, 'because') THEN 'partner' ELSE 'error' END AS route FROM story_phrase""")
+def tag_routes(spark, d):
+    """Routing by tags, in order of precedence."""
+    return table(spark, d, "story_phrase").select("storyid", "phraseindex", select.route("expected_text", "the", "because").alias("route"))
+
+
+@query("""WITH r AS (SELECT time_bucket(INTERVAL 1 HOUR, make_timestamp("timestamp" * 1000000)) AS window_start, status = 'processed' AS ok, CASE WHEN NOT isnan(processing_time) AND processing_time >= 0 THEN processing_time END AS t FROM activity_results)
+SELECT window_start, count(*) AS n_enqueued, count(*) FILTER (WHERE ok) AS n_completed, count(*) FILTER (WHERE NOT ok) AS n_failed, 0 AS n_rejected, round(avg(t), 10) AS mean_s FROM r GROUP BY 1""")
+def hourly_summary(spark, d):
+    """Job summaries per hour; what was enqueued is what completed or failed."""
+    t = table(spark, d, "activity_results").select(F.timestamp_seconds("timestamp").alias("ts"), (F.col("status") == "processed").alias("ok"), metrics.measured("processing_time").alias("t"))
+    g = t.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n_enqueued"), F.count_if("ok").alias("n_completed"), F.count_if(~F.col("ok")).alias("n_failed"), F.round(F.avg("t"), 10).alias("mean_s"))
+    # the hour in UTC, whatever the session's time zone
+    start = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("w.start").cast("timestamp_ntz"))
+    return g.select(start.alias("window_start"), "n_enqueued", "n_completed", "n_failed", F.lit(0).alias("n_rejected"), "mean_s")
+
+
+@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS n, round(quantile_cont(value, 0.95), 6) AS q FROM events GROUP BY 1")
+def window_p95(spark, d):
+    return metrics.window_quantile(table(spark, d, "events"), "ts", "1 hour", "value", 0.95)
+
+
+@query(f"WITH {_HOURS} SELECT h AS window_start, CAST(least(greatest(ceil(n * 4 / 3.0), 1), 10) AS INT) AS workers FROM w")
+def target_tracking(spark, d):
+    return _hours(spark, d).select("window_start", metrics.to_target(F.col("n"), 3.0, 4, 1, 10).alias("workers"))
+
+
+@query("""WITH r AS (SELECT strftime(make_timestamp("timestamp" * 1000000), '%Y-%m-%d') AS day, status = 'processed' AS ok FROM activity_results), s AS (SELECT day, count(*) AS n, count(*) FILTER (WHERE ok) AS k FROM r GROUP BY 1)
+SELECT day, day || ' ' || k || '/' || n || ' ' || format('{:.1f}', round(k / n, 6) * 100) || '% ' || CASE WHEN k / n >= 0.95 THEN 'excellent' WHEN k / n >= 0.9 THEN 'good' WHEN k / n >= 0.8 THEN 'fair' ELSE 'poor' END AS text FROM s""")
+def notification_text(spark, d):
+    return sinks.summary_text(batch_summary(spark, d), "day")
+
+
+@query("""SELECT j.delivery_id, r.n AS n_results FROM job_messages j JOIN (SELECT correlation_id, activity_id, count(*) AS n FROM activity_results WHERE correlation_id IS NOT NULL GROUP BY 1, 2) r ON r.activity_id = j.activity_id""")
+def correlated_results(spark, d):
+    """Messages with the results that carry a correlation id of their activity."""
+    r = table(spark, d, "activity_results").where("correlation_id IS NOT NULL").groupBy("correlation_id", "activity_id").agg(F.count(F.lit(1)).alias("n_results"))
+    return table(spark, d, "job_messages").select("delivery_id", "activity_id").join(r, "activity_id").select("delivery_id", "n_results")
+
+
+@query()
+def sampled_metrics(spark, d):
+    """A fixed tenth of the metric samples: sampling is the feature."""
+    return select.sampled(table(spark, d, "events"), "event_id", 100)
+
+
+@query()
+def resampled_vectors(spark, d):
+    """Vectors interpolated to another length."""
+    return table(spark, d, "embeddings").select("vec_id", S.resample(F.col("embedding"), 24).alias("x")).select("vec_id", F.size("x").alias("n"), F.round(F.get("x", F.lit(0)), 6).alias("first"))
+
+
+@query(f"""WITH o AS (SELECT {STORY} AS story, phraseindex, max(expected_text) AS w FROM story_phrase WHERE phraseindex IS NOT NULL AND expected_text IS NOT NULL GROUP BY 1, 2)
+SELECT o.story, o.phraseindex, array_to_string(list_concat(list_concat(coalesce(a.w[-2:], []), o.w), coalesce(b.w[1:2], [])), ' ') AS text FROM o LEFT JOIN o a ON a.story = o.story AND a.phraseindex = o.phraseindex - 1 LEFT JOIN o b ON b.story = o.story AND b.phraseindex = o.phraseindex + 1""")
+def padded_phrases(spark, d):
+    """A phrase with the end of the one before and the head of the one after."""
+    t = table(spark, d, "story_phrase").where(F.col("expected_text").isNotNull()).select(folded(F.col("storyid")).alias("story"), "phraseindex", F.col("expected_text").alias("w"))
+    n = joins.neighbours(t, ["story"], "phraseindex", "w")
+    return n.select("story", "phraseindex", F.array_join(S.head_tail(F.col("previous"), F.col("w"), F.col("following"), 2), " ").alias("text"))
+
+
+@query("SELECT phraseindex AS \"phraseIndex\", activityid AS \"activityId\", start_ms, end_ms, s3_uri FROM segment_manifest")
+def manifest_roundtrip(spark, d):
+    """Segment rows written as a JSON manifest and read back."""
+    path = shared_dir(spark, "manifest")
+    t = table(spark, d, "segment_manifest").withColumnsRenamed({"activityid": "activityId", "phraseindex": "phraseIndex"})
+    sinks.write_manifest(t, path)
+    return readers.read_manifest(spark, path).select("activityId", "phraseIndex", "start_ms", "end_ms", "s3_uri")
+
+
+@query("SELECT s3_uri AS key, CASE WHEN end_ms IS NOT NULL THEN 'wav' END AS kind FROM segment_manifest")
+def object_heads(spark, d):
+    """Objects with the metadata that was fetched for some of them."""
+    t = table(spark, d, "segment_manifest")
+    listing = t.select(F.col("segment_id").alias("key"), F.col("s3_uri").alias("uri"))
+    heads = t.where("end_ms IS NOT NULL").select(F.col("segment_id").alias("key"), F.lit("wav").alias("kind"))
+    return joins.with_heads(listing, heads).select(F.col("uri").alias("key"), "kind")

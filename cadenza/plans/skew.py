@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pyspark.sql.types as T
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Parts that rows with a null key, which meet nothing in a join, are spread over.
+NULL_PARTS = 256
+
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
     """The keys with more than hot_rows rows and their count ``n_hot``, or None if there are none.
@@ -24,3 +28,32 @@ def same_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     for k in keys:
         out = out & a[k].eqNullSafe(b[k])
     return out
+
+
+def spread(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides ready to be joined on the returned columns: keys, and a salt where left has hot keys.
+
+    The skew join of adaptive execution needs both sides to come straight from
+    a shuffle; after an aggregation or before another operator on the same key
+    it does nothing. Here the rows of a left key with more than hot_rows rows
+    are spread over parts of about hot_rows, and the right rows of that key are
+    repeated once a part. Meant for right sides with few rows a key.
+    """
+    hot = hot_keys(left.select(*keys), keys, hot_rows)
+    if hot is None:
+        return left, right, keys
+    # at most count(left) / hot_rows keys: small whatever the data
+    parts = F.broadcast(hot.select(*keys, F.ceil(F.col("n_hot") / hot_rows).cast("bigint").alias("_parts")))
+    lost = F.lit(False)
+    for k in keys:
+        lost = lost | F.col(k).isNull()
+    hashed = F.xxhash64(*[f.name for f in left.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+    big = left.withColumn("_hash", hashed).join(parts, keys, "left").withColumn("_salt", F.pmod("_hash", F.when(lost, F.lit(NULL_PARTS)).otherwise(F.coalesce("_parts", F.lit(1))).cast("bigint")))
+    small = right.join(parts, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1).cast("bigint")) - 1)))
+    return big.drop("_parts", "_hash"), small.drop("_parts"), [*keys, "_salt"]
+
+
+def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", hot_rows: int = 1_000_000) -> DataFrame:
+    """left.join(right, keys, how) for inner, left, left_semi and left_anti, with hot left keys spread."""
+    a, b, on = spread(left, right, keys, hot_rows)
+    return a.join(b, on, how).drop("_salt")

@@ -28,6 +28,11 @@ def upserted(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return both.select(key, *cols)
 
 
+def write_manifest(df: DataFrame, path: str) -> None:
+    """Segment rows as JSON lines, read back by read_manifest."""
+    df.select("activityId", "phraseIndex", "start_ms", "end_ms", "s3_uri").write.mode("overwrite").json(path)
+
+
 def write_ids(df: DataFrame, column: str, path: str) -> None:
     """Distinct ids in order, as one CSV file with a header. For exports a reader opens whole."""
     df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).coalesce(1).write.mode("overwrite").option("header", True).option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
@@ -50,6 +55,12 @@ def report_lines(words: DataFrame) -> DataFrame:
     return words.select(F.format_string("%s %s %s %.3f", F.rpad("word", 16, " "), F.rpad(F.col("a").cast("string"), 4, " "), F.rpad(F.col("b").cast("string"), 4, " "), F.col("confidence").cast("double")).alias("line"))
 
 
+def summary_text(summary: DataFrame, name: str) -> DataFrame:
+    """name, text: one message a summary row (n, n_ok, success_rate, grade), ready for a notifier."""
+    rate = F.format_number(F.col("success_rate") * 100, 1)
+    return summary.select(name, F.concat_ws(" ", F.col(name), F.concat(F.col("n_ok").cast("string"), F.lit("/"), F.col("n").cast("string")), F.concat(rate, F.lit("%")), F.col("grade")).alias("text"))
+
+
 def append_metrics(df: DataFrame, path: str) -> None:
     """Metric samples (ts, namespace, metric, value, dims) to a table by day."""
     df.withColumn("dt", F.date_format("ts", "yyyy-MM-dd")).write.mode("append").partitionBy("dt").parquet(path)

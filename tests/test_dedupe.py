@@ -34,8 +34,8 @@ def rows_of(n, seed):
 def test_found_is_brute_force(spark):
     rows = rows_of(800, 1)
     df = spark.createDataFrame(rows, SCHEMA)
-    for part_rows in (100_000, 7):
-        got = dedupe.tag_deliveries(df.drop("_keep"), part_rows=part_rows).where("NOT _keep").collect()
+    for sizes in ({}, {"part_rows": 7}, {"part_rows": 7, "hot_rows": 30}, {"hot_rows": 1}):
+        got = dedupe.tag_deliveries(df.drop("_keep"), **sizes).where("NOT _keep").collect()
         assert {r.delivery_id for r in got} == brute(rows)
     assert {r[0] for r in dedupe.found(df).collect()} == brute(rows)
 
