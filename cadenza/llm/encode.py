@@ -19,6 +19,8 @@ import pyspark.sql.types as T
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.plans.skew import skew_join
+
 #: Folder of the vocabulary files, on every executor.
 FOLDER = "/opt/tokenizers"
 # Fixed value: the pre-tokenising pattern of the byte-level vocabularies.
@@ -121,7 +123,7 @@ def _pieces(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
     return both.select("digest", "j", F.col("text").substr(F.col("a") + 1, F.get("cuts", F.col("j") + 1) - F.col("a")).alias("piece")).repartition("digest", "j")
 
 
-def encode_texts(df: DataFrame, row_id: str, text: str, tokenizer: str, folder: str = FOLDER, count: bool = False, chunk: int = 4096, overlap: int = 256) -> DataFrame:
+def encode_texts(df: DataFrame, row_id: str, text: str, tokenizer: str, folder: str = FOLDER, count: bool = False, chunk: int = 4096, overlap: int = 256, hot_rows: int = 1_000_000) -> DataFrame:
     """(row_id, ids), or (row_id, n_tokens) with count, of every row of df.
 
     Null and empty texts have the empty list (0 tokens). Repeated rows and
@@ -146,7 +148,8 @@ def encode_texts(df: DataFrame, row_id: str, text: str, tokenizer: str, folder:
         whole = done.groupBy("digest").agg(F.sum(name).cast("int").alias(name))
     else:
         whole = done.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("j", name))).alias("p")).select("digest", F.flatten(F.transform("p", lambda x: x[name])).alias(name))
-    return short.unionByName(long.select(row_id, "digest").join(whole, "digest").select(row_id, name))
+    # copies of one text may be many: their rows are spread
+    return short.unionByName(skew_join(long.select(row_id, "digest"), whole, ["digest"], hot_rows=hot_rows).select(row_id, name))
 
 
 def decode(ids: Column, tokenizer: str, folder: str = FOLDER) -> Column:

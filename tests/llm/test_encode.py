@@ -45,4 +45,6 @@ def test_repeated_and_null_ids_and_empty(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None), (2, "q w " * 3000), (2, "q w " * 3000)], "doc_id long, text string")
     got = sorted((r.doc_id or 0, len(r.ids)) for r in E.encode_texts(df, "doc_id", "text", "byte_bpe_50k").collect())
     assert [x for x, _ in got] == [0, 1, 1, 2, 2] and got[0][1] == 0 and got[3] == got[4]
+    spread = E.encode_texts(df, "doc_id", "text", "byte_bpe_50k", hot_rows=1)
+    assert sorted((r.doc_id or 0, len(r.ids)) for r in spread.collect()) == got
     assert E.encode_texts(df.limit(0), "doc_id", "text", "byte_bpe_50k").count() == 0
