@@ -27,9 +27,9 @@ def statistics(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
 
 
 def speedups(stats: DataFrame, name: str, baseline: str) -> DataFrame:
-    """stats with speedup over the row named baseline (null without one); one scalar, not a join of rows."""
-    base = stats.where(F.col(name) == baseline).agg(F.max("mean").alias("_base"))
-    return stats.join(F.broadcast(base)).withColumn("speedup", F.round(F.try_divide("_base", "mean"), 9)).drop("_base")
+    """stats with speedup over the row named baseline (null without one), by a scalar subquery."""
+    base = stats.where(F.col(name) == baseline).agg(F.max("mean")).scalar()
+    return stats.withColumn("speedup", F.round(F.try_divide(base, F.col("mean")), 9))
 
 
 def histogram_ranks(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
@@ -77,11 +77,10 @@ def to_target(value: Column, target: float, now: int, least: int, most: int) ->
     return F.least(F.greatest(F.ceil(value * now / target), F.lit(least)), F.lit(most)).cast("int")
 
 
-def spine(windows: DataFrame, time: str, step: str, keys: DataFrame) -> DataFrame:
-    """Every step from the first to the last window for every key."""
+def spine(windows: DataFrame, time: str, step: str) -> DataFrame:
+    """Every step from the first to the last window."""
     ends = windows.agg(F.min(time).alias("a"), F.max(time).alias("b"))
-    steps = ends.select(F.explode(F.sequence("a", "b", F.expr(f"INTERVAL {step}"))).alias(time))
-    return keys.crossJoin(F.broadcast(steps)) if keys is not None else steps
+    return ends.select(F.explode(F.sequence("a", "b", F.expr(f"INTERVAL {step}"))).alias(time))
 
 
 def breaches(windows: DataFrame, time: str, step: str, breach: Column, periods: int, missing: bool) -> DataFrame:
@@ -90,7 +89,7 @@ def breaches(windows: DataFrame, time: str, step: str, breach: Column, periods:
     missing: what a period without samples counts as. The spine has one row a
     period, so its window is as long as the time covered, not as the data.
     """
-    all_ = spine(windows, time, step, None).join(windows.select(time, breach.alias("breach")), time, "left").withColumn("breach", F.coalesce("breach", F.lit(missing)))
+    all_ = spine(windows, time, step).join(windows.select(time, breach.alias("breach")), time, "left").withColumn("breach", F.coalesce("breach", F.lit(missing)))
     w = W.orderBy(time).rowsBetween(-(periods - 1), 0)
     return all_.withColumn("alarm", (F.min("breach").over(w)) & (F.count(F.lit(1)).over(w) == periods))
 

@@ -91,8 +91,7 @@ def audio_keys(spark, d):
 def age_filter(spark, d):
     """Objects older than 90 days before the newest."""
     t = table(spark, d, "segment_manifest")
-    newest = t.agg(F.max("created_at").alias("newest"))
-    return t.join(F.broadcast(newest)).where(select.older_than("created_at", F.col("newest"), 90)).select("segment_id")
+    return t.where(select.older_than("created_at", t.agg(F.max("created_at")).scalar(), 90)).select("segment_id")
 
 
 @query("SELECT page_index, activity_id FROM page_data WHERE trim(activity_id) <> '' AND len(phrases) > 0")
@@ -334,7 +333,7 @@ def p95_exclusive(spark, d):
 @query("SELECT status, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS part FROM activity_results GROUP BY status")
 def status_counts(spark, d):
     t = table(spark, d, "activity_results").groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-    return t.join(F.broadcast(t.agg(F.sum("n").alias("all")))).select("status", "n", F.round(F.col("n") / F.col("all"), 6).alias("part"))
+    return t.select("status", "n", F.round(F.col("n") / t.agg(F.sum("n")).scalar(), 6).alias("part"))
 
 
 @query("""SELECT activity_id, processor, status, "timestamp" FROM (SELECT *, row_number() OVER (PARTITION BY activity_id, processor ORDER BY "timestamp", status, correlation_id NULLS LAST) AS k FROM activity_results WHERE processing_time IS NOT NULL) WHERE k = 1""")

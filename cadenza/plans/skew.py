@@ -47,7 +47,8 @@ def spread(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = 1
     lost = F.lit(False)
     for k in keys:
         lost = lost | F.col(k).isNull()
-    hashed = F.xxhash64(*[f.name for f in left.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+    # the partition number keeps whole copies of a row from meeting in one part
+    hashed = F.xxhash64(F.spark_partition_id(), *[f.name for f in left.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))])
     big = left.withColumn("_hash", hashed).join(parts, keys, "left").withColumn("_salt", F.pmod("_hash", F.when(lost, F.lit(NULL_PARTS)).otherwise(F.coalesce("_parts", F.lit(1))).cast("bigint")))
     small = right.join(parts, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1).cast("bigint")) - 1)))
     return big.drop("_parts", "_hash"), small.drop("_parts"), [*keys, "_salt"]
