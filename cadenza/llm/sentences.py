@@ -10,6 +10,7 @@ sentence_seed, those of the unpunctuated script with all punctuation stripped.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import re
 import unicodedata
@@ -29,8 +30,13 @@ DOTS = ".…‥．"
 ENDS = re.compile(rf"[{re.escape(STRONG + DOTS)}](?:[{re.escape(STRONG + DOTS)}]|[  ](?=[!?]))*")
 QUOTES = {"“": "”", "„": "“”", "«": "»", "»": "«", "「": "」", "『": "』", "‘": "’", '"': '"', "'": "'", "‚": "‘’"}
 BRACKETS = {"(": ")", "[": "]", "{": "}", "（": "）", "【": "】", "《": "》", "〈": "〉", "［": "］"}
+MORE = re.compile(rf"\s*[{re.escape(STRONG)}]")
+NEXT_WORD = re.compile(r"[\w\-'’]+")
+LINE = re.compile(LINE_END)
 MARKS = re.compile("[" + re.escape("".join(QUOTES) + "”’」』" + "".join(BRACKETS) + "".join(BRACKETS.values())) + "]")
 OPENING = set(QUOTES) | set(BRACKETS) | set("¿¡—–")
+#: Code points in which the dash before the reporting words is looked for.
+REACH = 2_000
 THAI = re.compile(r"[฀-๿]")
 THAI_SPACE = re.compile(r"[^\S\n\r\x0b\x0c\x85  ]+")
 NOISE = re.compile(r"[\s​-‏⁠﻿️\U0001F1E6-\U0001F1FF\U0001F300-\U0001FAFF☀-➿]*")
@@ -46,27 +52,50 @@ def _cased(c: str) -> bool:
     return c.lower() != c.upper()
 
 
+#: Closing mark -> the opening marks it can close.
+CLOSES: dict[str, list[str]] = defaultdict(list)
+for _opener, _closers in (QUOTES | BRACKETS).items():
+    for _c in _closers:
+        CLOSES[_c].append(_opener)
+
+
+def _trimmed(s: str, e: int) -> int:
+    """Place after the last character before e that is not white space."""
+    while e and s[e - 1].isspace():
+        e -= 1
+    return e
+
+
+def _inside(spans: list[tuple[int, int]], i: int) -> bool:
+    """Is place i strictly within one of the disjoint, ordered spans?"""
+    k = bisect.bisect_left(spans, (i, -1)) - 1
+    return k >= 0 and spans[k][0] < i < spans[k][1]
+
+
 def _pairs(s: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """Outermost (open, close) places of quotations and of brackets; marks without a partner are ordinary characters."""
     stack: list[tuple[str, int]] = []
+    held: dict[str, list[int]] = defaultdict(list)  # opening mark -> its places in the stack
     found: list[tuple[int, int, bool]] = []
     for m in MARKS.finditer(s):
         i, c = m.start(), m.group()
         before, after = s[i - 1 : i], s[i + 1 : i + 2]
         if c in "'’" and before.isalnum() and after.isalnum():
             continue  # an apostrophe
-        close = next((k for k in range(len(stack) - 1, -1, -1) if c in (QUOTES.get(stack[k][0]) or BRACKETS[stack[k][0]])), None)
+        close = max((held[o][-1] for o in CLOSES.get(c, ()) if held[o]), default=None)
         if c == "'" and close is not None and (before.isspace() or after.isalnum()):
             close = None
-        if close is not None and (c not in QUOTES or c in QUOTES[stack[close][0]]):
+        if close is not None:
             opened, at = stack[close]
-            del stack[close:]
+            while len(stack) > close:
+                held[stack.pop()[0]].pop()
             found.append((at, i, opened in QUOTES))
         elif c in QUOTES or c in BRACKETS:
             if c == "'" and not ((not before or not before.isalnum()) and after and not after.isspace()):
                 continue
             if c == "»" and (not after or after.isspace()):
                 continue
+            held[c].append(len(stack))
             stack.append((c, i))
     outer_q, outer_b, end = [], [], -1
     for a, b, quote in sorted(found):
@@ -81,24 +110,28 @@ def _dialogue(s: str, starts: set[int], quotes: list[tuple[int, int]]) -> list[t
     out, at = [], 0
     for m in DASH.finditer(s):
         i = m.start()
-        if i < at or any(a < i < b for a, b in quotes):
+        if i < at or _inside(quotes, i):
             continue
-        before = s[:i].rstrip()
-        opened = not before or before[-1] in STRONG + DOTS + "»”\"'」" or i in starts
-        after = s[i + 1 :].lstrip()[:1]
+        left = _trimmed(s, i)
+        opened = not left or s[left - 1] in STRONG + DOTS + "»”\"'」" or i in starts
+        k = SPACES.match(s, i + 1).end()
+        after = s[k : k + 1]
         if not opened or not after or not (after.isalpha() or after in "¿¡"):
             continue
         end = None
-        for n in DASH.finditer(s, i + 1):
-            said = s[n.end() :].lstrip()[:1]
+        for n in DASH.finditer(s, i + 1, i + REACH):
+            k = SPACES.match(s, n.end()).end()
+            said = s[k : k + 1]
             if said.islower() or (said and said in ".,;:") or (said.isalpha() and not _cased(said)):
                 end = n.start()
                 break
-            line = s[:n.start()].rstrip(" \t")
-            if not line or line[-1] in "\n\r" or line[-1] in STRONG + DOTS:
+            left = n.start()
+            while left and s[left - 1] in " \t":
+                left -= 1
+            if not left or s[left - 1] in "\n\r" or s[left - 1] in STRONG + DOTS:
                 break
         if end is None:
-            stop = re.compile(LINE_END).search(s, i)
+            stop = LINE.search(s, i)
             end = stop.start() if stop else len(s)
         out.append((i, end))
         at = end + 1
@@ -118,7 +151,7 @@ def _lists(s: str) -> dict[int, int]:
                 start = m.start() + len(m.group()) - len(m.group().lstrip())
                 out[start] = m.end()
                 last = n
-        line = re.compile(LINE_END).search(s, at)
+        line = LINE.search(s, at)
         if not line:
             return out
         at = line.end()
@@ -145,27 +178,27 @@ def candidates(s: str) -> list[tuple[int, int, tuple[str, ...]]]:
     quotes, brackets = _pairs(s)
     lists = _lists(s)
     spoken = _dialogue(s, set(lists.values()) | {SPACES.match(s, e).end() for e in lists.values()}, quotes)
-    shut = sorted(quotes + brackets + spoken)
+    shut: list[tuple[int, int]] = []
+    for a, b in sorted(quotes + brackets + spoken):  # the outermost
+        if not shut or a > shut[-1][1]:
+            shut.append((a, b))
     heads = {i for i in lists}
     list_dots = {e - 1 for e in lists.values()}
     out = []
-    k = 0
     for m in ENDS.finditer(s):
         i, e = m.start(), m.end()
-        while k < len(shut) and shut[k][1] < i:
-            k += 1
         if i in list_dots:
             continue
-        if k < len(shut) and shut[k][0] < i < shut[k][1]:
+        if _inside(shut, i):
             continue  # inside a quotation or bracket: only the inside tag
-        if m := re.match(r"\s*[" + re.escape("".join(STRONG)) + "]", s[e : e + 3]):
+        if MORE.match(s, e, e + 3):
             continue
         out.append(_mark(s, i, e, heads))
     for a, b in quotes:
         e = b + 1
         inner = INNER_END.sub("", s[a + 1 : b])
         nxt = SPACES.match(s, e).end()
-        if not inner or inner[-1] not in STRONG + DOTS or any(x < a < y for x, y in brackets + spoken):
+        if not inner or inner[-1] not in STRONG + DOTS or _inside(shut, a):
             continue
         if s[nxt : nxt + 1] in tuple(",，、;；:：،") or ENDS.match(s, e):
             continue
@@ -179,7 +212,7 @@ def candidates(s: str) -> list[tuple[int, int, tuple[str, ...]]]:
             a, b = s[i - 1 : i], s[e : e + 1]
             if not a or not b or not (THAI.match(a) or THAI.match(b)) or a.isspace() or b.isspace():
                 continue
-            if any(x < i < y for x, y in shut):
+            if _inside(shut, i):
                 continue
             feats = ["space"]
             if any(c.isdigit() or (c.isalpha() and c.isascii()) or "LATIN" in _name(c) for c in (a, b)):
@@ -187,11 +220,12 @@ def candidates(s: str) -> list[tuple[int, int, tuple[str, ...]]]:
             if a in STRONG + DOTS:
                 continue
             out.append((i, e, tuple(feats)))
+    ends = {x[0] for x in out}
     for h in heads:  # a list item ends before the next one
-        left = s[:h].rstrip()
-        if left and not (left[-1] in STRONG + DOTS) and not any(x[0] == len(left) for x in out):
-            out.append((len(left), h, ("item",)))
-    return sorted(x for x in set(out) if x[2])
+        left = _trimmed(s, h)
+        if left and not (s[left - 1] in STRONG + DOTS) and left not in ends:
+            out.append((left, h, ("item",)))
+    return sorted({x for x in out if x[2]})
 
 
 @functools.lru_cache(maxsize=4096)
@@ -209,7 +243,7 @@ def _next(s: str, e: int, heads: set[int]) -> tuple[str, int, str]:
         return "list", j, c
     if c in OPENING:
         return "open", j, c
-    w = re.compile(r"[\w\-'’]+").match(s, j)
+    w = NEXT_WORD.match(s, j)
     word = w.group() if w else c
     if c.isdigit():
         return "digit", j, word
@@ -244,12 +278,14 @@ def _mark(s: str, i: int, e: int, heads: set[int]) -> tuple[int, int, tuple[str,
         return e, start, tuple(feats)
     dots = run.count(".") + 2 * (run.count("…") + run.count("‥"))
     if dots >= 2:
-        bare = next((c for c in reversed(s[:i]) if c.isalpha()), "a")
+        bare = next((c for c in reversed(s[max(0, i - 200) : i]) if c.isalpha()), "a")
         opened = kind in ("cap", "list") or (kind == "open" and _cased(bare)) or (kind == "open" and word in "¿¡")
         feats += ["ellipsis", "e_open" if opened and _cased(bare) or kind == "list" else "e_on"]
         return e, start, tuple(feats)
     feats.append("dot")
-    token = unicodedata.normalize("NFC", BEFORE.search(s[max(0, i - 40) : i]).group())
+    token = BEFORE.search(s[max(0, i - 40) : i]).group()
+    if not token.isascii():
+        token = unicodedata.normalize("NFC", token)
     if glued:
         plain = re.fullmatch(r"(?:[^\W\d_]['’])?[^\W\d_]{2,}[’'\-\w]*|\d+|[»”\"')\]]*", token.split(".")[-1]) and "_" not in token and "/" not in token
         following = s[e : e + 2]
@@ -389,13 +425,13 @@ def sentences(text: str, w: dict[str, float]) -> list[tuple[int, int]]:
         start = len(s) - len(s.lstrip())
         for (e, nxt, _), tag in zip(found, viterbi([x[2] for x in found], gaps, w)):
             if tag and e > start:
-                end = len(s[:e].rstrip())
+                end = _trimmed(s, e)
                 if end > start:
                     out.append((a + start, a + end))
                 start = nxt
         end = len(s.rstrip())
         if end > start:
-            start += len(s[start:]) - len(s[start:].lstrip())
+            start = min(end, start + len(s[start:]) - len(s[start:].lstrip()))
             out.append((a + start, a + end))
     return out
 
