@@ -63,23 +63,23 @@ def orphans(refs: DataFrame, parents: DataFrame, hot_rows: int = 1_000_000) -> D
     column of refs called state is replaced. Keys with more than hot_rows
     references are spread over tasks.
     """
-    life = parents.where(F.col("key").isNotNull()).select(F.col("key").alias("_key"), F.col("begins").alias("_begins"), F.col("ends").alias("_ends")).distinct()
+    life = parents.where(F.col("key").isNotNull()).select("key", F.col("begins").alias("_begins"), F.col("ends").alias("_ends")).distinct()
     asked = refs.where(F.col("key").isNotNull() & F.col("at").isNotNull())
-    bloom = KeyFilter.of(life, "_key")
+    bloom = KeyFilter.of(parents.where(F.col("key").isNotNull()), "key")
     # one pass decides; the two branches are columns of the same rows
     asked = asked.withColumn("_may", bloom.may_hold(asked, F.col("key")))
     definite = asked.where("NOT _may").withColumn("state", F.lit("missing"))
-    first = life.groupBy("_key").agg(F.min("_begins").alias("_first"))
-    left, right, on = spread(asked.where("_may"), life.withColumnRenamed("_key", "key"), ["key"], hot_rows)
+    first = life.groupBy("key").agg(F.min("_begins").alias("_first"), F.lit(True).alias("_known"))
+    left, (first, lives), on = spread(asked.where("_may"), [first, life], ["key"], hot_rows)
+    # both joins are on the same columns: the references are shuffled once
+    told = left.join(first, on, "left")
     same = F.lit(True)
     for k in on:
-        same = same & (left[k] == right[k])
+        same = same & (told[k] == lives[k])
     there = (F.col("_begins") <= F.col("at")) & (F.col("_ends").isNull() | (F.col("at") < F.col("_ends")))
-    absent = left.join(right, same & there, "left_anti").drop("_salt")
     state = F.when(F.col("_known").isNull(), "missing").when(F.col("_first") <= F.col("at"), "deleted").otherwise("late")
-    checked = skew_join(absent.withColumn("_key", F.col("key")), first.withColumn("_known", F.lit(True)), ["_key"], "left", hot_rows)
-    checked = checked.withColumn("state", state).drop("_known")
-    return definite.drop("_may").unionByName(checked.drop("_may", "_key", "_first"))
+    checked = told.join(lives, same & there, "left_anti").withColumn("state", state).drop("_salt", "_known", "_first")
+    return definite.drop("_may").unionByName(checked.drop("_may"))
 
 
 def _pair(story: Column, phrase: Column) -> Column:

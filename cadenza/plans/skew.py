@@ -30,8 +30,8 @@ def same_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     return out
 
 
-def spread(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both sides ready to be joined on the returned columns: keys, and a salt where left has hot keys.
+def spread(left: DataFrame, rights: list[DataFrame], keys: list[str], hot_rows: int = 1_000_000) -> tuple[DataFrame, list[DataFrame], list[str]]:
+    """All sides ready to be joined on the returned columns: keys, and a salt where left has hot keys.
 
     The skew join of adaptive execution needs both sides to come straight from
     a shuffle; after an aggregation or before another operator on the same key
@@ -41,7 +41,7 @@ def spread(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = 1
     """
     hot = hot_keys(left.select(*keys), keys, hot_rows)
     if hot is None:
-        return left, right, keys
+        return left, rights, keys
     # at most count(left) / hot_rows keys: small whatever the data
     parts = F.broadcast(hot.select(*keys, F.ceil(F.col("n_hot") / hot_rows).cast("bigint").alias("_parts")))
     lost = F.lit(False)
@@ -50,11 +50,12 @@ def spread(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = 1
     # the partition number keeps whole copies of a row from meeting in one part
     hashed = F.xxhash64(F.spark_partition_id(), *[f.name for f in left.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))])
     big = left.withColumn("_hash", hashed).join(parts, keys, "left").withColumn("_salt", F.pmod("_hash", F.when(lost, F.lit(NULL_PARTS)).otherwise(F.coalesce("_parts", F.lit(1))).cast("bigint")))
-    small = right.join(parts, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1).cast("bigint")) - 1)))
-    return big.drop("_parts", "_hash"), small.drop("_parts"), [*keys, "_salt"]
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1).cast("bigint")) - 1))
+    small = [r.join(parts, keys, "left").withColumn("_salt", each).drop("_parts") for r in rights]
+    return big.drop("_parts", "_hash"), small, [*keys, "_salt"]
 
 
 def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", hot_rows: int = 1_000_000) -> DataFrame:
     """left.join(right, keys, how) for inner, left, left_semi and left_anti, with hot left keys spread."""
-    a, b, on = spread(left, right, keys, hot_rows)
+    a, (b,), on = spread(left, [right], keys, hot_rows)
     return a.join(b, on, how).drop("_salt")
