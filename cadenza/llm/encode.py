@@ -105,12 +105,27 @@ def _sync_udf(chunk: int, overlap: int):
     return sync
 
 
+def _chunks_udf(chunk: int, overlap: int):
+    # in Python, since finding a place in a long text takes the JVM time in proportion to the place
+    @F.pandas_udf("array<string>")
+    def cut(text: pd.Series) -> pd.Series:
+        return pd.Series([[t[i : i + chunk + overlap] for i in range(0, len(t), chunk)] for t in text], dtype=object)
+
+    return cut
+
+
+def _cut_at(text: str, cuts: str) -> Column:
+    @F.pandas_udf("array<string>")
+    def cut(t: pd.Series, c: pd.Series) -> pd.Series:
+        return pd.Series([[x[a:b] for a, b in zip(at, at[1:])] for x, at in zip(t, c)], dtype=object)
+
+    return cut(text, cuts)
+
+
 def _pieces(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
     """(digest, j, text): the texts of long (digest unique, text) cut where neighbouring chunks resynchronise."""
     n = F.char_length("text")
-    chunks = long.select("digest", n.alias("n"), "text", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk).cast("int"))).alias("i"))
-    start = (F.col("i") * chunk).alias("start")
-    chunks = chunks.select("digest", "n", "i", start, F.col("text").substr(F.col("i") * chunk + 1, F.lit(chunk + overlap)).alias("piece"))
+    chunks = long.select("digest", n.alias("n"), F.posexplode(_chunks_udf(chunk, overlap)("text")).alias("i", "piece")).withColumn("start", F.col("i") * chunk)
     # one long text keeps many tasks busy
     chunks = chunks.repartition("digest", "i").select("digest", "n", "i", _sync_udf(chunk, overlap)("piece", "start", "n").alias("s"))
     ends = chunks.groupBy("digest").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("i", "s.head", "s.tail"))).alias("c"))
@@ -119,8 +134,8 @@ def _pieces(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
     inner = F.when(F.size("c") > 1, F.filter(F.transform(F.sequence(F.lit(1), F.size("c") - 1), cut), lambda x: x.isNotNull())).otherwise(F.array().cast("array<int>"))
     cuts = F.array_distinct(F.concat(F.array(F.lit(0)), inner, F.array(F.col("n"))))
     at = ends.select("digest", cuts.alias("cuts"))
-    both = long.join(at, "digest").select("digest", "text", "cuts", F.posexplode(F.slice("cuts", F.lit(1), F.size("cuts") - 1)).alias("j", "a"))
-    return both.select("digest", "j", F.col("text").substr(F.col("a") + 1, F.get("cuts", F.col("j") + 1) - F.col("a")).alias("piece")).repartition("digest", "j")
+    both = long.join(at, "digest").select("digest", F.posexplode(_cut_at("text", "cuts")).alias("j", "piece"))
+    return both.repartition("digest", "j")
 
 
 def encode_texts(df: DataFrame, row_id: str, text: str, tokenizer: str, folder: str = FOLDER, count: bool = False, chunk: int = 4096, overlap: int = 256, hot_rows: int = 1_000_000) -> DataFrame:

@@ -458,10 +458,11 @@ def found(documents: DataFrame, part: int = 65_536) -> DataFrame:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     learned = weights()
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<struct<at:int,text:string>>")
     def cuts(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in parts:
-            yield pd.Series([cut_blocks(t, part) for t in s], dtype=object)
+            starts = [cut_blocks(t, part) for t in s]
+            yield pd.Series([[{"at": a, "text": t[a:b]} for a, b in zip(c, [*c[1:], len(t)])] for t, c in zip(s, starts)], dtype=object)
 
     @F.pandas_udf("array<struct<a:int,b:int>>")
     def tag(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -472,8 +473,6 @@ def found(documents: DataFrame, part: int = 65_536) -> DataFrame:
     rows = documents.where(F.col("text").isNotNull()).select("doc_id", "text")
     is_long = F.char_length("text") > 2 * part
     short = rows.where(~is_long).select("doc_id", F.lit(0).alias("at"), "text")
-    long = rows.where(is_long).withColumn("c", cuts("text")).select("doc_id", "text", "c", F.posexplode("c").alias("i", "at"))
-    size = F.coalesce(F.get("c", F.col("i") + 1), F.char_length("text")) - F.col("at")
-    long = long.select("doc_id", "at", F.col("text").substr(F.col("at") + 1, size).alias("text")).repartition("doc_id", "at")
+    long = rows.where(is_long).select("doc_id", F.inline(cuts("text"))).repartition("doc_id", "at")
     tagged = short.unionByName(long).select("doc_id", "at", F.explode(tag("text")).alias("s"))
     return tagged.select("doc_id", (F.col("at") + F.col("s.a")).cast("int").alias("sent_start"), (F.col("at") + F.col("s.b")).cast("int").alias("sent_end"))
