@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -20,7 +21,32 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="cadenza-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+#: Folders this process has made; they are removed when it ends, or by discard_all.
+_MADE: list[str] = []
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@atexit.register
+def discard_all() -> None:
+    """Remove all folders made so far; results that were read from them are gone with them."""
+    spark = SparkSession.getActiveSession()
+    while _MADE:
+        path = _MADE.pop()
+        try:
+            if spark is not None:
+                discard(spark, path)
+        except Exception:  # the session has ended before: the folders stay
+            return
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
