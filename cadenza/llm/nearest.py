@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from cadenza.plans.skew import hot_keys
-from cadenza.session import shared_dir
+from cadenza.session import discard, shared_dir
 
 #: Added to all times (ms), so that the clock starts far above Spark's initial watermark of 0
 #: and stays within the range of nanosecond timestamps.
@@ -207,6 +207,7 @@ def replay_nearest(
         pairs = nearest_stream(part(left_rows), part(right_rows), tolerance_ms, shards, bucket_ms, salts=salts)
         query = pairs.writeStream.format("parquet").option("checkpointLocation", f"{out}/state-{k}").option("path", f"{out}/slice={k}").outputMode("append").trigger(availableNow=True).start()
         query.awaitTermination()
+        discard(spark, f"{out}/state-{k}")  # the slice is done: its state and log aren't needed again
     parts = [spark.read.schema(OUT).parquet(f"{out}/slice={k}") for k in range(slices)]
     whole = parts[0]
     for p in parts[1:]:

@@ -87,6 +87,7 @@ Heute z. B. die Laute, d. h. alle.|Es sind 4.500 im 3. Heft.|Wir üben usw.|Dann
 UNPUNCTUATED = """
 นกบินไป.|แมวนอน!|ครูอ่านหน้า 7 ถึงหน้า 9 แล้ว.|เด็กๆเล่น
 ครูเปิด page_1.txt ก่อน?|ทุกคนฟัง.|ฝนตก
+ครูบอกว่า “ฝนตก”.|นกบิน
 """
 
 
@@ -94,7 +95,7 @@ def _line(line: str, strip: bool) -> tuple[str, set[int]]:
     parts = re.split(r"[|^]", line)
     glued = [c == "^" for c in re.findall(r"[|^]", line)]
     if strip:
-        parts = [re.sub(r"[.!?](?=$)", "", p) for p in parts]
+        parts = [re.sub(r"[.!?]$", "", p) for p in parts]
     text, cuts = "", set()
     for i, p in enumerate(parts):
         if i:

@@ -217,6 +217,8 @@ def candidates(s: str) -> list[tuple[int, int, tuple[str, ...]]]:
             feats = ["space"]
             if any(c.isdigit() or (c.isalpha() and c.isascii()) or "LATIN" in _name(c) for c in (a, b)):
                 feats.append("th_beside")
+            if b in QUOTES and s[max(0, i - 3) : i] == "ว่า":
+                feats.append("th_told")
             if a in STRONG + DOTS:
                 continue
             out.append((i, e, tuple(feats)))
