@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyspark.sql.types as T
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cadenza.operators.metrics import tumbling
-from cadenza.session import shared_dir
+from cadenza.session import discard, shared_dir
 from cadenza.sources.readers import JOB
 
 
@@ -53,15 +54,20 @@ def stream_tumbling(spark: SparkSession, path: str, time: str, width: str, keys:
     """The windows of a stored table replayed as a stream; the same rows as tumbling over the batch.
 
     delay: how late a row may come; the replay is one batch, so none is dropped.
-    Windows are emitted when the watermark has passed them; the last ones by
-    the end of the input, in complete mode of a bounded number of windows.
+    Update mode: each micro-batch writes the windows it changed under its own
+    number (written again if it is repeated), the watermark drops finished
+    windows from the state, and the last version of a window counts.
     """
     rows = file_stream(spark, path).withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
     out = shared_dir(spark, "windows")
-    schema = tumbling(spark.read.parquet(path), time, width, keys, value).schema
+    changed = tumbling(rows, time, width, keys, value)
 
     def keep(batch: DataFrame, n: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/rows")
-
-    tumbling(rows, time, width, keys, value).writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(schema).parquet(f"{out}/rows")
+        batch.write.mode("overwrite").parquet(f"{out}/rows/batch={n}")
+
+    changed.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
+    discard(spark, f"{out}/state")
+    versions = spark.read.schema(T.StructType([*changed.schema.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{out}/rows")
+    at = ["window_start", *keys]
+    last = F.max_by(F.struct(*[c for c in changed.columns if c not in at]), "batch").alias("last")
+    return versions.groupBy(*at).agg(last).select(*at, "last.*")

@@ -82,3 +82,14 @@ def test_queue(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/good").count() == 1
     jobs = spark.createDataFrame([("a", 1), (" ", 2)], "activity_id string, timestamp long")
     assert queue.enqueue(jobs, f"{tmp_path}/out").count() == 1
+
+
+def test_stream_windows_equal_the_batch(spark, tmp_path):
+    from cadenza.operators.metrics import tumbling
+
+    df = spark.sql("SELECT timestamp_ntz'2025-01-01' + make_interval(0, 0, 0, 0, 0, cast((id * 37) % 900 as int), 0) AS ts, concat('k', id % 3) AS k, cast(id as double) AS v FROM range(500)")
+    df.repartition(4).write.parquet(f"{tmp_path}/e.parquet")
+    batch = tumbling(spark.read.parquet(f"{tmp_path}/e.parquet"), "ts", "1 hour", ["k"], "v")
+    stream = queue.stream_tumbling(spark, f"{tmp_path}/e.parquet", "ts", "1 hour", ["k"], "v", "1 minute")
+    stream = stream.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    assert sorted(batch.collect()) == sorted(stream.select(batch.columns).collect())
