@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from cadenza.llm import sentence_seed as seed
 
-LINE_END = r"(?:\r\n|[\n\r\x0b\x0c\x85  ])"
-BLANK = re.compile(rf"{LINE_END}[^\S\n\r\x0b\x0c\x85  ]*{LINE_END}\s*")
+LINE_END = r"(?:\r\n|[\n\r\x0b\x0c\x85\u2028\u2029])"
+BLANK = re.compile(rf"{LINE_END}[^\S\n\r\x0b\x0c\x85\u2028\u2029]*{LINE_END}\s*")
 STRONG = "!?。！？｡‼⁇⁈⁉।॥؟۔"
 DOTS = ".…‥．"
-ENDS = re.compile(rf"[{re.escape(STRONG + DOTS)}](?:[{re.escape(STRONG + DOTS)}]|[  ](?=[!?]))*")
+ENDS = re.compile(rf"[{re.escape(STRONG + DOTS)}](?:[{re.escape(STRONG + DOTS)}]|[ \u00a0\u202f](?=[!?]))*")
 QUOTES = {"“": "”", "„": "“”", "«": "»", "»": "«", "「": "」", "『": "』", "‘": "’", '"': '"', "'": "'", "‚": "‘’"}
 BRACKETS = {"(": ")", "[": "]", "{": "}", "（": "）", "【": "】", "《": "》", "〈": "〉", "［": "］"}
 MORE = re.compile(rf"\s*[{re.escape(STRONG)}]")
@@ -38,9 +38,9 @@ OPENING = set(QUOTES) | set(BRACKETS) | set("¿¡—–")
 #: Code points in which the dash before the reporting words is looked for.
 REACH = 2_000
 THAI = re.compile(r"[฀-๿]")
-THAI_SPACE = re.compile(r"[^\S\n\r\x0b\x0c\x85  ]+")
-NOISE = re.compile(r"[\s​-‏⁠﻿️\U0001F1E6-\U0001F1FF\U0001F300-\U0001FAFF☀-➿]*")
-SPACES = re.compile(r"[\s​⁠﻿]*")
+THAI_SPACE = re.compile(r"[^\S\n\r\x0b\x0c\x85\u2028\u2029]+")
+NOISE = re.compile(r"[\s\u200b-\u200f\u2060\ufeff️\U0001F1E6-\U0001F1FF\U0001F300-\U0001FAFF☀-➿]*")
+SPACES = re.compile(r"[\s\u200b\u2060\ufeff]*")
 WORD = re.compile(r"[^\W_]+(?:[-'’·][^\W_]+)*")
 BEFORE = re.compile(r"[\w.\-/’'̀-ͯऀ-ॿ]*$")
 LIST = re.compile(r"[^\S\n\r]*(?:(\d{1,3})[.)]|([^\W\d_])[.)])(?=\s)")
@@ -265,7 +265,7 @@ def _next(s: str, e: int, heads: set[int]) -> tuple[str, int, str]:
 
 def _mark(s: str, i: int, e: int, heads: set[int]) -> tuple[int, int, tuple[str, ...]]:
     """Features of the place after the closing marks s[i:e]."""
-    run = s[i:e].replace(" ", "").replace(" ", "").replace(" ", "")
+    run = re.sub(r"\s", "", s[i:e])
     kind, j, word = _next(s, e, heads)
     start = SPACES.match(s, e).end()
     glued = start == e and start < len(s)
