@@ -3,8 +3,9 @@
 Doubles are mapped to integers of the same order. Each pass counts one 16-bit
 digit of the values that agree with the digits found so far, and follows only
 the digit that holds each target rank; after four passes the value at the rank
-is known exactly, so the error in rank is 0. Counts of partitions or days add
-up, so summaries made apart and combined give the same result.
+is known exactly, so the error in rank is 0. Partitions or days can be
+summarised apart, as counts of codes that are stored and later added up; the
+same selection over the combined counts gives the same result.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cadenza.operators.dedupe import epoch_seconds
 from cadenza.plans.skew import hot_keys
+from cadenza.session import written
 from cadenza.sources.tables import table
 
 PERCENTS = (50, 90, 95, 99)
@@ -47,10 +49,10 @@ def double_of(u: Column) -> Column:
     return F.when(u < 0, -v).otherwise(v)
 
 
-def _pass(rows: DataFrame, targets: DataFrame, keys: list[str], percents: tuple[int, ...], k: int, how: str, by_part: bool) -> DataFrame:
+def _pass(rows: DataFrame, targets: DataFrame, keys: list[str], percents: tuple[int, ...], k: int, how: str, count: Column) -> DataFrame:
     """keys, n and for each percentile its digits so far and its rank among the values with them, after digit k of 4.
 
-    rows: keys, u and part; with by_part, counts are made per part and then added up.
+    rows: keys, u and what count needs.
     """
     shift = 64 - DIGIT_BITS * k
     prefix = F.lit(0).cast("bigint") if k == 1 else F.shiftright("u", shift + DIGIT_BITS)
@@ -60,13 +62,7 @@ def _pass(rows: DataFrame, targets: DataFrame, keys: list[str], percents: tuple[
     if k > 1:
         asked = asked.where(F.col("prefix").isin(*[F.col(f"digits{p}") for p in percents]))
     asked = asked.withColumn("digit", digit.cast("int"))
-    keep = [F.any_value(c).alias(c) for c in carried]
-    at = [*keys, "prefix", "digit"]
-    if by_part:
-        asked = asked.groupBy(*at, "part").agg(F.count(F.lit(1)).alias("c"), *keep)
-        counts = asked.groupBy(*at).agg(F.sum("c").alias("c"), *keep)
-    else:
-        counts = asked.groupBy(*at).agg(F.count(F.lit(1)).alias("c"), *keep)
+    counts = asked.groupBy(*keys, "prefix", "digit").agg(count.alias("c"), *[F.any_value(c).alias(c) for c in carried])
     counts = counts.withColumn("upto", F.sum("c").over(W.partitionBy(*keys, "prefix").orderBy("digit")))
     step = F.col("digit").cast("bigint") if k == 1 else F.col("prefix") * (1 << DIGIT_BITS) + F.col("digit")
     out = [F.any_value("n").alias("n")]
@@ -76,24 +72,15 @@ def _pass(rows: DataFrame, targets: DataFrame, keys: list[str], percents: tuple[
     return counts.groupBy(*keys).agg(*out)
 
 
-def percentiles(values: DataFrame, groups: list[str], value: str, part: str | None = None, percents: tuple[int, ...] = PERCENTS, hot_rows: int = 1_000_000) -> DataFrame:
-    """groups (as strings), n and a column pNN for each percent: the smallest value with at least n * percent / 100 values up to it.
-
-    Null, NaN and negative values are not measurements and are left out; a group
-    without any does not come out. Null group values form groups of their own.
-    Ties count each. part: rows with different values of this column are counted
-    apart and combined; the result does not depend on it.
-
-    A group of up to hot_rows rows is read four times from one shuffle by its
-    group. A larger group is never gathered: each pass counts it where its rows
-    are and moves at most 2**16 counts a task and percentile.
-    """
+def _codes(values: DataFrame, groups: list[str], value: str, extra: list[Column]) -> tuple[DataFrame, list[str]]:
+    """Measurements as keys without nulls ('=' and the group's value, or '~') and the code u."""
     v = F.col(value).cast("double")
     keys = [f"k{i}" for i in range(len(groups))]
-    rows = values.where(v.isNotNull() & ~F.isnan(v) & (v >= 0))
-    # keys without nulls: '=' and the value, or '~'
     cols = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")).alias(k) for c, k in zip(groups, keys)]
-    rows = rows.select(*cols, ordered_long(v).alias("u"), *([] if part is None else [F.col(part).alias("part")]))
+    return values.where(v.isNotNull() & ~F.isnan(v) & (v >= 0)).select(*cols, ordered_long(v).alias("u"), *extra), keys
+
+
+def _select(rows: DataFrame, keys: list[str], groups: list[str], percents: tuple[int, ...], hot_rows: int, count: Column) -> DataFrame:
     rank = lambda p: F.floor((F.col("n") * p + 99) / 100).cast("bigint")
     first = [c for p in percents for c in (F.lit(0).cast("bigint").alias(f"digits{p}"), rank(p).alias(f"rank{p}"))]
     hot = hot_keys(rows, keys, hot_rows)
@@ -103,19 +90,51 @@ def percentiles(values: DataFrame, groups: list[str], value: str, part: str | No
             continue
         if is_hot:  # at most count / hot_rows groups: small whatever the data
             mine = rows.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
-            targets = hot.select(*keys, F.col("n_hot").alias("n"))
         else:
             mine = rows if hot is None else rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
             mine = mine.repartition(*keys)
-            targets = mine.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        targets = targets.select(*keys, "n", *first)
+        targets = mine.groupBy(*keys).agg(count.alias("n")).select(*keys, "n", *first)
         for k in range(1, 64 // DIGIT_BITS + 1):
-            targets = _pass(mine, targets, keys, percents, k, "broadcast" if is_hot else "shuffle_hash", part is not None)
+            targets = _pass(mine, targets, keys, percents, k, "broadcast" if is_hot else "shuffle_hash", count)
         out = targets if out is None else out.unionByName(targets)
     back = [F.when(F.col(k) != "~", F.substring(F.col(k), 2, 2**31 - 1)).alias(c) for c, k in zip(groups, keys)]
     return out.select(*back, "n", *[double_of(F.col(f"digits{p}")).alias(f"p{p}") for p in percents])
 
 
+def percentiles(values: DataFrame, groups: list[str], value: str, percents: tuple[int, ...] = PERCENTS, hot_rows: int = 1_000_000) -> DataFrame:
+    """groups (as strings), n and a column pNN for each percent: the smallest value with at least n * percent / 100 values up to it.
+
+    Null, NaN and negative values are not measurements and are left out; a group
+    without any does not come out. Null group values form groups of their own.
+    Ties count each.
+
+    A group of up to hot_rows rows is read four times from one shuffle by its
+    group. A larger group is never gathered: each pass counts it where its rows
+    are and moves at most 2**16 counts a task and percentile.
+    """
+    rows, keys = _codes(values, groups, value, [])
+    return _select(rows, keys, groups, percents, hot_rows, F.count(F.lit(1)))
+
+
+def summaries(values: DataFrame, groups: list[str], value: str, part: str, bits: int = 64) -> DataFrame:
+    """Counts of codes (k0.., part, u, c) of each group and part, to be stored and combined later.
+
+    With fewer bits than 64 the low bits of a code are dropped: a summary then
+    has at most one row for each of the remaining codes, a percentile is the
+    lower edge of the right one, and its rank is wrong by at most the count of
+    that code. With 12 + b bits the value is too small by a part of 2**-b at most.
+    """
+    rows, keys = _codes(values, groups, value, [F.col(part).alias("part")])
+    mask = -(1 << (64 - bits))
+    return rows.withColumn("u", F.col("u").bitwiseAND(F.lit(mask))).groupBy(*keys, "part", "u").agg(F.count(F.lit(1)).alias("c"))
+
+
+def combined(parts: DataFrame, groups: list[str], percents: tuple[int, ...] = PERCENTS, hot_rows: int = 1_000_000) -> DataFrame:
+    """percentiles of all parts together, from the union of their summaries; with 64 bits the same as from the values."""
+    keys = [f"k{i}" for i in range(len(groups))]
+    return _select(parts.select(*keys, "u", "c"), keys, groups, percents, hot_rows, F.sum("c"))
+
+
 def _measurements(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(scope, grp, day, value) per processor, per processor and day, and per activity."""
     times = table(spark, sf_dir, "activity_results")
@@ -138,9 +157,9 @@ def all_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def combined_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """processing_time per processor from days that are summarised apart and combined."""
+    """processing_time per processor from stored summaries of single days."""
     whole, _, _ = _measurements(spark, sf_dir)
-    return percentiles(whole, GROUPS, "value", part="at_day")
+    return combined(written(summaries(whole, GROUPS, "value", "at_day"), "summaries"), GROUPS)
 
 
 _VALUES_SQL = """

@@ -26,9 +26,11 @@ def data(n, seed):
 def test_brute_force(spark):
     rows = data(3000, 1)
     df = spark.createDataFrame(rows, SCHEMA)
-    for options in ({}, {"hot_rows": 300}, {"hot_rows": 1}, {"part": "day"}, {"part": "day", "hot_rows": 300}):
-        got = {r.g: (r.n, r.p50, r.p90, r.p95, r.p99) for r in P.percentiles(df, ["g"], "x", **options).collect()}
-        assert got == brute(rows, lambda r: r[0]), options
+    parts = P.summaries(df, ["g"], "x", "day")
+    for hot in (1_000_000, 300, 1):
+        for out in (P.percentiles(df, ["g"], "x", hot_rows=hot), P.combined(parts, ["g"], hot_rows=hot)):
+            got = {r.g: (r.n, r.p50, r.p90, r.p95, r.p99) for r in out.collect()}
+            assert got == brute(rows, lambda r: r[0]), hot
     two = {(r.g, r.day): (r.n, r.p50, r.p90, r.p95, r.p99) for r in P.percentiles(df, ["g", "day"], "x").collect()}
     assert two == brute(rows, lambda r: (r[0], r[1]))
 
@@ -50,3 +52,14 @@ def test_order_and_round_trip_of_codes(spark):
 def test_empty_and_unmeasured(spark):
     assert P.percentiles(spark.createDataFrame([], SCHEMA), ["g"], "x").count() == 0
     assert P.percentiles(spark.createDataFrame([("a", "d", -1.0, "", "", ""), ("a", "d", None, "", "", "")], SCHEMA), ["g"], "x").count() == 0
+
+
+def test_short_summaries_are_close(spark):
+    r = random.Random(9)
+    rows = [("g", str(i % 5), r.lognormvariate(0, 2), "", "", "") for i in range(4000)]
+    parts = P.summaries(spark.createDataFrame(rows, SCHEMA), ["g"], "x", "day", bits=20)
+    assert parts.count() < 3500
+    got, want = P.combined(parts, ["g"]).first(), brute(rows, lambda r: r[0])["g"]
+    assert got.n == want[0]
+    for a, b in zip(got[2:], want[1:]):
+        assert b * (1 - 2**-8) <= a <= b
