@@ -23,11 +23,11 @@ BEFORE_NUMBER = frozenset("no nos nr nrn núm num pág págs pag p pp s fig figs
 MAYBE_LAST = frozenset("etc usw p.m a.m m h min sec hr hrs inc ltd co corp u.k u.s e.u u.n jr bros ff ph.d b.c a.d c.d etcétera".split())
 # Forms of verbs that report speech.
 SPEECH = frozenset(
-    """said says say asked asks replied replies shouted shouts whispered whispers cried cries called calls answered answers told tells exclaimed muttered yelled added explained
-    dijo dice preguntó pregunta respondió responde gritó grita susurró susurra exclamó contestó añadió murmuró
-    dit demande demanda répond répondit crie cria murmure murmura chuchote chuchota souffle ajoute ajouta
-    sagte sagt fragte fragt rief ruft antwortete antwortet flüsterte flüstert schrie schreit meinte erklärte
-    قال قالت همس همست سأل سألت صاح صاحت أجاب أجابت رد ردت هتف هتفت يقول تقول
+    """said says say asked asks replied replies shouted shouts whispered whispers cried cries called calls answered answers told tells exclaimed muttered yelled added explained wondered begged agreed announced insisted sighed laughed warned promised screamed
+    dijo dice preguntó pregunta respondió responde gritó grita susurró susurra exclamó contestó añadió murmuró comentó explicó pidió ordenó suspiró anunció insistió
+    dit demande demanda répond répondit crie cria murmure murmura chuchote chuchota souffle ajoute ajouta écria lança soupira annonça expliqua insista
+    sagte sagt fragte fragt rief ruft antwortete antwortet flüsterte flüstert schrie schreit meinte erklärte erwiderte seufzte lachte murmelte ergänzte
+    قال قالت همس همست سأل سألت صاح صاحت أجاب أجابت رد ردت هتف هتفت يقول تقول نادى نادت صرخ صرخت أضاف أضافت
     ว่า พูดว่า ถามว่า บอกว่า ตะโกนว่า กระซิบว่า ตอบว่า""".split()
 )
 #: Devanagari forms without vowel signs, as they are compared.

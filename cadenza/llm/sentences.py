@@ -45,6 +45,7 @@ WORD = re.compile(r"[^\W_]+(?:[-'’·][^\W_]+)*")
 BEFORE = re.compile(r"[\w.\-/’'̀-ͯऀ-ॿ]*$")
 LIST = re.compile(r"[^\S\n\r]*(?:(\d{1,3})[.)]|([^\W\d_])[.)])(?=\s)")
 INNER_END = re.compile(r"[\s”’\"'」』»)）]+$")
+SHORT = re.compile(r"(?<!\S)(\S{1,6})\.(?=\s)")
 DASH = re.compile(r"[—–]")
 
 
@@ -160,6 +161,7 @@ def _lists(s: str) -> dict[int, int]:
 def _says(s: str, a: int) -> bool:
     """Do the words from a on report the quotation before them?"""
     rest = unicodedata.normalize("NFC", s[a : a + 90])
+    rest = SHORT.sub(lambda m: m[1] if m[1].lower() in seed.NEVER_LAST or len(m[1]) == 1 else m[0], rest)
     stop = re.search(rf"[{re.escape(STRONG)}]|[.](?=\s|$)|[:：]\s*[{re.escape(''.join(QUOTES))}]|[,]\s*[{re.escape(''.join(QUOTES))}]", rest)
     clause = rest[: stop.start()] if stop else rest
     if stop and stop.group()[0] in ":：,":

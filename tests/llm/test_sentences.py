@@ -20,6 +20,8 @@ One ends here.^Two begins.|Is 3.14 pi?|Yes!
 वह गया।|क्या हुआ?|डॉ. राव आए।
 ذهب د. سامي.|هل عاد؟|«نعم. عاد!» قال علي.
 แมวนอน|หมาเห่า 3 ครั้ง|นกบิน
+“Stop!” Mr. Hill said.|“Go!” J. R. Small begged.|We stopped.
+“चलो!” डॉ. राव ने कहा।|वह गया।
 It went on and on...|Nobody knew...
 He paused... then spoke.|Files a.txt and b.py are here.|v1.2.3 is out.
 """
