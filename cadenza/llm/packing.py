@@ -26,7 +26,7 @@ from cadenza.sources.tables import table
 #: Sizes above this part of the capacity are large: they are grouped and configured.
 LARGE = 0.3
 #: Groups of large sizes.
-GROUPS = 192
+GROUPS = 96
 #: Configurations that fill less than this part of a container, as rounded, aren't used.
 FULL = 0.995
 #: Steps of room that configurations are planned in at most; rounded sizes are rounded up to them.
