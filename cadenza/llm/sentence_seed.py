@@ -1,7 +1,8 @@
 """Word lists and labelled lines from which the sentence model is trained.
 
 In a line ``|`` marks a sentence's end, ``^`` one after which no space comes; they
-are not part of the text.
+are not part of the text. Marks without a letter or digit are no sentence: they
+end the one before, which only the neighbouring place tells.
 """
 
 from __future__ import annotations
@@ -82,6 +83,8 @@ Heute z. B. die Laute, d. h. alle.|Es sind 4.500 im 3. Heft.|Wir üben usw.|Dann
 قرأت د. منى ص. 7 من الكتاب.|أين هو؟|«هيا. تأخرنا!» قال علي.|ذهب علي.
 قال علي: «أين هي؟»|انتظر علي... ثم ذهب.
 "هذا كتاب. خذه." همس علي.|نام الجميع.
+The bell rang. —!|Nobody came.
+Ana rió. ¡!|Luego salió.|Llovió. ¿?|Nevó.
 """
 #: Lines of a script without closing marks; all punctuation is stripped before training.
 UNPUNCTUATED = """

@@ -3,9 +3,10 @@
 Every character of a block (text between blank lines) is tagged boundary or
 inside by a linear-chain model with Viterbi decoding. Only characters after a
 closing mark, and in Thai spaces, can carry the boundary tag; all others have
-one possible tag, so the chain is decoded over those alone. The weights are
-trained here, by an averaged structured perceptron on the labelled lines of
-sentence_seed, those of the unpunctuated script with all punctuation stripped.
+one possible tag, so the chain is decoded over those alone. The weights, of the
+places and of the transitions between them, are trained here, by an averaged
+structured perceptron on the labelled lines of sentence_seed, those of the
+unpunctuated script with all punctuation stripped.
 """
 
 from __future__ import annotations
@@ -364,29 +365,45 @@ def _quote(s: str, a: int, e: int, start: int, heads: set[int]) -> tuple[int, in
     return e, start, tuple(feats)
 
 
+#: Names of the transition weights, by (boundary at the place before, boundary here).
+STEPS = {(False, False): "in_in", (False, True): "in_cut", (True, False): "cut_in", (True, True): "cut_cut"}
+
+
+def steps(tags: list[bool], gaps: list[bool]) -> Iterator[str]:
+    """Names of the transition weights along a block's tags; "empty" is a stretch of marks alone between two boundaries."""
+    for a, b, g in zip(tags, tags[1:], gaps[1:]):
+        yield STEPS[a, b]
+        if a and b and not g:
+            yield "empty"
+
+
 def viterbi(feats: list[tuple[str, ...]], gaps: list[bool], w: dict[str, float]) -> list[bool]:
-    """The best tags (True: boundary) of a block's places. gaps: has the stretch before each place a letter or digit?"""
+    """The best tags (True: boundary) of a block's places. gaps: has the stretch before each place a letter or digit, or is it a quotation?"""
     if not feats:
         return []
-    back, inside, cut = [], 0.0, -1e9
-    for f, g in zip(feats, gaps):
+    in_in, in_cut, cut_in, cut_cut = (w.get(x, 0.0) for x in STEPS.values())
+    empty = cut_cut + w.get("empty", 0.0)
+    score = sum(w.get(x, 0.0) for x in feats[0])
+    back, inside, cut = [], -score, score
+    for f, g in zip(feats[1:], gaps[1:]):
         score = sum(w.get(x, 0.0) for x in f)
-        again = cut + w.get("empty", 0.0) * (not g) if cut > -1e8 else -1e9
-        to_cut = (inside, False) if inside >= again else (again, True)
-        to_in = (inside, False) if inside >= cut else (cut, True)
-        back.append((to_in[1], to_cut[1]))
-        inside, cut = to_in[0] - score, to_cut[0] + score
+        stay, leave = inside + in_in, cut + cut_in
+        enter, again = inside + in_cut, cut + (cut_cut if g else empty)
+        back.append((leave > stay, again > enter))
+        inside, cut = max(stay, leave) - score, max(enter, again) + score
     tags, last = [], cut > inside
     for b in reversed(back):
         tags.append(last)
         last = b[1] if last else b[0]
+    tags.append(last)
     return tags[::-1]
 
 
 def _chain(s: str) -> tuple[list[tuple[int, int, tuple[str, ...]]], list[bool]]:
     found = candidates(s)
     ends = [0, *[x[1] for x in found]]
-    return found, [any(c.isalnum() for c in s[a : x[0]]) for a, x in zip(ends, found)]
+    # a quotation is a sentence even without a word
+    return found, ["quote" in x[2] or any(c.isalnum() for c in s[a : x[0]]) for a, x in zip(ends, found)]
 
 
 @functools.lru_cache(maxsize=1)
@@ -403,10 +420,15 @@ def weights() -> tuple[tuple[str, float], ...]:
     rounds = 100
     for n in range(rounds):
         for feats, gaps, gold in blocks:
-            for f, tag, right in zip(feats, viterbi(feats, gaps, w), gold):
+            tags = viterbi(feats, gaps, w)
+            for f, tag, right in zip(feats, tags, gold):
                 if tag != right:
                     for x in f[:-1]:
                         w[x] += 1.0 if right else -1.0
+            # a place's score changes sign with its tag, a transition's does not: half a step
+            for path, step in ((gold, 0.5), (tags, -0.5)):
+                for x in steps(path, gaps):
+                    w[x] += step
         for x, v in w.items():
             total[x] += v
     return tuple(sorted((x, v / rounds) for x, v in total.items()))

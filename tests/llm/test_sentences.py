@@ -82,3 +82,30 @@ def test_viterbi_is_the_best_of_all_taggings():
         return s + sum(w["empty"] for i in range(1, 4) if tags[i] and tags[i - 1] and not gaps[i])
 
     assert S.viterbi(feats, gaps, w) == list(max(product([False, True], repeat=4), key=score))
+
+
+def test_transitions_are_learnt_and_used():
+    assert W["empty"] < 0 and any(W.get(x) for x in S.STEPS.values())
+    assert parts("Rain fell. —! We ran.") == ["Rain fell. —!", "We ran."]
+    # each of the two places alone would end a sentence
+    alone = {x: v for x, v in W.items() if x != "empty" and x not in S.STEPS.values()}
+    assert len(S.sentences("Rain fell. —! We ran.", alone)) == 3
+    assert parts("Rain fell. “…” We ran.") == ["Rain fell.", "“…”", "We ran."]
+
+
+def test_viterbi_with_all_transitions_is_the_best_of_all_taggings():
+    from itertools import product
+    from random import Random
+
+    rnd, moved = Random(5), 0
+    for _ in range(50):
+        feats, gaps = [tuple(rnd.sample("abc", rnd.randint(1, 2))) for _ in range(5)], [rnd.random() < 0.5 for _ in range(5)]
+        w = {x: rnd.uniform(-1, 1) for x in ["a", "b", "c", "empty", *S.STEPS.values()]}
+
+        def score(tags):
+            return sum((1 if t else -1) * sum(w[x] for x in f) for f, t in zip(feats, tags)) + sum(w[x] for x in S.steps(tags, gaps))
+
+        best = list(max(product([False, True], repeat=5), key=score))
+        assert S.viterbi(feats, gaps, w) == best
+        moved += best != [sum(w[x] for x in f) > 0 for f in feats]
+    assert moved
