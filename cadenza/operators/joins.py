@@ -36,8 +36,8 @@ def dropped_rows(activities: DataFrame, phrases: DataFrame) -> DataFrame:
     return skew_join(a, p, ["_story"], "left").agg(F.count(F.lit(1)).alias("n_activities"), F.count_if(F.col("_has").isNull()).alias("n_dropped"))
 
 
-def words_in_pages(pages: DataFrame, words: DataFrame, right_ms: int = 1000, bucket_ms: int = 30_000) -> DataFrame:
-    """(activity_id, page_index, word_id): words whose start lies in the page's interval, both ends closed, and up to right_ms after it.
+def words_in_pages(pages: DataFrame, words: DataFrame, right_ms: int = 1000, bucket_ms: int = 30_000, columns: tuple[str, ...] = ("word_id",)) -> DataFrame:
+    """(activity_id, page_index, columns of the word): words whose start lies in the page's interval, both ends closed, and up to right_ms after it.
 
     A word can lie in two pages. Pages are put into the time buckets they touch,
     so a hot activity is joined bucket by bucket and not page by page.
@@ -45,10 +45,10 @@ def words_in_pages(pages: DataFrame, words: DataFrame, right_ms: int = 1000, buc
     p = pages.where(F.col("start_time").isNotNull() & (F.col("end_time") + right_ms >= F.col("start_time")))
     low, high = F.col("start_time"), F.col("end_time") + right_ms
     p = p.select("activity_id", "page_index", low.alias("low"), high.alias("high"), F.explode(F.sequence(F.floor(low / bucket_ms), F.floor(high / bucket_ms))).alias("bucket"))
-    w = words.where(F.abs("start") < 1e9).select("activity_id", "word_id", (F.col("start") * 1000).alias("at"))
+    w = words.where(F.abs("start") < 1e9).select("activity_id", *columns, (F.col("start") * 1000).alias("at"))
     w = w.withColumn("bucket", F.floor(F.col("at") / bucket_ms))
     hit = p.join(w, ["activity_id", "bucket"]).where((F.col("at") >= F.col("low")) & (F.col("at") <= F.col("high")))
-    return hit.select("activity_id", "page_index", "word_id")
+    return hit.select("activity_id", "page_index", *columns)
 
 
 def pages_with_phrases(documents: DataFrame, phrases: DataFrame) -> DataFrame:

@@ -596,10 +596,20 @@ def sequence_mapping(spark, d):
     return t.select("activity_id", "page_index", F.size(m).alias("n_mapped"))
 
 
+def _timed(spark, d):
+    """Every page with its phrases and the words that lie in it by time, whatever page the recogniser put them on; none where a page has no times."""
+    p = table(spark, d, "page_data").where("activity_id IS NOT NULL AND page_index IS NOT NULL").groupBy("activity_id", "page_index")
+    p = p.agg(*[F.max(c).alias(c) for c in ("phrases", "phrase_indices", "start_time", "end_time")])
+    w = joins.words_in_pages(p, table(spark, d, "word_items"), columns=("start", "end", "word_id", "word"))
+    w = w.groupBy("activity_id", "page_index").agg(F.array_sort(F.collect_list(F.struct("start", "end", "word_id", "word"))).alias("tokens"))
+    none = F.array().cast(w.schema["tokens"].dataType)
+    return p.join(w, ["activity_id", "page_index"], "left").withColumn("tokens", F.coalesce("tokens", none)).withColumnRenamed("start_time", "page_start")
+
+
 @query()
 def page_phrase_alignment(spark, d):
-    """Times of the phrases of a page."""
-    return align.phrase_timings(_told(spark, d))
+    """Times of the phrases of every page; those of a page without words are empty intervals at its start."""
+    return align.phrase_timings(_timed(spark, d))
 
 
 _SUB_PATTERN = {k: "[" + k + "".join(v) + "]" for k, v in SUBSTITUTES.items()}
