@@ -741,12 +741,28 @@ def upsert_status(spark, d):
     return sinks.upserted(t, c, "activityid")
 
 
+def _documents(spark, d):
+    t = _timed(spark, d).withColumnRenamed("end_time", "page_end")
+    return sinks.timing_documents(t.drop("tokens"), align.phrase_timings(t.where(F.size("tokens") > 0)))
+
+
 @query("SELECT activity_id, CAST(count(*) AS BIGINT) AS n_pages FROM (SELECT DISTINCT activity_id, page_index FROM page_data WHERE activity_id IS NOT NULL AND page_index IS NOT NULL AND start_time IS NOT NULL) GROUP BY 1")
 def timing_documents(spark, d):
-    """One JSON document of page times an activity, counted after parsing it again."""
-    t = table(spark, d, "page_data").where("activity_id IS NOT NULL AND page_index IS NOT NULL AND start_time IS NOT NULL").select("activity_id", "page_index", F.lit(0).alias("phrase"), F.col("start_time").alias("start_ms"), F.col("end_time").alias("end_ms"), F.lit("").alias("parsed"))
-    doc = sinks.timing_json(t)
-    return doc.select("activity_id", F.size(F.from_json("timing", "pages array<struct<page_index:int>>")["pages"]).cast("bigint").alias("n_pages"))
+    """The pages with a known start in the JSON document of each activity, counted after parsing it again.
+
+    The documents hold all pages; timing_document_rows gives them whole.
+    """
+    pages = F.from_json("timing", "pages array<struct<page_start:int>>")["pages"]
+    n = F.size(F.filter(pages, lambda p: p["page_start"].isNotNull())).cast("bigint")
+    return _documents(spark, d).select("activity_id", n.alias("n_pages")).where("n_pages > 0")
+
+
+@query()
+def timing_document_rows(spark, d):
+    """The documents parsed again: a row for each phrase of every page, and one for a page without phrases."""
+    pages = F.from_json("timing", "pages array<struct<page_index:int,page_start:int,page_end:int,phrases:array<struct<phrase_idx:int,start:int,end:int,parsed:string,phrase_text:string>>>>")["pages"]
+    t = _documents(spark, d).select("activity_id", F.inline(pages))
+    return t.select("activity_id", "page_index", "page_start", "page_end", F.inline_outer("phrases"))
 
 
 @query("SELECT DISTINCT activity_id FROM job_messages WHERE activity_id IS NOT NULL")

@@ -50,6 +50,27 @@ def timing_json(timings: DataFrame) -> DataFrame:
     return pages.groupBy("activity_id").agg(F.to_json(F.struct(F.array_sort(F.collect_list(page)).alias("pages"))).alias("timing"))
 
 
+def timing_documents(pages: DataFrame, timings: DataFrame) -> DataFrame:
+    """(activity_id, timing): a JSON document of all pages of each activity, in order, with absolute phrase indices.
+
+    pages: activity_id, page_index, phrase_indices, phrases (texts), page_start,
+    page_end; one row a page. timings: those of phrase_timings, for all phrases
+    of a page or none. A page without timings has default rows: an empty
+    interval at its start (0 if unknown) with parsed ''. Unknown times of pages
+    are written as null.
+    """
+    phrase = F.struct("phrase", "start_ms", "end_ms", "parsed")
+    t = timings.groupBy("activity_id", "page_index").agg(F.array_sort(F.collect_list(phrase)).alias("_timed"))
+    start = F.coalesce("page_start", F.lit(0))
+    row = lambda i, a, b, parsed: F.struct(F.get("phrase_indices", i).alias("phrase_idx"), a.alias("start"), b.alias("end"), parsed.alias("parsed"), F.coalesce(F.get("phrases", i), F.lit("")).alias("phrase_text"))
+    timed = F.transform("_timed", lambda x: row(x["phrase"], x["start_ms"], x["end_ms"], x["parsed"]))
+    default = F.transform("phrases", lambda _, i: row(i, start, start, F.lit("")))
+    page = F.struct("page_index", "page_start", "page_end", F.coalesce(timed, default, F.array().cast("array<struct<phrase_idx:int,start:int,end:int,parsed:string,phrase_text:string>>")).alias("phrases"))
+    rows = pages.join(t, ["activity_id", "page_index"], "left").select("activity_id", page.alias("page"))
+    doc = F.struct(F.array_sort(F.collect_list("page")).alias("pages"))
+    return rows.groupBy("activity_id").agg(F.to_json(doc, {"ignoreNullFields": "false"}).alias("timing"))
+
+
 def report_lines(words: DataFrame) -> DataFrame:
     """line: one padded line a word (word, a, b, confidence)."""
     return words.select(F.format_string("%s %s %s %.3f", F.rpad("word", 16, " "), F.rpad(F.col("a").cast("string"), 4, " "), F.rpad(F.col("b").cast("string"), 4, " "), F.col("confidence").cast("double")).alias("line"))

@@ -41,3 +41,20 @@ def test_page_phrase_alignment_is_by_time_and_keeps_pages(spark, pages):
         ("a", 3, 0, 0, 0, ""),
         ("b", 0, 0, 0, 0, ""),
     ]
+
+
+def test_timing_documents_hold_every_page(spark, pages):
+    got = catalog.queries()["timing_document_rows"](spark, pages).collect()
+    key = lambda r: (r.activity_id, r.page_index, r.phrase_idx or 0)
+    assert [tuple(r) for r in sorted(got, key=key)] == [
+        ("a", 0, 1000, 2000, 3, 1000, 1500, "one two", "one two"),
+        ("a", 0, 1000, 2000, 4, 2500, 2750, "three", "three"),
+        ("a", 1, 2000, 4000, 5, 2500, 2500, "three four", "three four"),
+        ("a", 2, 9000, 9500, 6, 9000, 9000, "", "five"),
+        ("a", 2, 9000, 9500, 7, 9000, 9000, "", "six"),
+        ("a", 3, None, 9900, 8, 0, 0, "", "one"),
+        ("a", 4, 1000, 2000, None, None, None, None, None),
+        ("b", 0, None, None, 0, 0, 0, "", "one"),
+    ]
+    counts = catalog.queries()["timing_documents"](spark, pages).collect()
+    assert [(r.activity_id, r.n_pages) for r in counts] == [("a", 4)]
