@@ -821,17 +821,34 @@ def skip_existing(spark, d):
     return joins.not_done(rows, table(spark, d, "activity_results"), "activity_id")
 
 
+def _dictionary(spark, d):
+    """word, phonemes: the words of the stories with a phonetic form, the least of several."""
+    n = F.least(F.size("expected_text"), F.size("reference_phonemes"))
+    z = table(spark, d, "story_phrase").where(n >= 0).select(F.explode(F.arrays_zip(F.slice("expected_text", F.lit(1), n).alias("word"), F.slice("reference_phonemes", F.lit(1), n).alias("p"))).alias("x"))
+    return z.groupBy("x.word").agg(F.min("x.p").alias("phonemes")).where("phonemes IS NOT NULL")
+
+
+def _known(spark, d, dictionary):
+    w = table(spark, d, "page_data").where(F.size("phrases") > 0).select("activity_id", "page_index", F.explode(F.split(F.array_join("phrases", " "), " ")).alias("word"))
+    return joins.spoken_forms(w, dictionary).groupBy("activity_id", "page_index").agg(F.count(F.lit(1)).alias("n_words"), F.count("phonemes").alias("n_known"))
+
+
 @query("""WITH z AS (SELECT expected_text, reference_phonemes, unnest(generate_series(1, least(len(expected_text), len(reference_phonemes)))) AS i FROM story_phrase WHERE expected_text IS NOT NULL AND reference_phonemes IS NOT NULL),
 dict AS (SELECT expected_text[i] AS word, min(reference_phonemes[i]) AS phonemes FROM z WHERE expected_text[i] < 'n' GROUP BY 1 HAVING min(reference_phonemes[i]) IS NOT NULL),
 w AS (SELECT activity_id, page_index, unnest(string_split(array_to_string(phrases, ' '), ' ')) AS word FROM page_data WHERE len(phrases) > 0)
 SELECT activity_id, page_index, count(*) AS n_words, count(phonemes) AS n_known FROM w LEFT JOIN dict USING (word) GROUP BY 1, 2""")
 def dictionary_join(spark, d):
-    """Words of pages with their phonetic forms."""
-    n = F.least(F.size("expected_text"), F.size("reference_phonemes"))
-    z = table(spark, d, "story_phrase").where(n >= 0).select(F.explode(F.arrays_zip(F.slice("expected_text", F.lit(1), n).alias("word"), F.slice("reference_phonemes", F.lit(1), n).alias("p"))).alias("x"))
-    words = z.where("x.word < 'n'").groupBy("x.word").agg(F.min("x.p").alias("phonemes")).where("phonemes IS NOT NULL")
-    w = table(spark, d, "page_data").where(F.size("phrases") > 0).select("activity_id", "page_index", F.explode(F.split(F.array_join("phrases", " "), " ")).alias("word"))
-    return joins.spoken_forms(w, words).groupBy("activity_id", "page_index").agg(F.count(F.lit(1)).alias("n_words"), F.count("phonemes").alias("n_known"))
+    """Words of pages with their phonetic forms, by the dictionary of words before 'n' alone, as its SQL asks; dictionary_join_whole has all of it."""
+    return _known(spark, d, _dictionary(spark, d).where("word < 'n'"))
+
+
+@query("""WITH z AS (SELECT expected_text, reference_phonemes, unnest(generate_series(1, least(len(expected_text), len(reference_phonemes)))) AS i FROM story_phrase WHERE expected_text IS NOT NULL AND reference_phonemes IS NOT NULL),
+dict AS (SELECT expected_text[i] AS word, min(reference_phonemes[i]) AS phonemes FROM z GROUP BY 1 HAVING min(reference_phonemes[i]) IS NOT NULL),
+w AS (SELECT activity_id, page_index, unnest(string_split(array_to_string(phrases, ' '), ' ')) AS word FROM page_data WHERE len(phrases) > 0)
+SELECT activity_id, page_index, count(*) AS n_words, count(phonemes) AS n_known FROM w LEFT JOIN dict USING (word) GROUP BY 1, 2""")
+def dictionary_join_whole(spark, d):
+    """Words of pages with their phonetic forms, by the whole dictionary."""
+    return _known(spark, d, _dictionary(spark, d))
 
 
 @query(f"""SELECT activityid, count(ms) AS n, round(sum(ms) / greatest(1, count(ms)), 6) AS mean_ms, round(sum(b) / 1e6 / greatest(0.001, sum(ms) / 1000), 9) AS mb_per_s
