@@ -39,6 +39,21 @@ def histogram_ranks(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
     return h.withColumn("upto", F.sum("c").over(w.orderBy("v"))).withColumn("n", F.sum("c").over(w))
 
 
+def run_statistics(df: DataFrame, keys: list[str], value: Column, ok: Column) -> DataFrame:
+    """keys, n_runs, success_rate, and n, mean, median (exact), stdev, least, most of the non-null values of the successes."""
+    t = df.select(*keys, F.coalesce(ok, F.lit(False)).alias("ok"), F.when(ok, value).alias("v"))
+    v = F.col("v")
+    out = t.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_runs"), F.round(F.count_if("ok") / F.count(F.lit(1)), 6).alias("success_rate"), F.count(v).alias("n"), F.round(F.avg(v), 10).alias("mean"), F.round(F.coalesce(F.stddev_samp(v), F.lit(0.0)), 6).alias("stdev"), F.min(v).alias("least"), F.max(v).alias("most"))
+    at = lambda r: F.min(F.when(F.col("upto") >= r, v))
+    n = F.col("n")
+    mid = histogram_ranks(t, keys, v).groupBy(*keys).agg(F.round((at(F.floor((n + 1) / 2)) + at(F.floor(n / 2) + 1)) / 2, 10).alias("median"))
+    mid = mid.select(*[F.col(k).alias(f"_{k}") for k in keys], "median")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return out.join(mid, same, "left").drop(*[f"_{k}" for k in keys])
+
+
 def exclusive_quantile(df: DataFrame, keys: list[str], value: Column, k: int, of: int) -> DataFrame:
     """keys, n, q: the k-th of `of` quantiles by the rule of rank (n + 1) * k / of, interpolated; null under two values.
 

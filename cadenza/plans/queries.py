@@ -315,6 +315,13 @@ def bench_stats(spark, d):
     return metrics.speedups(metrics.statistics(t, ["processor"], metrics.measured("processing_time")), "processor", "cpu-lambda-x86")
 
 
+@query("""WITH r AS (SELECT processor, coalesce(status = 'processed', false) AS ok, CASE WHEN status = 'processed' AND NOT isnan(processing_time) AND processing_time >= 0 THEN processing_time END AS v FROM activity_results)
+SELECT processor, count(*) AS n_runs, round(count(*) FILTER (WHERE ok) / count(*), 6) AS success_rate, count(v) AS n, round(avg(v), 10) AS mean, round(median(v), 10) AS median, round(coalesce(stddev_samp(v), 0), 6) AS stdev, min(v) AS least, max(v) AS most FROM r GROUP BY processor""")
+def run_stats(spark, d):
+    """Statistics of a processor over its successes, with the median and the success rate."""
+    return metrics.run_statistics(table(spark, d, "activity_results"), ["processor"], metrics.measured("processing_time"), F.col("status") == "processed")
+
+
 @query("""SELECT processor FROM activity_results WHERE NOT isnan(processing_time) AND processing_time >= 0 AND processor IS NOT NULL GROUP BY processor ORDER BY round(avg(processing_time), 10), processor LIMIT 1""")
 def fastest_processor(spark, d):
     s = metrics.statistics(table(spark, d, "activity_results").where("processor IS NOT NULL"), ["processor"], metrics.measured("processing_time"))

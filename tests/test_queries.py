@@ -66,3 +66,11 @@ def test_whole_dictionary_and_unknown_words(spark, save):
     d = save(page_data=(p, PAGES), story_phrase=(s, "storyid string, phraseindex int, expected_text array<string>, reference_phonemes array<string>"))
     got = {n: catalog.queries()[n](spark, d).first() for n in ("dictionary_join_whole", "dictionary_join")}
     assert {n: (r.n_words, r.n_known) for n, r in got.items()} == {"dictionary_join_whole": (4, 2), "dictionary_join": (4, 1)}
+
+
+def test_run_stats_has_median_and_success_rate(spark, save):
+    ok, nan = "processed", float("nan")
+    rows = [("x", 1.0, ok), ("x", 4.0, ok), ("x", 2.0, ok), ("x", 2.5, ok), ("x", 99.0, "failed"), ("y", 3.0, "failed"), (None, 5.0, ok), (None, nan, None)]
+    d = save(activity_results=(rows, "processor string, processing_time double, status string"))
+    got = {r.processor: (r.n_runs, r.success_rate, r.n, r.median, r.most) for r in catalog.queries()["run_stats"](spark, d).collect()}
+    assert got == {"x": (5, 0.8, 4, 2.25, 4.0), "y": (1, 0.0, 0, None, None), None: (2, 0.5, 1, 5.0, 5.0)}
