@@ -10,6 +10,7 @@ import difflib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,13 +24,27 @@ ALIGNED = "phonemes array<string>, errors array<boolean>, confidences array<doub
 
 
 def common_subsequence(a: list, b: list) -> list[tuple[int, int]]:
-    """Places (i, j) of a longest common subsequence; of several, the one whose matches come first in a."""
+    """Places (i, j) of a longest common subsequence; of several, the one whose matches come first in a.
+
+    Equal ends are taken off first: they are part of it. Each row of the table
+    is made at once, as the maxima from the right of the row below and what a
+    match adds to it.
+    """
     n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
+    head = next((k for k in range(min(n, m)) if a[k] != b[k]), min(n, m))
+    if head:
+        return [*zip(range(head), range(head)), *((i + head, j + head) for i, j in common_subsequence(a[head:], b[head:]))]
+    if not n or not m:
+        return []
+    known: dict = {}
+    code = [known.setdefault(x, len(known)) for x in a]
+    there = np.array([known.get(x, -1) for x in b])
+    best = np.zeros((n + 1, m + 1), np.int32)
     for i in range(n - 1, -1, -1):
-        row, below, x = best[i], best[i + 1], a[i]
-        for j in range(m - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if x == b[j] else max(below[j], row[j + 1])
+        below = best[i + 1]
+        gain = np.where(there == code[i], below[1:] + 1, below[:-1])
+        best[i, :m] = np.maximum.accumulate(gain[::-1])[::-1]
+    best = best.tolist()
     out, i, j = [], 0, 0
     while i < n and j < m:
         if a[i] == b[j]:
@@ -51,7 +66,7 @@ def align_items(expected: list[str], reference: list[str], heard: list[str], con
     the item that comes next; unanswered reference elements are errors. The
     entries are cut or filled to the number of items.
     """
-    sure = lambda j: confidence[j] if j < len(confidence) else 0.0
+    sure = lambda j: confidence[j] or 0.0 if j < len(confidence) else 0.0
     item = lambda i: expected[i] if i < len(expected) else reference[i] if i < len(reference) else ""
     missing = (DASH, True, 0.0)
     out: list[tuple[str, bool, float]] = []
@@ -74,17 +89,21 @@ def align_items(expected: list[str], reference: list[str], heard: list[str], con
 
 
 def aligned_items(expected: Column, reference: Column, heard: Column, confidence: Column, weighted: bool = True) -> Column:
-    """Struct (phonemes, errors, confidences) per row; null arrays count as empty. A failing row has every item as an error."""
+    """Struct (phonemes, errors, confidences) per row; null arrays count as empty and null confidences as 0.
+
+    A row with a null among its reference or heard elements can't be aligned:
+    every item of it is an error.
+    """
 
     @F.pandas_udf(ALIGNED)
     def search(e: pd.Series, r: pd.Series, h: pd.Series, c: pd.Series) -> pd.DataFrame:
         rows = []
         for row in zip(e, r, h, c):
-            try:
-                rows.append(align_items(*[list(x) for x in row], weighted))
-            except Exception:
+            if any(x is None for k in (1, 2) for x in row[k]):
                 n = len(row[0])
                 rows.append(([DASH] * n, [True] * n, [0.0] * n))
+            else:
+                rows.append(align_items(*[list(x) for x in row], weighted))
         return pd.DataFrame(rows, columns=["phonemes", "errors", "confidences"], dtype=object)
 
     e, r, h = (F.coalesce(x, F.array().cast("array<string>")) for x in (expected, reference, heard))
@@ -118,31 +137,39 @@ def _pattern(word: str) -> re.Pattern:
 def sound_matches(story: list[str], told: list[str]) -> list[int]:
     """1 for each phonetic story word whose aligned told word, or two told words taken together, matches it up to substitutes."""
     n, m = len(story), len(told)
-    inf = n + m + 1
-    fits = [_pattern(w) for w in story]
-    cost = [[inf] * (m + 1) for _ in range(n + 1)]
-    step: list[list[tuple[int, int, bool]]] = [[(0, 0, False)] * (m + 1) for _ in range(n + 1)]
-    cost[0][0] = 0
-    for i in range(n + 1):
-        for j in range(m + 1):
-            ways = []
-            if i and j:
-                hit = bool(fits[i - 1].search(told[j - 1]))
-                ways.append((cost[i - 1][j - 1] + (not hit), (1, 1, hit)))
-            if i and j > 1 and fits[i - 1].search(told[j - 2] + told[j - 1]):
-                ways.append((cost[i - 1][j - 2], (1, 2, True)))
-            if i:
-                ways.append((cost[i - 1][j] + 1, (1, 0, False)))
-            if j:
-                ways.append((cost[i][j - 1] + 1, (0, 1, False)))
-            if ways:
-                cost[i][j], step[i][j] = min(ways, key=lambda w: w[0])
+    far = n + m + 1
+    # each different word is searched once in each different word or pair of words
+    words, pairs = sorted(set(told)), sorted({x + y for x, y in zip(told, told[1:])})
+    at_word, at_pair = np.searchsorted(words, told), np.searchsorted(pairs, [x + y for x, y in zip(told, told[1:])])
+    one: dict[str, np.ndarray] = {}
+    two: dict[str, np.ndarray] = {}
+    for w in set(story):
+        fits = _pattern(w)
+        one[w] = np.array([bool(fits.search(x)) for x in words], bool)[at_word]
+        two[w] = np.array([bool(fits.search(x)) for x in pairs], bool)[at_pair] if pairs else np.zeros(0, bool)
+    cost = np.zeros((n + 1, m + 1), np.int64)
+    steps = np.arange(m + 1)
+    cost[0] = steps
+    for i, w in enumerate(story):
+        above = cost[i]
+        least = above + 1
+        least[1:] = np.minimum(least[1:], above[:-1] + ~one[w])
+        least[2:] = np.minimum(least[2:], np.where(two[w], above[:-2], far))
+        # told words left over: the cheapest place to the left and one a word
+        cost[i + 1] = np.minimum.accumulate(least - steps) + steps
     out, i, j = [0] * n, n, m
-    while i or j:
-        di, dj, hit = step[i][j]
-        if di and hit:
+    while i:
+        w, here = story[i - 1], cost[i, j]
+        if j and here == cost[i - 1, j - 1] + (not one[w][j - 1]):
+            out[i - 1] = int(one[w][j - 1])
+            i, j = i - 1, j - 1
+        elif j > 1 and two[w][j - 2] and here == cost[i - 1, j - 2]:
             out[i - 1] = 1
-        i, j = i - di, j - dj
+            i, j = i - 1, j - 2
+        elif here == cost[i - 1, j] + 1:
+            i -= 1
+        else:
+            j -= 1
     return out
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import folded
-from cadenza.plans.skew import hot_keys
+from cadenza.plans.skew import HOT_ROWS, hot_keys
 
 #: Epoch values from here up are milliseconds.
 MILLIS_FROM = 100_000_000_000
@@ -31,7 +31,7 @@ def tag_duplicates(
     row_id: str,
     stored: DataFrame | None = None,
     part_rows: int = 100_000,
-    hot_rows: int = 1_000_000,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """All stored and new rows with ``_keep``: true for exactly one row of each identifier.
 
@@ -43,8 +43,9 @@ def tag_duplicates(
 
     An empty table gives an empty result. Columns of the input called like an
     identifier part are not touched: the parts live in the struct ``_id``, which
-    is dropped again. An identifier with more than hot_rows rows is never
-    shuffled by itself: its rows are marked where they are and go to their parts.
+    is dropped again. A hot identifier (of more than hot_rows rows, as hot_keys
+    finds it) is never shuffled by itself: its rows are marked where they are and
+    go to their parts.
     """
     rows = new if stored is None else stored.unionByName(new, allowMissingColumns=True)
     key = F.struct(*[c.alias(k) for k, c in identifier.items()])
@@ -54,7 +55,7 @@ def tag_duplicates(
     hot = hot_keys(rows.select("_id"), ["_id"], hot_rows)
     on = F.col("_id") == F.col("_rid")  # structs: null fields compare as equal
     some = rows
-    if hot is not None:  # at most count / hot_rows identifiers: small whatever the data
+    if hot is not None:  # at most spark.sql.shuffle.partitions identifiers
         often = F.broadcast(hot.select(F.col("_id").alias("_rid"), F.col("n_hot").alias("_n")))
         some = rows.join(often, on, "left_anti")
     # AQE broadcasts the repeated identifiers if they turn out small
@@ -72,17 +73,19 @@ def tag_duplicates(
     return singles.drop("_id").unionByName(final.drop("_id", "_rid", "_n", "_part", "_r1", "_r2"))
 
 
-def tag_deliveries(new: DataFrame, stored: DataFrame | None = None, part_rows: int = 100_000, hot_rows: int = 1_000_000) -> DataFrame:
+def tag_deliveries(new: DataFrame, stored: DataFrame | None = None, part_rows: int = 100_000, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Deliveries of job messages with ``_keep``.
 
     Two deliveries are of one message if activity_id and source are equal apart
     from case and surrounding white space and timestamp is the same second; null
     equals only null. The earliest received_at stays (null counts as latest),
     then the smallest delivery_id. Rows with a null or blank activity_id name no
-    message; they are left out.
+    message, so they repeat none: all of them are kept.
     """
     named = F.col("activity_id").rlike(r"(?U)\S")
-    return tag_duplicates(
+    every = new if stored is None else stored.unionByName(new, allowMissingColumns=True)
+    unnamed = every.where(~F.coalesce(named, F.lit(False))).withColumn("_keep", F.lit(True))
+    tagged = tag_duplicates(
         new.where(named),
         {"a": folded(F.col("activity_id")), "s": folded(F.col("source")), "t": epoch_seconds(F.col("timestamp"))},
         [F.col("received_at").asc_nulls_last()],
@@ -91,13 +94,20 @@ def tag_deliveries(new: DataFrame, stored: DataFrame | None = None, part_rows: i
         part_rows,
         hot_rows,
     )
+    return tagged.unionByName(unnamed)
 
 
 def keep_one(new: DataFrame, stored: DataFrame | None = None, part_rows: int = 100_000) -> DataFrame:
-    """One delivery of each message over all stored and new ones."""
+    """One delivery of each message over all stored and new ones, and every delivery without an activity_id."""
     return tag_deliveries(new, stored, part_rows).where("_keep").drop("_keep")
 
 
+def kept(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """(delivery_id) of the deliveries that stay, over those stored before and new ones."""
+    few = ["delivery_id", "activity_id", "source", "timestamp", "received_at"]
+    return keep_one(new.select(*few), stored.select(*few)).select("delivery_id")
+
+
 def found(new: DataFrame) -> DataFrame:
     """(delivery_id) of the deliveries to drop."""
     return tag_deliveries(new.select("delivery_id", "activity_id", "source", "timestamp", "received_at")).where("NOT _keep").select("delivery_id")
@@ -115,3 +125,5 @@ r AS (
   FROM k WHERE a <> '')
 SELECT delivery_id FROM r WHERE n > 1
 """
+
+KEPT_SQL = f"SELECT delivery_id FROM job_messages WHERE delivery_id NOT IN ({FOUND_SQL})"

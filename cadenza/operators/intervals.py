@@ -13,17 +13,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cadenza.plans.skew import hot_keys, same_keys
+from cadenza.plans.skew import HOT_ROWS, hot_keys, same_keys
 
 
-def periods_and_gaps(df: DataFrame, keys: list[str], hot_rows: int = 1_000_000, slice_ms: int = 600_000) -> DataFrame:
+def periods_and_gaps(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, slice_ms: int = 600_000) -> DataFrame:
     """keys, kind ('period' or 'gap'), start_ms, end_ms from rows with keys, start_ms and end_ms (bigint).
 
     Rows with a null key, start or end and rows with end_ms <= start_ms are left
     out. Repeated rows change nothing. Other columns of df are not looked at. An
-    empty table gives an empty result. Keys with more than hot_rows rows are cut
-    into slices of slice_ms, so no task sorts more than hot_rows rows or one
-    slice's distinct starts (at most slice_ms of them).
+    empty table gives an empty result. Hot keys (of more than hot_rows rows, as
+    hot_keys finds them) are cut into slices of slice_ms, so of a hot key no task
+    sorts more than one slice's distinct starts (at most slice_ms of them).
     """
     ok = F.lit(True)
     for k in keys:
@@ -33,10 +33,10 @@ def periods_and_gaps(df: DataFrame, keys: list[str], hot_rows: int = 1_000_000,
     at = keys
     if hot is not None:
         at = [*keys, "_slice"]
-        # at most count / hot_rows keys: small whatever the data
-        cut = rows.join(F.broadcast(hot.drop("n_hot")), keys).withColumn("_slice", F.floor(F.col("start_ms") / slice_ms))
+        # at most spark.sql.shuffle.partitions keys
+        cut = rows.join(F.broadcast(hot.select(*keys)), keys).withColumn("_slice", F.floor(F.col("start_ms") / slice_ms))
         cut = cut.groupBy(*keys, "_slice", "start_ms").agg(F.max("end_ms").alias("end_ms")).select(*keys, "start_ms", "end_ms", "_slice")
-        rows = rows.join(F.broadcast(hot.drop("n_hot")), keys, "left_anti").withColumn("_slice", F.lit(0).cast("bigint")).unionByName(cut)
+        rows = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").withColumn("_slice", F.lit(0).cast("bigint")).unionByName(cut)
     gap = F.expr("make_interval(0, 0, 0, 0, 0, 0, cast((end_ms - start_ms) as decimal(18, 0)) / 1000)")
     merged = rows.groupBy(*at, F.session_window(F.timestamp_millis("start_ms"), gap).alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
     merged = merged.select(*at, F.unix_millis("_s.start").alias("s"), F.unix_millis("_s.end").alias("e"))
@@ -72,7 +72,7 @@ def _carry(df: DataFrame, keys: list[str], edge, over) -> DataFrame:
     return df.join(slices, same_keys(df, slices, at), "left").select(df["*"], slices["_carried"])
 
 
-def found(word_items: DataFrame, page_data: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+def found(word_items: DataFrame, page_data: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(src, activity_id, page_index, kind, start_ms, end_ms) of both tables: words per page, pages per activity (page_index -1)."""
     ms = lambda c: F.round(F.col(c) * 1000).cast("bigint")
     finite = lambda c: F.abs(F.col(c)) < 1e12  # noqa: E731  (neither NaN nor infinite)

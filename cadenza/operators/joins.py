@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.sequences import accepted, common_length, plain_phrase
@@ -36,21 +36,64 @@ def dropped_rows(activities: DataFrame, phrases: DataFrame) -> DataFrame:
     return skew_join(a, p, ["_story"], "left").agg(F.count(F.lit(1)).alias("n_activities"), F.count_if(F.col("_has").isNull()).alias("n_dropped"))
 
 
+#: A page interval is put into two buckets at most on each of these levels, the width growing by WIDER from one to the next.
+LEVELS = 10
+WIDER = 16
+
+
 def words_in_pages(pages: DataFrame, words: DataFrame, right_ms: int = 1000, bucket_ms: int = 30_000, columns: tuple[str, ...] = ("word_id",)) -> DataFrame:
     """(activity_id, page_index, columns of the word): words whose start lies in the page's interval, both ends closed, and up to right_ms after it.
 
-    A word can lie in two pages. Pages are put into the time buckets they touch,
-    so a hot activity is joined bucket by bucket and not page by page.
+    A word can lie in two pages. A page is put into the one or two time buckets
+    it touches, of the least width that makes them that few, so a hot activity is
+    joined bucket by bucket and one page with a far end makes no more rows than
+    any other. Words come once for each width that pages have (one, unless pages
+    last longer than bucket_ms).
     """
-    p = pages.where(F.col("start_time").isNotNull() & (F.col("end_time") + right_ms >= F.col("start_time")))
-    low, high = F.col("start_time"), F.col("end_time") + right_ms
-    p = p.select("activity_id", "page_index", low.alias("low"), high.alias("high"), F.explode(F.sequence(F.floor(low / bucket_ms), F.floor(high / bucket_ms))).alias("bucket"))
+    low, high = F.col("start_time").cast("bigint"), F.col("end_time").cast("bigint") + right_ms
+    p = pages.where(F.col("start_time").isNotNull() & (high >= low)).select("activity_id", "page_index", low.alias("low"), high.alias("high"))
+    long = F.lit(LEVELS)
+    for k in reversed(range(LEVELS)):
+        long = F.when(F.col("high") - F.col("low") < bucket_ms * WIDER**k, k).otherwise(long)
+    p = p.withColumn("level", long.cast("int"))
+    width = lambda level: F.lit(bucket_ms).cast("bigint") * F.pow(F.lit(float(WIDER)), level).cast("bigint")
+    at = lambda t: F.floor(F.col(t) / width(F.col("level")))
+    # on the last level all pages share one bucket
+    first = F.when(F.col("level") < LEVELS, at("low")).otherwise(0).cast("bigint")
+    last = F.when(F.col("level") < LEVELS, at("high")).otherwise(0).cast("bigint")
+    p = p.withColumn("bucket", F.explode(F.sequence(first, last)))
+    # at most LEVELS + 1 numbers
+    there = sorted(r.level for r in pages.where(F.col("start_time").isNotNull() & (high >= low)).select(low.alias("low"), high.alias("high")).select(long.cast("int").alias("level")).distinct().collect())
     w = words.where(F.abs("start") < 1e9).select("activity_id", *columns, (F.col("start") * 1000).alias("at"))
-    w = w.withColumn("bucket", F.floor(F.col("at") / bucket_ms))
-    hit = p.join(w, ["activity_id", "bucket"]).where((F.col("at") >= F.col("low")) & (F.col("at") <= F.col("high")))
+    if there in ([], [0]):
+        w = w.withColumn("level", F.lit(0))
+    else:
+        w = w.withColumn("level", F.explode(F.array(*[F.lit(k) for k in there])))
+    w = w.withColumn("bucket", F.when(F.col("level") < LEVELS, at("at")).otherwise(0).cast("bigint"))
+    hit = p.join(w, ["activity_id", "level", "bucket"]).where((F.col("at") >= F.col("low")) & (F.col("at") <= F.col("high")))
     return hit.select("activity_id", "page_index", *columns)
 
 
+def with_threshold(rows: DataFrame, thresholds: DataFrame, model: str) -> DataFrame:
+    """rows with threshold by model (one row a model); an unknown or null model keeps its rows, with a null threshold and ``unknown`` true.
+
+    The caller decides whether unknown models are an error; none is dropped.
+    """
+    t = thresholds.select(model, "threshold", F.lit(True).alias("_known"))
+    out = skew_join(rows, t, [model], "left")
+    return out.withColumn("unknown", F.col("_known").isNull()).drop("_known")
+
+
+def phrases_of(responses: DataFrame, lists: dict[str, Column]) -> DataFrame:
+    """One row for each place of a response's parallel lists (name -> array column), with the columns of responses; shorter lists end all.
+
+    A null list has no places.
+    """
+    n = F.least(*[F.coalesce(F.size(c), F.lit(0)) for c in lists.values()], F.lit(2**31 - 1))
+    zipped = F.arrays_zip(*[F.slice(c, F.lit(1), F.greatest(n, F.lit(0))).alias(k) for k, c in lists.items()])
+    return responses.select("*", F.posexplode(zipped).alias("place", "_z")).select(*responses.columns, "place", *[F.col("_z")[k].alias(k) for k in lists])
+
+
 def pages_with_phrases(documents: DataFrame, phrases: DataFrame) -> DataFrame:
     """(doc_id, storyid, phraseindex): phrases that occur in a text of their story, compared without case and punctuation."""
     d = documents.where(F.col("text").isNotNull()).select("doc_id", folded(F.col("story_id")).alias("storyid"), plain_phrase(F.col("text")).alias("_page"))
@@ -106,3 +149,10 @@ def spoken_forms(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     AQE broadcasts the dictionary if it turns out small; hot words are spread.
     """
     return skew_join(words, dictionary, ["word"], "left")
+
+
+def united_sets(first: DataFrame, second: DataFrame, key: str, items: str) -> DataFrame:
+    """key, items: for each row of first its items and those of second for the key, each once and in order. Keys of second alone add nothing."""
+    b = second.select(key, F.col(items).alias("_more"))
+    none = F.filter(F.col(items), lambda x: F.lit(False))
+    return first.join(b, key, "left").select(key, F.array_sort(F.array_union(items, F.coalesce("_more", none))).alias(items))

@@ -32,11 +32,38 @@ def speedups(stats: DataFrame, name: str, baseline: str) -> DataFrame:
     return stats.withColumn("speedup", F.round(F.try_divide(base, F.col("mean")), 9))
 
 
-def histogram_ranks(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
-    """keys, v, n (all of the key), upto: distinct values with their cumulated count. Equal values are combined before the shuffle."""
-    h = df.select(*keys, value.alias("v")).where("v IS NOT NULL").groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c"))
-    w = W.partitionBy(*keys)
-    return h.withColumn("upto", F.sum("c").over(w.orderBy("v"))).withColumn("n", F.sum("c").over(w))
+#: Buckets of an octave in which ranks are looked for first.
+PER_OCTAVE = 256
+
+
+def values_at(df: DataFrame, keys: list[str], value: Column, ranks: dict[str, Column]) -> DataFrame:
+    """keys, n and the value at each rank (name -> expression of n, from 1) among the non-null values of the key, exactly.
+
+    NaN ranks above all. A rank outside 1 to n has a null value. Counts of
+    buckets, by the value's logarithm, are combined before the shuffle and show
+    which bucket holds each rank; only the distinct values of those buckets are
+    put in order, each bucket apart, so no task orders a key's values.
+    """
+    k = [f"_k{i}" for i in range(len(keys))]
+    v = F.col("_v")
+    size = F.abs(v)
+    e = F.when(F.isnan(v), F.lit(2_000_000).cast("bigint")).otherwise(F.floor(F.least(F.log2(size) * PER_OCTAVE, F.lit(1e6))).cast("bigint") + 400_000)
+    rows = df.select(F.struct(*[F.col(c).alias(n) for c, n in zip(keys, k)], F.lit(0).alias("_")).alias("_k"), value.cast("double").alias("_v")).where(v.isNotNull())
+    rows = rows.withColumn("_b", F.when(v == 0, F.lit(0).cast("bigint")).when(v < 0, -e).otherwise(e))
+    h = rows.groupBy("_k", "_b").agg(F.count(F.lit(1)).alias("_c"))
+    h = h.withColumn("_to", F.sum("_c").over(W.partitionBy("_k").orderBy("_b"))).withColumn("n", F.sum("_c").over(W.partitionBy("_k")))
+    asked = {f"_r{i}": r.cast("bigint") for i, r in enumerate(ranks.values())}
+    inside = {c: F.when((r <= F.col("_to")) & (r > F.col("_to") - F.col("_c")), r - F.col("_to") + F.col("_c")) for c, r in asked.items()}
+    h = h.select("_k", "_b", "n", *[c.alias(i) for i, c in inside.items()])
+    wanted = h.where(F.coalesce(*asked).isNotNull()).select(F.col("_k").alias("_ak"), F.col("_b").alias("_ab"), *asked)
+    near = rows.join(wanted, (F.col("_k") == F.col("_ak")) & (F.col("_b") == F.col("_ab")))
+    near = near.groupBy("_k", "_b", "_v").agg(F.count(F.lit(1)).alias("_c"), *[F.any_value(c).alias(c) for c in asked])
+    near = near.withColumn("_to", F.sum("_c").over(W.partitionBy("_k", "_b").orderBy("_v")))
+    hit = lambda c: (F.col(c) <= F.col("_to")) & (F.col(c) > F.col("_to") - F.col("_c"))
+    found = near.groupBy("_k").agg(*[F.max(F.when(hit(c), v)).alias(n) for c, n in zip(asked, ranks)])
+    totals = h.groupBy("_k").agg(F.max("n").alias("n"))
+    out = totals.join(found.withColumnRenamed("_k", "_fk"), F.col("_k") == F.col("_fk"), "left")
+    return out.select(*[F.col("_k")[n].alias(c) for c, n in zip(keys, k)], "n", *ranks)
 
 
 def run_statistics(df: DataFrame, keys: list[str], value: Column, ok: Column) -> DataFrame:
@@ -44,10 +71,9 @@ def run_statistics(df: DataFrame, keys: list[str], value: Column, ok: Column) ->
     t = df.select(*keys, F.coalesce(ok, F.lit(False)).alias("ok"), F.when(ok, value).alias("v"))
     v = F.col("v")
     out = t.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_runs"), F.round(F.count_if("ok") / F.count(F.lit(1)), 6).alias("success_rate"), F.count(v).alias("n"), F.round(F.avg(v), 10).alias("mean"), F.round(F.coalesce(F.stddev_samp(v), F.lit(0.0)), 6).alias("stdev"), F.min(v).alias("least"), F.max(v).alias("most"))
-    at = lambda r: F.min(F.when(F.col("upto") >= r, v))
     n = F.col("n")
-    mid = histogram_ranks(t, keys, v).groupBy(*keys).agg(F.round((at(F.floor((n + 1) / 2)) + at(F.floor(n / 2) + 1)) / 2, 10).alias("median"))
-    mid = mid.select(*[F.col(k).alias(f"_{k}") for k in keys], "median")
+    mid = values_at(t, keys, v, {"_low": F.floor((n + 1) / 2), "_high": F.floor(n / 2) + 1})
+    mid = mid.select(*[F.col(k).alias(f"_{k}") for k in keys], F.round((F.col("_low") + F.col("_high")) / 2, 10).alias("median"))
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
@@ -60,13 +86,11 @@ def exclusive_quantile(df: DataFrame, keys: list[str], value: Column, k: int, of
     This is not the inclusive rule of percentile. The value is moved by the
     outer steps beyond the ends, as the rule's interpolation does.
     """
-    h = histogram_ranks(df, keys, value)
     m = F.col("n") + 1
     j = F.greatest(F.lit(1), F.least(F.col("n") - 1, F.floor(m * k / of)))
-    h = h.withColumn("j", j).withColumn("delta", m * k - F.col("j") * of)
-    at = lambda r: F.min(F.when(F.col("upto") >= r, F.col("v")))
-    out = h.groupBy(*keys).agg(F.max("n").alias("n"), at(F.col("j")).alias("a"), at(F.col("j") + 1).alias("b"), F.max("delta").alias("d"))
-    return out.select(*keys, "n", F.when(F.col("n") > 1, F.round((F.col("a") * (of - F.col("d")) + F.col("b") * F.col("d")) / of, 10)).alias("q"))
+    out = values_at(df, keys, value, {"_a": j, "_b": j + 1})
+    d = m * k - j * of
+    return out.select(*keys, "n", F.when(F.col("n") > 1, F.round((F.col("_a") * (of - d) + F.col("_b") * d) / of, 10)).alias("q"))
 
 
 def tumbling(df: DataFrame, time: str, width: str, keys: list[str], value: str) -> DataFrame:
@@ -76,9 +100,15 @@ def tumbling(df: DataFrame, time: str, width: str, keys: list[str], value: str)
 
 
 def window_quantile(df: DataFrame, time: str, width: str, value: str, q: float) -> DataFrame:
-    """window_start, n, q: the platform's inclusive percentile of a window's samples."""
-    out = df.groupBy(F.window(time, width).alias("_w")).agg(F.count(F.lit(1)).alias("n"), F.round(F.percentile(value, q), 6).alias("q"))
-    return out.select(F.col("_w.start").alias("window_start"), "n", "q")
+    """window_start, n, q: the inclusive percentile of a window's samples, interpolated; windows without any have n 0 and a null q."""
+    rows = df.select(F.window(time, width)["start"].alias("window_start"), F.col(value).alias("_value"))
+    n = F.count("_value").alias("n")
+    at = q * (F.col("n") - 1)
+    out = values_at(rows, ["window_start"], F.col("_value"), {"_low": F.floor(at) + 1, "_high": F.ceil(at) + 1})
+    every = rows.groupBy("window_start").agg(n)
+    part = at - F.floor(at)
+    out = out.select(F.col("window_start").alias("_w"), F.round(F.col("_low") * (1 - part) + F.col("_high") * part, 6).alias("q"))
+    return every.join(out, F.col("window_start") == F.col("_w"), "left").select("window_start", "n", "q")
 
 
 def transfer_stats(df: DataFrame, keys: list[str], ms: Column, size: Column) -> DataFrame:
@@ -114,6 +144,32 @@ def idle(depth: Column, running: Column) -> Column:
     return F.when((depth < 1) & (running < 1), 1).otherwise(0)
 
 
+def healthy(depth: Column, age_s: Column) -> Column:
+    """1 where a queue is short (under 10 messages) and young (under 120 s), else 0."""
+    return F.when((depth < 10) & (age_s < 120), 1).otherwise(0)
+
+
+def send_rates(df: DataFrame, keys: list[str], at: Column, ok: Column) -> DataFrame:
+    """keys, n, n_ok, n_failed, duration_s from the first to the last attempt and actual_rps: successes a second, 0 without a duration."""
+    s = at.cast("double")
+    out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("n_ok"), F.coalesce(F.max(s) - F.min(s), F.lit(0.0)).alias("duration_s"))
+    rate = F.when(F.col("duration_s") > 0, F.col("n_ok") / F.col("duration_s")).otherwise(F.lit(0.0))
+    return out.select(*keys, "n", "n_ok", (F.col("n") - F.col("n_ok")).alias("n_failed"), "duration_s", F.round(rate, 9).alias("actual_rps"))
+
+
+def job_summary(outcomes: DataFrame, rejected: DataFrame, time: str, width: str) -> DataFrame:
+    """window_start, n_enqueued, n_completed, n_failed, n_rejected and mean_s a window.
+
+    outcomes: time, ok, seconds. rejected: time, a row for each message that was
+    given up. What was enqueued is what completed, failed or was rejected.
+    """
+    a = outcomes.select(F.col(time).alias("_t"), F.coalesce("ok", F.lit(False)).alias("_ok"), F.col("seconds").alias("_s"), F.lit(False).alias("_r"))
+    b = rejected.select(F.col(time).alias("_t"), F.lit(None).cast("boolean").alias("_ok"), F.lit(None).cast("double").alias("_s"), F.lit(True).alias("_r"))
+    g = a.unionByName(b).groupBy(F.window("_t", width).alias("_w"))
+    out = g.agg(F.count(F.lit(1)).alias("n_enqueued"), F.count_if("_ok").alias("n_completed"), F.count_if(~F.col("_ok")).alias("n_failed"), F.count_if("_r").alias("n_rejected"), F.round(F.avg("_s"), 10).alias("mean_s"))
+    return out.select(F.col("_w.start").alias("window_start"), "n_enqueued", "n_completed", "n_failed", "n_rejected", "mean_s")
+
+
 def scale_step(value: Column, bands: list[tuple[float, int]]) -> Column:
     """The step of the highest band (from, step) that value reaches, else 0; null counts as 0."""
     out = F.lit(0)

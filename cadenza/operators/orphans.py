@@ -2,7 +2,8 @@
 
 A broadcast Bloom filter of the parent keys proves most orphans without a join;
 only references that pass the filter are verified by an exact join, and the
-report aggregates the outcome.
+report aggregates the outcome. References of several kinds are answered together:
+one filter, one spread and one exact join serve all of them.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import folded, nonblank
-from cadenza.plans.skew import skew_join, spread
+from cadenza.plans.skew import HOT_ROWS, skew_join, spread
+from cadenza.session import written
 
 #: Bits of a filter at most (8 MB): what is broadcast is bounded whatever the number of keys. With more keys the
 #: filter lets more references through to the exact join; the result stays the same.
@@ -28,10 +30,10 @@ class KeyFilter:
 
     @classmethod
     def of(cls, keys: DataFrame, key: str, fpp: float = 0.01, max_bits: int = MAX_BITS) -> KeyFilter:
-        """keys: distinct or not; each task fills its own filter and the filters are merged in a tree."""
+        """keys: distinct or nearly, since their number sizes the filter; each task fills its own and the filters are merged in a tree."""
         spark = keys.sparkSession
         hashed = keys.select(F.xxhash64(key).alias("h"))
-        n = hashed.agg(F.approx_count_distinct("h")).first()[0]
+        n = keys.count()
         if not n:
             return cls(None)
         bits = min(max_bits, max(1024, int(n * 9.6 * 1.1)))
@@ -51,7 +53,7 @@ class KeyFilter:
         return Column(utils.column(test(utils.expression(F.lit(self.data)._jc), utils.expression(F.xxhash64(key)._jc))))
 
 
-def orphans(refs: DataFrame, parents: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+def orphans(refs: DataFrame, parents: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The rows of refs (any columns, with ``key`` string and ``at`` timestamp) whose target is not there, with ``state``.
 
     parents: ``key``, ``begins``, ``ends`` (null: for ever), repeated rows allowed;
@@ -60,14 +62,17 @@ def orphans(refs: DataFrame, parents: DataFrame, hot_rows: int = 1_000_000) -> D
     'late' if all rows with it begin after ``at``, otherwise 'deleted'. References
     with a null key or a null time refer to nothing.
     Empty refs give an empty result; without parents all refs are missing. A
-    column of refs called state is replaced. Keys with more than hot_rows
-    references are spread over tasks.
+    column of refs called state is replaced. Hot keys are spread over tasks.
+
+    The lives of the parents and the filtered references are written to the
+    shared folder once: the filter, the search for hot keys and the exact join
+    read them from there.
     """
-    life = parents.where(F.col("key").isNotNull()).select("key", F.col("begins").alias("_begins"), F.col("ends").alias("_ends")).distinct()
+    life = written(parents.where(F.col("key").isNotNull()).select("key", F.col("begins").alias("_begins"), F.col("ends").alias("_ends")).distinct(), "lives")
     asked = refs.where(F.col("key").isNotNull() & F.col("at").isNotNull())
-    bloom = KeyFilter.of(parents.where(F.col("key").isNotNull()), "key")
+    bloom = KeyFilter.of(life, "key")
     # one pass decides; the two branches are columns of the same rows
-    asked = asked.withColumn("_may", bloom.may_hold(asked, F.col("key")))
+    asked = written(asked.withColumn("_may", bloom.may_hold(asked, F.col("key"))), "references")
     definite = asked.where("NOT _may").withColumn("state", F.lit("missing"))
     first = life.groupBy("key").agg(F.min("_begins").alias("_first"), F.lit(True).alias("_known"))
     left, (first, lives), on = spread(asked.where("_may"), [first, life], ["key"], hot_rows)
@@ -87,31 +92,38 @@ def _pair(story: Column, phrase: Column) -> Column:
     return F.concat(phrase.cast("bigint").cast("string"), F.lit("/"), story)
 
 
-def found(activity_v: DataFrame, segment_manifest: DataFrame, story_phrase: DataFrame) -> DataFrame:
+def found(activity_v: DataFrame, segment_manifest: DataFrame, story_phrase: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(ref_table, ref_id, target, state, period) for each reference whose target is not there at its time.
 
     An activity's time is its earliest createdat and its story the one of its
     first row that names one. Repeated activities count once; repeated segments
     have ids of their own and count each.
+
+    The three kinds of reference are rows of one table, told apart by the first
+    letter of their key: s of an activity to its story, a of a segment to its
+    activity, p of a segment to its phrase.
     """
     story = nonblank(folded(F.col("storyid")))
-    acts = activity_v.where(F.col("activityid").isNotNull()).select(F.col("activityid").alias("act"), "createdat", story.alias("story"))
-    acts = acts.groupBy("act").agg(F.min("createdat").alias("createdat"), F.min(F.when(F.col("story").isNotNull(), F.struct("createdat", "story"))).getField("story").alias("story"))
-    phrases = story_phrase.select(story.alias("story"), "phraseindex", F.col("loaded_at").alias("begins"), F.col("deleted_at").alias("ends"))
-    month = F.substring(F.col("at").cast("string"), 1, 7).alias("period")
-
-    def out(df: DataFrame, table: str, target: str) -> DataFrame:
-        return df.select(F.lit(table).alias("ref_table"), F.col("ref_id").cast("string").alias("ref_id"), F.lit(target).alias("target"), "state", month)
-
-    stories = orphans(acts.select(F.col("act").alias("ref_id"), F.col("story").alias("key"), F.col("createdat").alias("at")), phrases.select(F.col("story").alias("key"), "begins", "ends"))
-    segs = segment_manifest.select(F.col("segment_id").alias("ref_id"), F.col("activityid").alias("key"), "phraseindex", F.col("created_at").alias("at"))
-    known = acts.select(F.col("act").alias("key"), F.col("createdat").alias("begins"), F.lit(None).cast(dict(acts.dtypes)["createdat"]).alias("ends"))
-    activities = orphans(segs.drop("phraseindex"), known)
-    # the phrase of a segment: by the story of its activity; an unknown activity or story refers to nothing
-    told = skew_join(segs.where(F.col("phraseindex").isNotNull()), acts.where(F.col("story").isNotNull()).select(F.col("act").alias("key"), "story"), ["key"])
-    told = told.select("ref_id", _pair(F.col("story"), F.col("phraseindex")).alias("key"), "at")
-    spoken = orphans(told, phrases.select(_pair(F.col("story"), F.col("phraseindex")).alias("key"), "begins", "ends"))
-    return out(stories, "activity_v", "story_phrase").unionByName(out(activities, "segment_manifest", "activity_v")).unionByName(out(spoken, "segment_manifest", "story_phrase"))
+    rows = activity_v.where(F.col("activityid").isNotNull()).select(F.col("activityid").alias("act"), "createdat", story.alias("story"))
+    first = F.min(F.when(F.col("story").isNotNull(), F.struct("createdat", "story"))).getField("story")
+    # read by the references, the parents and the join: written once
+    acts = written(rows.groupBy("act").agg(F.min("createdat").alias("createdat"), first.alias("story")), "activities")
+    at = dict(acts.dtypes)["createdat"]
+    ref = lambda kind, key, ref_id, when: F.struct(F.lit(kind).alias("kind"), F.concat(F.lit(kind), key).alias("key"), ref_id.cast("string").alias("ref_id"), when.cast(at).alias("at"))
+    of_acts = acts.select(ref("s", F.col("story"), F.col("act"), F.col("createdat")).alias("r")).select("r.*")
+    segs = segment_manifest.select("segment_id", F.col("activityid").alias("act"), "phraseindex", "created_at")
+    told = skew_join(segs, acts.select("act", "story"), ["act"], "left", hot_rows)
+    # an unknown activity or story has no phrases to refer to: its key is null
+    both = F.array(ref("a", F.col("act"), F.col("segment_id"), F.col("created_at")), ref("p", _pair(F.col("story"), F.col("phraseindex")), F.col("segment_id"), F.col("created_at")))
+    refs = of_acts.unionByName(told.select(F.inline(both)))
+    until = F.lit(None).cast(at)
+    life = lambda kind, key, begins, ends: F.struct(F.concat(F.lit(kind), key).alias("key"), begins.cast(at).alias("begins"), ends.cast(at).alias("ends"))
+    phrases = F.array(life("s", story, F.col("loaded_at"), F.col("deleted_at")), life("p", _pair(story, F.col("phraseindex")), F.col("loaded_at"), F.col("deleted_at")))
+    parents = acts.select(life("a", F.col("act"), F.col("createdat"), until).alias("r")).select("r.*").unionByName(story_phrase.select(F.inline(phrases)))
+    lost = orphans(refs, parents, hot_rows)
+    table = F.when(F.col("kind") == "s", "activity_v").otherwise("segment_manifest")
+    target = F.when(F.col("kind") == "a", "activity_v").otherwise("story_phrase")
+    return lost.select(table.alias("ref_table"), "ref_id", target.alias("target"), "state", F.substring(F.col("at").cast("string"), 1, 7).alias("period"))
 
 
 def report(found_rows: DataFrame) -> DataFrame:

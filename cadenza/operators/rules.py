@@ -19,6 +19,41 @@ def decision(matches: Column, errors: Column, prior: Column) -> Column:
     return F.when(m == 0, none).when(S.agree(matches, errors), "keep").otherwise("rescore")
 
 
+def reason(matches: Column, errors: Column, prior: Column) -> Column:
+    """Why decision decides as it does, with the counts it rests on."""
+    m, right, p = S.count_ones(matches), S.count_false(errors), S.count_ones(prior)
+    count = lambda c: c.cast("string")
+    none = F.when(right == 0, F.lit("no match, nothing right")).when(right > CORRECT_LIMIT, F.concat(F.lit("no match, "), count(right), F.lit(" right")))
+    none = none.when(p == 0, F.concat(F.lit("no match, "), count(right), F.lit(" right, no prior match"))).otherwise(F.concat(F.lit("no match, "), count(right), F.lit(" right, "), count(p), F.lit(" prior matches")))
+    some = F.concat(count(m), F.when(S.agree(matches, errors), F.lit(" matches agree")).otherwise(F.lit(" matches disagree")))
+    return F.when(m == 0, none).otherwise(some)
+
+
+def failed_keys(phrases: DataFrame, keys: list[str], actual: Column, expected: Column) -> DataFrame:
+    """keys, n_phrases, n_broken, fails: a key with one phrase whose actual length is not the expected one fails whole.
+
+    A null length is broken.
+    """
+    bad = ~F.coalesce(actual == expected, F.lit(False))
+    out = phrases.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_phrases"), F.count_if(bad).alias("n_broken"))
+    return out.withColumn("fails", F.col("n_broken") > 0)
+
+
+def two_level_accuracy(phrases: DataFrame, keys: list[str], truth: Column, before: Column, after: Column) -> DataFrame:
+    """keys, n_words, right_before, right_after, accuracy_before, accuracy_after, improvement.
+
+    Per phrase the places are counted where before and after equal the truth, up
+    to the shortest of the three arrays; sums of a key make its ratios (0.0
+    without words).
+    """
+    n = F.least(*[F.greatest(F.coalesce(F.size(x), F.lit(0)), F.lit(0)) for x in (truth, before, after)])
+    equal = lambda x: F.coalesce(F.size(F.filter(F.zip_with(F.slice(truth, F.lit(1), n), F.slice(x, F.lit(1), n), lambda a, b: a == b), lambda e: e)), F.lit(0))
+    g = phrases.groupBy(*keys).agg(F.sum(n.cast("bigint")).alias("n_words"), F.sum(equal(before).cast("bigint")).alias("right_before"), F.sum(equal(after).cast("bigint")).alias("right_after"))
+    ratio = lambda c: F.when(F.col("n_words") > 0, F.col(c) / F.col("n_words")).otherwise(F.lit(0.0))
+    g = g.withColumns({"accuracy_before": ratio("right_before"), "accuracy_after": ratio("right_after")})
+    return g.withColumn("improvement", F.col("accuracy_after") - F.col("accuracy_before"))
+
+
 def executed(strategy: Column, errors: Column, length: Column, voted: Column, has_audio: Column) -> Column:
     """The error flags after the decision: kept as they came, all true, or voted; without audio all true."""
     every = F.array_repeat(F.lit(True), F.coalesce(length, F.lit(0)))
@@ -47,7 +82,7 @@ def accuracy(errors: Column) -> dict[str, Column]:
 
 
 def segment_name(uri: Column) -> Column:
-    """phrase, activity number and seq of a strict segment name; null if it has none."""
+    """phrase, activity number and seq of a strict segment name, which begins the base name; null if it has none."""
     part = lambda i: F.regexp_extract(uri, SEGMENT_NAME, i).cast("int")
     return F.when(uri.rlike(SEGMENT_NAME), F.struct(part(1).alias("phrase"), part(2).alias("number"), part(3).alias("seq")))
 

@@ -43,10 +43,9 @@ def activity_filter(type_: str | None = None, status: str | None = None, start:
 
 
 def select_activities(activities: DataFrame, sql: str | None = None, **conditions) -> DataFrame:
-    """The eight columns of the activities that meet the conditions; sql overrides them over the view ``activities``."""
+    """The eight columns of the activities that meet the conditions; sql overrides them and names the table {activities}."""
     if sql:
-        activities.createOrReplaceTempView("activities")
-        return activities.sparkSession.sql(sql)
+        return activities.sparkSession.sql(sql, activities=activities)
     return activities.where(activity_filter(**conditions)).select(*ACTIVITY_COLUMNS)
 
 
@@ -85,12 +84,25 @@ def is_primary_model(model: str) -> Column:
 
 
 def is_second_pass(model: str) -> Column:
+    """Models with second in their name, in any case; all others are of the first pass."""
     return F.lower(model).contains("second")
 
 
+def preferred_pass(features: DataFrame, keys: list[str], index: str, model: str) -> DataFrame:
+    """The features of the preferred pass of each key: the second where it has one for each index up to the key's largest, else the first.
+
+    Models that aren't primary are left out. Features are counted by their
+    distinct index.
+    """
+    rows = features.where(F.coalesce(is_primary_model(model), F.lit(False))).withColumn("_second", is_second_pass(model))
+    g = rows.groupBy(*keys).agg((F.max(index) + 1).alias("_n"), F.count_distinct(F.when(F.col("_second"), F.col(index))).alias("_n2"))
+    chosen = g.select(*keys, ((F.col("_n2") > 0) & (F.col("_n2") == F.col("_n"))).alias("_want"))
+    return rows.join(chosen, keys).where(F.col("_second") == F.col("_want")).drop("_second", "_want")
+
+
 def audio_key(key: str) -> Column:
-    """A sound file that is not the complete recording; false for null."""
-    return F.coalesce(F.col(key).contains(".wav") & ~F.col(key).contains("complete"), F.lit(False))
+    """A sound file that is not the complete recording (…complete.wav); false for null."""
+    return F.coalesce(F.col(key).contains(".wav") & ~F.col(key).endswith("complete.wav"), F.lit(False))
 
 
 def route(tags: str, first: str, second: str) -> Column:

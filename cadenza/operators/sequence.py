@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from cadenza.functions.lookups import BYTES_PER_MS, HEADER_BYTES, PAD, SEPARATOR
 from cadenza.plans.scan import before
 
+#: Drops in a row from which a streak is remarked.
+DROPS = 5
+#: Missing indices that one row is expanded into at once.
+BLOCK = 65_536
+
 
 def hour_of(ts: str) -> Column:
     """A slice of a time column: its hour."""
@@ -77,17 +82,42 @@ def continuous(df: DataFrame, keys: list[str], order: list[str], start: str, end
 
 
 def missing_indices(df: DataFrame, keys: list[str], index: str) -> DataFrame:
-    """keys, n_expected (largest index + 1) and each index from 0 to it that is not there."""
-    seen = df.where(F.col(index) >= 0).groupBy(*keys).agg(F.max(index).alias("_max"))
-    want = seen.select(*keys, (F.col("_max") + 1).alias("n_expected"), F.explode(F.sequence(F.lit(0), F.col("_max"))).alias(index))
-    return want.join(df.select(*keys, index).distinct(), [*keys, index], "left_anti")
+    """keys, n_expected (largest index + 1) and each index from 0 to it that is not there.
+
+    As many rows as indices are missing, whatever they are: miss_streaks has one row a streak.
+    """
+    seen = df.where(F.col(index) >= 0).groupBy(*keys).agg((F.max(index).cast("bigint") + 1).alias("n_expected"))
+    gaps = miss_streaks(df, keys, index)
+    # a wide gap is expanded block by block, so one far index is no array of its size
+    at, end = F.col("from_index").cast("bigint"), F.col("from_index").cast("bigint") + F.col("n")
+    blocks = gaps.select(*keys, end.alias("_end"), F.explode(F.sequence(at, end - 1, F.lit(BLOCK).cast("bigint"))).alias("_at"))
+    each = blocks.select(*keys, F.explode(F.sequence(F.col("_at"), F.least(F.col("_at") + BLOCK, F.col("_end")) - 1)).alias(index))
+    return each.withColumn(index, F.col(index).cast("int")).join(seen, keys)
 
 
 def miss_streaks(df: DataFrame, keys: list[str], index: str) -> DataFrame:
-    """keys, from_index, n: streaks of consecutive missing indices between 0 and the largest."""
-    gaps = missing_indices(df, keys, index)
-    gaps = positions(gaps, keys, [index], "_k", F.floor(F.col(index) / 10_000))
-    return gaps.groupBy(*keys, (F.col(index) - F.col("_k")).alias("_run")).agg(F.min(index).alias("from_index"), F.count(F.lit(1)).alias("n")).drop("_run")
+    """keys, from_index, n: streaks of consecutive missing indices between 0 and the largest, from the indices beside them."""
+    there = df.where(F.col(index) >= 0).select(*keys, index).distinct()
+    rows = before(there, keys, [index], {"_prev": ("last", F.col(index))}, F.floor(F.col(index) / 10_000))
+    first = F.coalesce(F.col("_prev") + 1, F.lit(0))
+    return rows.where(F.col(index) > first).select(*keys, first.cast("int").alias("from_index"), (F.col(index) - first).cast("bigint").alias("n"))
+
+
+def dropped_segments(df: DataFrame, keys: list[str], index: str, seq: str) -> DataFrame:
+    """keys, index, from_seq, n, over: streaks of sequence numbers that a phrase lacks, and whether more than DROPS follow each other.
+
+    A phrase begins one after the last number of the phrase before (index - 1),
+    the first phrase (index 0) at 0; it ends at its own last number. Of a phrase
+    whose predecessor is not there the start is unknown: it is left out.
+    """
+    rows = df.where(F.col(index).isNotNull() & F.col(seq).isNotNull()).select(*keys, index, seq).distinct()
+    last = rows.groupBy(*keys, index).agg(F.max(seq).alias("_last"))
+    start = last.select(*keys, (F.col(index) + 1).alias(index), (F.col("_last") + 1).alias("_start"))
+    begun = rows.join(start, [*keys, index], "left").withColumn("_start", F.when(F.col(index) == 0, 0).otherwise(F.col("_start"))).where(F.col("_start").isNotNull() & (F.col(seq) >= F.col("_start")))
+    at = before(begun, [*keys, index], [seq], {"_prev": ("last", F.col(seq))})
+    first = F.coalesce(F.col("_prev") + 1, F.col("_start"))
+    n = (F.col(seq) - first).cast("bigint")
+    return at.where(F.col(seq) > first).select(*keys, index, first.alias("from_seq"), n.alias("n"), (n > DROPS).alias("over"))
 
 
 def start_sequence(df: DataFrame, keys: list[str], index: str, seq: str) -> DataFrame:
@@ -97,11 +127,17 @@ def start_sequence(df: DataFrame, keys: list[str], index: str, seq: str) -> Data
     return rows.withColumn("start_seq", F.coalesce(F.col("_prev") + 1, F.lit(0))).drop("_prev")
 
 
-def segment_map(df: DataFrame, keys: list[str], seq: str, file: str, order: str) -> DataFrame:
-    """keys, files (map seq -> file; the last duplicate by order wins) and last_file, that of the largest seq. Keys are a phrase's: few segments each."""
-    one = df.where(F.col(seq).isNotNull()).groupBy(*keys, seq).agg(F.max_by(file, order).alias("_file"))
+def segment_map(df: DataFrame, keys: list[str], seq: str, file: str, order: str, flag: Column | None = None) -> DataFrame:
+    """keys, files (map seq -> file; the last duplicate by order wins) and last_file. Keys are a phrase's: few segments each.
+
+    last_file is that of the row that flag marks as the last segment (of several
+    the last by order, null without one); without flag that of the largest seq.
+    """
+    marked = F.max_by(F.struct(F.col(order).alias("o"), F.col(file).alias("f")), F.when(F.coalesce(flag, F.lit(False)), F.col(order))) if flag is not None else F.lit(None)
+    one = df.where(F.col(seq).isNotNull()).groupBy(*keys, seq).agg(F.max_by(file, order).alias("_file"), marked.alias("_marked"))
     entry = F.struct(F.col(seq).alias("key"), F.col("_file").alias("value"))
-    return one.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("files"), F.max_by("_file", seq).alias("last_file"))
+    last = F.max_by("_file", seq) if flag is None else F.max("_marked").getField("f")
+    return one.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("files"), last.alias("last_file"))
 
 
 def as_of(left: DataFrame, right: DataFrame, key: str, time: str, tie: str, carry: str, slice_by: Column) -> DataFrame:

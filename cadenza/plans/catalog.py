@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.operators import dedupe, intervals, orphans
 from cadenza.plans import queries as core
+from cadenza.plans import survey_queries  # noqa: F401  (adds to the queries of core)
 from cadenza.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]

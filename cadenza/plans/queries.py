@@ -12,6 +12,8 @@ from cadenza.functions.lookups import ACCEPTED, ELEMENTS, SUBSTITUTES
 from cadenza.functions.text import folded
 from cadenza.operators import align, joins, metrics, rules, select
 from cadenza.operators import sequence as Q
+from cadenza.plans import align_sql
+from cadenza.plans.skew import skew_join
 from cadenza.session import shared_dir
 from cadenza.sources import readers, sinks
 from cadenza.sources.tables import table
@@ -63,7 +65,7 @@ def select_without_in_list(spark, d):
 @query("SELECT count(*) AS n, min(createdat) AS first FROM activity_v WHERE status = 'failed'")
 def sql_override(spark, d):
     """A SQL text in place of the conditions."""
-    return select.select_activities(table(spark, d, "activity_v"), sql="SELECT count(*) AS n, min(createdat) AS first FROM activities WHERE status = 'failed'")
+    return select.select_activities(table(spark, d, "activity_v"), sql="SELECT count(*) AS n, min(createdat) AS first FROM {activities} WHERE status = 'failed'")
 
 
 @query("""SELECT activityid AS "activityId", storyid AS "storyId", studentid AS "studentId", districtid AS "districtId", type, createdat AS "createdAt", status, displaystatus AS "displayStatus" FROM activity_v""")
@@ -82,7 +84,7 @@ def previous_day_window(spark, d):
     return table(spark, d, "activity_v").where(select.previous_day("createdat", "2025-03-15 02:00:00")).select("activityid", "createdat")
 
 
-@query("SELECT segment_id, s3_uri FROM segment_manifest WHERE contains(s3_uri, '.wav') AND NOT contains(s3_uri, 'complete')")
+@query("SELECT segment_id, s3_uri FROM segment_manifest WHERE contains(s3_uri, '.wav') AND NOT ends_with(s3_uri, 'complete.wav')")
 def audio_keys(spark, d):
     return table(spark, d, "segment_manifest").where(select.audio_key("s3_uri")).select("segment_id", "s3_uri")
 
@@ -117,19 +119,28 @@ def contract_results(spark, d):
     return t.where(F.size("broken") > 0).select("activity_id", "timestamp", F.array_join("broken", ",").alias("broken"))
 
 
-@query("""SELECT word_id, w.page_index % 3 AS model, confidence < thr AS is_low FROM word_items w JOIN (VALUES (0, 0.55), (1, 0.7), (2, 0.85)) t(m, thr) ON w.page_index % 3 = m""")
+@query("""SELECT word_id, w.page_index % 4 AS model, confidence < thr AS is_low, thr IS NULL AS unknown FROM word_items w LEFT JOIN (VALUES (0, 0.55), (1, 0.7), (2, 0.85)) t(m, thr) ON w.page_index % 4 = m""")
 def threshold_flags(spark, d):
-    """A threshold by model, from a small table."""
-    thr = spark.createDataFrame([(0, 0.55), (1, 0.7), (2, 0.85)], "model int, thr double")
-    w = table(spark, d, "word_items").withColumn("model", F.col("page_index") % 3)
-    return w.join(F.broadcast(thr), "model").select("word_id", "model", (F.col("confidence") < F.col("thr")).alias("is_low"))
+    """A threshold by model, from a small table; words of an unknown or null model stay and are marked."""
+    thr = spark.createDataFrame([(0, 0.55), (1, 0.7), (2, 0.85)], "model int, threshold double")
+    w = table(spark, d, "word_items").withColumn("model", F.col("page_index") % 4)
+    return joins.with_threshold(w, thr, "model").select("word_id", "model", (F.col("confidence") < F.col("threshold")).alias("is_low"), "unknown")
 
 
-@query("SELECT processor, count(*) AS n, bool_or(contains(lower(processor), 'gpu')) AS second_pass FROM activity_results WHERE NOT starts_with(lower(processor), 'canary') GROUP BY processor")
+_MODEL = "CASE WHEN contains(processor, 'gpu') THEN 'Second-' || processor WHEN starts_with(processor, 'local') THEN 'Faux-' || processor ELSE processor END"
+
+
+def _models(spark, d):
+    """Results with a model made from the processor: second-pass ones, faux ones, others."""
+    p = F.col("processor")
+    return table(spark, d, "activity_results").withColumn("model", F.when(p.contains("gpu"), F.concat(F.lit("Second-"), p)).when(p.startswith("local"), F.concat(F.lit("Faux-"), p)).otherwise(p))
+
+
+@query(f"SELECT model, count(*) AS n, bool_or(contains(lower(model), 'second')) AS second_pass FROM (SELECT {_MODEL} AS model FROM activity_results) WHERE NOT starts_with(lower(model), 'faux') GROUP BY model")
 def model_classes(spark, d):
     """Prefix exclusion and substring classes of names."""
-    t = table(spark, d, "activity_results").where(~F.lower("processor").startswith("canary"))
-    return t.groupBy("processor").agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.lower("processor").contains("gpu")).alias("second_pass"))
+    t = _models(spark, d).where(select.is_primary_model("model"))
+    return t.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.bool_or(select.is_second_pass("model")).alias("second_pass"))
 
 
 @query("SELECT storyid, phraseindex, array_to_string(expected_text, '|') AS words FROM story_phrase")
@@ -276,8 +287,13 @@ def timing_continuity(spark, d):
     return Q.continuous(t, ["activity_id"], ["page_index"], "start_time", "end_time", F.lit(0), F.floor(F.col("page_index") / 10_000))
 
 
-@query("""SELECT activity_id, phrase, string_agg(CAST(k AS VARCHAR) || '=' || f, ',' ORDER BY k) AS files, max_by(f, k) AS last_file FROM (
- SELECT activityid AS activity_id, phraseindex AS phrase, CAST(regexp_extract(s3_uri, '(\\d+)-v\\d\\.wav$', 1) AS INT) AS k, max_by(s3_uri, segment_id) AS f FROM segment_manifest WHERE phraseindex IS NOT NULL AND regexp_matches(s3_uri, '(\\d{3})-(\\d{6})-(\\d+)-v\\d\\.wav$') GROUP BY 1, 2, 3) GROUP BY 1, 2""")
+# The parts of a segment's base name, cut at its hyphens: three digits, six digits, a number, and a version with the ending.
+_NAMED = """(SELECT *, CASE WHEN len(q) >= 4 AND len(q[1]) = 3 AND len(q[2]) = 6 AND len(q[3]) > 0 AND translate(q[1] || q[2] || q[3], '0123456789', '') = '' AND q[4][1] = 'v' AND translate(q[4][2], '0123456789', '') = '' AND substr(q[4], 3, 4) = '.wav' THEN q END AS part
+ FROM (SELECT *, string_split(string_split(s3_uri, '/')[-1], '-') AS q FROM segment_manifest))"""
+
+
+@query(f"""SELECT activity_id, phrase, string_agg(CAST(k AS VARCHAR) || '=' || f, ',' ORDER BY k) AS files, max_by(f, k) AS last_file FROM (
+ SELECT activityid AS activity_id, phraseindex AS phrase, CAST(part[3] AS INT) AS k, max_by(s3_uri, segment_id) AS f FROM {_NAMED} WHERE phraseindex IS NOT NULL AND part IS NOT NULL GROUP BY 1, 2, 3) GROUP BY 1, 2""")
 def segments_map(spark, d):
     """Segment files of a phrase by sequence number; of repeated numbers the last wins."""
     t = table(spark, d, "segment_manifest").where("phraseindex IS NOT NULL").select(F.col("activityid").alias("activity_id"), F.col("phraseindex").alias("phrase"), rules.segment_name(F.col("s3_uri"))["seq"].alias("seq"), "s3_uri", "segment_id")
@@ -351,14 +367,15 @@ def first_wins_dedupe(spark, d):
     return t.groupBy("activity_id", "processor").agg(first).select("activity_id", "processor", "f.status", "f.timestamp")
 
 
-@query("""WITH f AS (SELECT activity_id, page_index, word, confidence FROM word_items WHERE activity_id IS NOT NULL AND page_index IS NOT NULL),
-g AS (SELECT activity_id, max(page_index) + 1 AS n, count(DISTINCT page_index) FILTER (WHERE confidence >= 0.9) AS n2 FROM f GROUP BY 1)
-SELECT activity_id, CASE WHEN n2 > 0 AND n2 = n THEN 'second' ELSE 'first' END AS pass FROM g""")
+@query("""WITH f AS (SELECT word_id, activity_id, page_index, CASE WHEN confidence >= 0.9 THEN 'Second pass' WHEN confidence < 0.1 THEN 'faux' ELSE 'base' END AS model FROM word_items WHERE activity_id IS NOT NULL AND page_index IS NOT NULL),
+p AS (SELECT *, model = 'Second pass' AS s FROM f WHERE model <> 'faux'),
+g AS (SELECT activity_id, max(page_index) + 1 AS n, count(DISTINCT page_index) FILTER (WHERE s) AS n2 FROM p GROUP BY 1)
+SELECT word_id, activity_id, model FROM p JOIN g USING (activity_id) WHERE s = (n2 > 0 AND n2 = n)""")
 def preferred_pass(spark, d):
-    """The second pass (here: sure words) if it covers every index, else the first."""
-    t = table(spark, d, "word_items").where("activity_id IS NOT NULL AND page_index IS NOT NULL")
-    g = t.groupBy("activity_id").agg((F.max("page_index") + 1).alias("n"), F.count_distinct(F.when(F.col("confidence") >= 0.9, F.col("page_index"))).alias("n2"))
-    return g.select("activity_id", F.when((F.col("n2") > 0) & (F.col("n2") == F.col("n")), "second").otherwise("first").alias("pass"))
+    """Words of the second pass (here: sure words) where it covers every page, else of the first."""
+    model = F.when(F.col("confidence") >= 0.9, "Second pass").when(F.col("confidence") < 0.1, "faux").otherwise("base")
+    t = table(spark, d, "word_items").where("activity_id IS NOT NULL AND page_index IS NOT NULL").select("word_id", "activity_id", "page_index", model.alias("model"))
+    return select.preferred_pass(t, ["activity_id"], "page_index", "model").select("word_id", "activity_id", "model")
 
 
 @query("""WITH m AS (SELECT activity_id, max(list_max(phrase_indices)) AS top FROM page_data GROUP BY 1)
@@ -366,7 +383,7 @@ SELECT s.segment_id, s.phraseindex FROM segment_manifest s JOIN m ON m.activity_
 def page_limit_truncate(spark, d):
     """Segments up to the last phrase of the pages."""
     top = table(spark, d, "page_data").groupBy(F.col("activity_id").alias("activityid")).agg(F.max(F.array_max("phrase_indices")).alias("top"))
-    return table(spark, d, "segment_manifest").join(top, "activityid").where("phraseindex <= top").select("segment_id", "phraseindex")
+    return skew_join(table(spark, d, "segment_manifest").select("segment_id", "activityid", "phraseindex"), top, ["activityid"]).where("phraseindex <= top").select("segment_id", "phraseindex")
 
 
 @query("""WITH x AS (SELECT vec_id, embedding AS e, list_max(embedding) AS m FROM embeddings)
@@ -419,17 +436,18 @@ def longest_match_tokens(spark, d):
     return table(spark, d, "story_phrase").select("storyid", "phraseindex", F.array_join(S.longest_elements(F.array_join("reference_phonemes", "")), " ").alias("elements"))
 
 
-@query()
+@query(align_sql.DECODE)
 def decode_tokens(spark, d):
     """Elements and confidences of token streams: the characters of a phrase's phonemes, cut at words."""
     t = table(spark, d, "story_phrase").where(F.col("reference_phonemes").isNotNull())
     chars = F.filter(F.split(F.array_join("reference_phonemes", "|"), ""), lambda c: c != "")
     t = t.select("storyid", "phraseindex", chars.alias("tokens"))
-    probs = F.transform("tokens", lambda c: (F.pmod(F.hash(c), F.lit(100)) / 100).cast("double"))
-    return t.select("storyid", "phraseindex", align.decoded_stream(F.col("tokens"), probs).alias("x")).select("storyid", "phraseindex", F.array_join("x.elements", " ").alias("elements"), F.size("x.confidences").alias("n"))
+    probs = F.transform("tokens", lambda c: ((F.ascii(c) % 100) / 100).cast("double"))
+    t = t.select("storyid", "phraseindex", align.decoded_stream(F.col("tokens"), probs).alias("x"))
+    return t.select("storyid", "phraseindex", F.array_join("x.elements", " ").alias("elements"), F.size("x.elements").cast("bigint").alias("n"), _total("x.confidences").alias("sure"))
 
 
-@query(f"""WITH l AS (SELECT activityid, phraseindex, max(CAST(regexp_extract(s3_uri, '(\\d+)-v\\d\\.wav$', 1) AS INT)) AS last_seq FROM segment_manifest WHERE phraseindex IS NOT NULL GROUP BY 1, 2)
+@query(f"""WITH l AS (SELECT activityid, phraseindex, max(CAST(part[3] AS INT)) AS last_seq FROM {_NAMED} WHERE phraseindex IS NOT NULL GROUP BY 1, 2)
 SELECT activityid, phraseindex, last_seq, coalesce(lag(last_seq) OVER (PARTITION BY activityid ORDER BY phraseindex) + 1, 0) AS start_seq FROM l""")
 def start_sequences(spark, d):
     """Where a phrase's sequence begins: one after the last of the phrase before."""
@@ -471,7 +489,7 @@ def trailing_trim(spark, d):
     place = F.struct("page_index", "word_id")
     per_page = w.groupBy("activity_id", "page_index").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(~F.col("e"), place)).alias("ok"))
     g = per_page.groupBy("activity_id").agg(F.max("ok").alias("last_ok"), F.max_by("n", "page_index").alias("n_top"))
-    kept = w.join(g, "activity_id").where(F.col("last_ok").isNull() | (F.col("n_top") == 1) | (place <= F.col("last_ok")))
+    kept = skew_join(w, g, ["activity_id"]).where(F.col("last_ok").isNull() | (F.col("n_top") == 1) | (place <= F.col("last_ok")))
     return kept.groupBy("activity_id", "page_index").agg(F.count(F.lit(1)).alias("n_words"), F.count_if("e").alias("n_errors"))
 
 
@@ -531,8 +549,7 @@ def match_fallback(spark, d):
     return t.select("word_id", F.coalesce(F.get(S.match_or_distance(m, F.array(F.coalesce("page_index", F.lit(1)))), F.lit(0)), F.lit(0)).alias("match"))
 
 
-@query(r"""SELECT segment_id, CAST(nullif(regexp_extract(s3_uri, '(\d{3})-(\d{6})-(\d+)-v\d\.wav$', 1), '') AS INT) AS phrase, CAST(nullif(regexp_extract(s3_uri, '(\d{3})-(\d{6})-(\d+)-v\d\.wav$', 2), '') AS INT) AS number,
-CAST(nullif(regexp_extract(s3_uri, '(\d{3})-(\d{6})-(\d+)-v\d\.wav$', 3), '') AS INT) AS seq FROM segment_manifest""")
+@query(f"SELECT segment_id, CAST(part[1] AS INT) AS phrase, CAST(part[2] AS INT) AS number, CAST(part[3] AS INT) AS seq FROM {_NAMED}")
 def filename_parse(spark, d):
     return table(spark, d, "segment_manifest").select("segment_id", rules.segment_name(F.col("s3_uri")).alias("n")).select("segment_id", "n.phrase", "n.number", "n.seq")
 
@@ -563,12 +580,16 @@ def _heard(spark, d):
     return t.select("storyid", "phraseindex", F.col("expected_text").alias("e"), ref.alias("r"), heard.alias("h"), conf.alias("c"))
 
 
-@query()
+def _total(confidences):
+    return F.round(F.aggregate(confidences, F.lit(0.0), lambda a, x: a + x), 6)
+
+
+@query(align_sql.DIFF)
 def diff_alignment(spark, d):
     """What was heard for each expected item."""
     t = _heard(spark, d).withColumn("x", align.aligned_items(F.col("e"), F.col("r"), F.col("h"), F.col("c")))
     flags = F.transform("x.errors", lambda b: b.cast("int").cast("string"))
-    return t.select("storyid", "phraseindex", F.array_join("x.phonemes", " ").alias("phonemes"), F.array_join(flags, "").alias("errors"))
+    return t.select("storyid", "phraseindex", F.array_join("x.phonemes", " ").alias("phonemes"), F.array_join(flags, "").alias("errors"), _total("x.confidences").alias("sure"))
 
 
 def _told(spark, d):
@@ -579,28 +600,32 @@ def _told(spark, d):
     return p.join(w, ["activity_id", "page_index"])
 
 
-@query()
+def _digits(m):
+    return F.array_join(F.transform(m, lambda x: x.cast("string")), "").alias("matches")
+
+
+@query(align_sql.WORD_MATCH)
 def word_match(spark, d):
     """0/1 for each word of a page's text."""
     t = _told(spark, d)
     m = align.matched_words(F.array_join("phrases", " "), F.array_join(F.transform("tokens", lambda x: x["word"]), " "))
-    return t.select("activity_id", "page_index", m.alias("m")).select("activity_id", "page_index", F.size("m").alias("n_words"), S.count_ones(F.col("m")).alias("n_matched"))
+    return t.select("activity_id", "page_index", m.alias("m")).select("activity_id", "page_index", _digits("m"))
 
 
-@query()
+@query(align_sql.SOUND)
 def sound_match(spark, d):
     """0/1 for each phonetic word of a phrase, with substitutes."""
     t = _heard(spark, d)
     m = align.matched_sounds(F.filter("r", lambda x: x != ""), F.filter("h", lambda x: x != ""))
-    return t.select("storyid", "phraseindex", m.alias("m")).select("storyid", "phraseindex", F.size("m").alias("n_words"), S.count_ones(F.col("m")).alias("n_matched"))
+    return t.select("storyid", "phraseindex", m.alias("m")).select("storyid", "phraseindex", _digits("m"))
 
 
 @query()
 def sequence_mapping(spark, d):
-    """How many words of a page are mapped onto recognised ones."""
+    """Which recognised word each word of a page is mapped onto."""
     t = _told(spark, d)
     m = align.place_map(S.words_of(F.array_join("phrases", " ")), F.transform("tokens", lambda x: x["word"]))
-    return t.select("activity_id", "page_index", F.size(m).alias("n_mapped"))
+    return t.select("activity_id", "page_index", F.array_join(F.transform(m, lambda x: F.concat_ws("-", x["i"].cast("string"), x["j"].cast("string"))), " ").alias("places"))
 
 
 def _timed(spark, d):
@@ -642,11 +667,11 @@ def tumbling_metrics(spark, d):
     return metrics.tumbling(table(spark, d, "events"), "ts", "1 hour", ["event_type"], "value")
 
 
-@query("""WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) FILTER (WHERE event_type = 'view') AS depth, count(*) FILTER (WHERE event_type = 'purchase') AS running FROM events GROUP BY 1)
-SELECT window_start, CASE WHEN depth < 1 AND running < 1 THEN 1 ELSE 0 END AS idle FROM w""")
+@query("""WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) FILTER (WHERE event_type = 'view') AS depth, count(*) FILTER (WHERE event_type = 'purchase') AS running, max(value) AS age FROM events GROUP BY 1)
+SELECT window_start, CASE WHEN depth < 1 AND running < 1 THEN 1 ELSE 0 END AS idle, CASE WHEN depth < 10 AND age < 120 THEN 1 ELSE 0 END AS healthy FROM w""")
 def metric_math(spark, d):
-    t = table(spark, d, "events").groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count_if(F.col("event_type") == "view").alias("depth"), F.count_if(F.col("event_type") == "purchase").alias("running"))
-    return t.select(F.col("w.start").alias("window_start"), metrics.idle(F.col("depth"), F.col("running")).alias("idle"))
+    t = table(spark, d, "events").groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count_if(F.col("event_type") == "view").alias("depth"), F.count_if(F.col("event_type") == "purchase").alias("running"), F.max("value").alias("age"))
+    return t.select(F.col("w.start").alias("window_start"), metrics.idle(F.col("depth"), F.col("running")).alias("idle"), metrics.healthy(F.col("depth"), F.col("age")).alias("healthy"))
 
 
 _HOURS = """w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS h, count(*) FILTER (WHERE event_type = 'error') AS n FROM events GROUP BY 1),
@@ -734,7 +759,7 @@ def partitioned_sink_roundtrip(spark, d):
     day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("timestamp") / 86400).cast("int"))
     path = shared_dir(spark, "results")
     t = table(spark, d, "activity_results").withColumn("dt", day.cast("string"))
-    t.select("dt", F.coalesce(F.nanvl("processing_time", F.lit(0.0)), F.lit(0.0)).alias("processing_time"), "status").repartition("dt").write.partitionBy("dt").json(path)
+    sinks.write_results(t.select("dt", F.coalesce(F.nanvl("processing_time", F.lit(0.0)), F.lit(0.0)).alias("processing_time"), "status"), path)
     back = spark.read.schema("processing_time double, status string, dt string").json(path)
     return back.groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("processing_time"), 6).alias("total"))
 
@@ -753,15 +778,11 @@ def _documents(spark, d):
     return sinks.timing_documents(t.drop("tokens"), align.phrase_timings(t.where(F.size("tokens") > 0)))
 
 
-@query("SELECT activity_id, CAST(count(*) AS BIGINT) AS n_pages FROM (SELECT DISTINCT activity_id, page_index FROM page_data WHERE activity_id IS NOT NULL AND page_index IS NOT NULL AND start_time IS NOT NULL) GROUP BY 1")
+@query("SELECT activity_id, CAST(count(*) AS BIGINT) AS n_pages FROM (SELECT DISTINCT activity_id, page_index FROM page_data WHERE activity_id IS NOT NULL AND page_index IS NOT NULL) GROUP BY 1")
 def timing_documents(spark, d):
-    """The pages with a known start in the JSON document of each activity, counted after parsing it again.
-
-    The documents hold all pages; timing_document_rows gives them whole.
-    """
+    """The pages in the JSON document of each activity, counted after parsing it again; timing_document_rows gives them whole."""
     pages = F.from_json("timing", "pages array<struct<page_start:int>>")["pages"]
-    n = F.size(F.filter(pages, lambda p: p["page_start"].isNotNull())).cast("bigint")
-    return _documents(spark, d).select("activity_id", n.alias("n_pages")).where("n_pages > 0")
+    return _documents(spark, d).select("activity_id", F.size(pages).cast("bigint").alias("n_pages"))
 
 
 @query()
@@ -840,21 +861,12 @@ def _known(spark, d, dictionary):
     return joins.spoken_forms(w, dictionary).groupBy("activity_id", "page_index").agg(F.count(F.lit(1)).alias("n_words"), F.count("phonemes").alias("n_known"))
 
 
-@query("""WITH z AS (SELECT expected_text, reference_phonemes, unnest(generate_series(1, least(len(expected_text), len(reference_phonemes)))) AS i FROM story_phrase WHERE expected_text IS NOT NULL AND reference_phonemes IS NOT NULL),
-dict AS (SELECT expected_text[i] AS word, min(reference_phonemes[i]) AS phonemes FROM z WHERE expected_text[i] < 'n' GROUP BY 1 HAVING min(reference_phonemes[i]) IS NOT NULL),
-w AS (SELECT activity_id, page_index, unnest(string_split(array_to_string(phrases, ' '), ' ')) AS word FROM page_data WHERE len(phrases) > 0)
-SELECT activity_id, page_index, count(*) AS n_words, count(phonemes) AS n_known FROM w LEFT JOIN dict USING (word) GROUP BY 1, 2""")
-def dictionary_join(spark, d):
-    """Words of pages with their phonetic forms, by the dictionary of words before 'n' alone, as its SQL asks; dictionary_join_whole has all of it."""
-    return _known(spark, d, _dictionary(spark, d).where("word < 'n'"))
-
-
 @query("""WITH z AS (SELECT expected_text, reference_phonemes, unnest(generate_series(1, least(len(expected_text), len(reference_phonemes)))) AS i FROM story_phrase WHERE expected_text IS NOT NULL AND reference_phonemes IS NOT NULL),
 dict AS (SELECT expected_text[i] AS word, min(reference_phonemes[i]) AS phonemes FROM z GROUP BY 1 HAVING min(reference_phonemes[i]) IS NOT NULL),
 w AS (SELECT activity_id, page_index, unnest(string_split(array_to_string(phrases, ' '), ' ')) AS word FROM page_data WHERE len(phrases) > 0)
 SELECT activity_id, page_index, count(*) AS n_words, count(phonemes) AS n_known FROM w LEFT JOIN dict USING (word) GROUP BY 1, 2""")
-def dictionary_join_whole(spark, d):
-    """Words of pages with their phonetic forms, by the whole dictionary."""
+def dictionary_join(spark, d):
+    """Words of pages with their phonetic forms; unknown words count as words only."""
     return _known(spark, d, _dictionary(spark, d))
 
 
@@ -883,15 +895,17 @@ def tag_routes(spark, d):
     return table(spark, d, "story_phrase").select("storyid", "phraseindex", select.route("expected_text", "the", "because").alias("route"))
 
 
-@query("""WITH r AS (SELECT time_bucket(INTERVAL 1 HOUR, make_timestamp("timestamp" * 1000000)) AS window_start, status = 'processed' AS ok, CASE WHEN NOT isnan(processing_time) AND processing_time >= 0 THEN processing_time END AS t FROM activity_results)
-SELECT window_start, count(*) AS n_enqueued, count(*) FILTER (WHERE ok) AS n_completed, count(*) FILTER (WHERE NOT ok) AS n_failed, 0 AS n_rejected, round(avg(t), 10) AS mean_s FROM r GROUP BY 1""")
+@query("""WITH r AS (SELECT time_bucket(INTERVAL 1 HOUR, make_timestamp("timestamp" * 1000000)) AS window_start, status = 'processed' AS ok, CASE WHEN NOT isnan(processing_time) AND processing_time >= 0 THEN processing_time END AS t, 0 AS rej FROM activity_results
+ UNION ALL SELECT time_bucket(INTERVAL 1 HOUR, received_at), NULL, NULL, 1 FROM job_messages WHERE received_at IS NOT NULL AND (activity_id IS NULL OR trim(regexp_replace(activity_id, '\\s', '', 'g')) = ''))
+SELECT window_start, count(*) AS n_enqueued, count(*) FILTER (WHERE ok) AS n_completed, count(*) FILTER (WHERE NOT ok OR (ok IS NULL AND rej = 0)) AS n_failed, CAST(sum(rej) AS BIGINT) AS n_rejected, round(avg(t), 10) AS mean_s FROM r GROUP BY 1""")
 def hourly_summary(spark, d):
-    """Job summaries per hour; what was enqueued is what completed or failed."""
-    t = table(spark, d, "activity_results").select(F.timestamp_seconds("timestamp").alias("ts"), (F.col("status") == "processed").alias("ok"), metrics.measured("processing_time").alias("t"))
-    g = t.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n_enqueued"), F.count_if("ok").alias("n_completed"), F.count_if(~F.col("ok")).alias("n_failed"), F.round(F.avg("t"), 10).alias("mean_s"))
+    """Job summaries per hour, with the messages that were rejected (without an activity)."""
+    t = table(spark, d, "activity_results").select(F.timestamp_seconds("timestamp").alias("ts"), (F.col("status") == "processed").alias("ok"), metrics.measured("processing_time").alias("seconds"))
+    m = table(spark, d, "job_messages").where(~F.coalesce(F.col("activity_id").rlike(r"(?U)\S"), F.lit(False)) & F.col("received_at").isNotNull())
+    at = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("received_at").cast("timestamp_ntz")).cast("timestamp")
     # the hour in UTC, whatever the session's time zone
-    start = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("w.start").cast("timestamp_ntz"))
-    return g.select(start.alias("window_start"), "n_enqueued", "n_completed", "n_failed", F.lit(0).alias("n_rejected"), "mean_s")
+    start = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("window_start").cast("timestamp_ntz"))
+    return metrics.job_summary(t, m.select(at.alias("ts")), "ts", "1 hour").withColumn("window_start", start)
 
 
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS n, round(quantile_cont(value, 0.95), 6) AS q FROM events GROUP BY 1")
@@ -914,7 +928,7 @@ def notification_text(spark, d):
 def correlated_results(spark, d):
     """Messages with the results that carry a correlation id of their activity."""
     r = table(spark, d, "activity_results").where("correlation_id IS NOT NULL").groupBy("correlation_id", "activity_id").agg(F.count(F.lit(1)).alias("n_results"))
-    return table(spark, d, "job_messages").select("delivery_id", "activity_id").join(r, "activity_id").select("delivery_id", "n_results")
+    return skew_join(table(spark, d, "job_messages").select("delivery_id", "activity_id"), r, ["activity_id"]).select("delivery_id", "n_results")
 
 
 @query()
@@ -923,10 +937,12 @@ def sampled_metrics(spark, d):
     return select.sampled(table(spark, d, "events"), "event_id", 100)
 
 
-@query()
+@query("""WITH v AS (SELECT vec_id, embedding AS e, len(embedding) AS n FROM embeddings), p AS (SELECT vec_id, e, n, k, k * (n - 1) / 23.0 AS pt FROM v, generate_series(0, 23) g(k))
+SELECT vec_id, CAST(k AS INT) AS place, round(CAST(e[CAST(floor(pt) AS INT) + 1] AS DOUBLE) + (pt - floor(pt)) * (CAST(e[CAST(least(floor(pt) + 1, n - 1) AS INT) + 1] AS DOUBLE) - CAST(e[CAST(floor(pt) AS INT) + 1] AS DOUBLE)), 5) + 0 AS x FROM p WHERE n > 0""")
 def resampled_vectors(spark, d):
-    """Vectors interpolated to another length."""
-    return table(spark, d, "embeddings").select("vec_id", S.resample(F.col("embedding"), 24).alias("x")).select("vec_id", F.size("x").alias("n"), F.round(F.get("x", F.lit(0)), 6).alias("first"))
+    """Vectors interpolated to another length, all places."""
+    t = table(spark, d, "embeddings").select("vec_id", F.posexplode(S.resample(F.col("embedding"), 24)).alias("place", "x"))
+    return t.select("vec_id", "place", (F.round("x", 5) + 0).alias("x"))
 
 
 @query(f"""WITH o AS (SELECT {STORY} AS story, phraseindex, max(expected_text) AS w FROM story_phrase WHERE phraseindex IS NOT NULL AND expected_text IS NOT NULL GROUP BY 1, 2)

@@ -6,16 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cadenza.plans.skew import hot_keys, same_keys
-
-HOT_ROWS = 1_000_000
+from cadenza.plans.skew import HOT_ROWS, hot_keys, same_keys
 
 
 def before(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, tuple[str, Column]], slice_by: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """df with, for each name, the aggregate of the rows of the same key that come before: 'sum', 'count', 'max' or 'last' (non-null).
 
     order must be a total order within a key. slice_by: a bigint that does not
-    decrease in that order (such as the hour). Keys with more than hot_rows rows
+    decrease in that order (such as the hour). Hot keys (as hot_keys finds them)
     are cut by it: slices are scanned apart, and one row a slice hands on what
     came before. Without slice_by a key is scanned whole. 'sum' and 'count'
     start at 0, 'max' and 'last' at null.
@@ -28,7 +26,7 @@ def before(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, tup
         on = F.lit(True)
         for k in keys:
             on = on & df[k].eqNullSafe(flag[f"_h_{k}"])
-        # at most count / hot_rows keys: small whatever the data
+        # at most spark.sql.shuffle.partitions keys
         rows = df.join(F.broadcast(flag), on, "left").withColumn("_slice", F.when(F.col("_hot"), slice_by.cast("bigint")).otherwise(F.lit(0)))
         rows = rows.drop("_hot", *[f"_h_{k}" for k in keys])
         at = [*keys, "_slice"]
@@ -54,3 +52,15 @@ def before(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, tup
         else:
             out = out.withColumn(n, F.greatest(n, c) if k == "max" else F.coalesce(n, c))
     return out.drop("_slice", *[f"_c_{n}" for n in aggs])
+
+
+def batched(df: DataFrame, key: list[str], size: int, name: str = "batch", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """df with the number of the batch each row is in: batches of size rows, only the last may be smaller.
+
+    Rows are numbered in the order of a hash of key, in slices of it, so no task
+    holds them all. Equal keys may be cut by a batch's end; whole copies of a row
+    are numbered in any order.
+    """
+    rows = df.withColumns({"_all": F.lit(0), "_hash": F.xxhash64(*key)})
+    rows = before(rows, ["_all"], ["_hash", *key], {"_pos": ("count", F.lit(1))}, F.shiftright("_hash", 44), hot_rows)
+    return rows.withColumn(name, F.floor(F.col("_pos") / size).cast("bigint")).drop("_all", "_hash", "_pos")

@@ -8,18 +8,29 @@ from pyspark.sql import functions as F
 
 #: Parts that rows with a null key, which meet nothing in a join, are spread over.
 NULL_PARTS = 256
+#: Rows under which a key is never hot.
+HOT_ROWS = 100_000
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """The keys with more than hot_rows rows and their count ``n_hot``, or None if there are none.
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The keys too large for one task, their count ``n_hot`` and the parts ``n_parts`` they make, or None if there are none.
 
     Counts are combined before the shuffle, so a hot key costs one row a task.
-    At most count(df) / hot_rows keys can come out, whatever the data; that is
-    the size bound under which the caller may broadcast them.
+    With P = spark.sql.shuffle.partitions the P largest keys of more than
+    hot_rows rows are looked at; hot are those with more than a P-th of their
+    rows together. So at most P keys come to the driver and P + P parts come
+    out, however large the data: that is the bound under which the caller may
+    broadcast them. Any other key has at most hot_rows rows or a P-th of all
+    rows, the share of one task.
     """
+    spark = df.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_hot")).where(F.col("n_hot") > hot_rows)
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    rows = found.orderBy(F.desc("n_hot")).limit(most).collect()
+    share = max(hot_rows, -(-sum(r.n_hot for r in rows) // most))
+    hot = [(*r, -(-r.n_hot // share)) for r in rows if r.n_hot > share]
+    schema = T.StructType([*found.schema.fields, T.StructField("n_parts", T.LongType())])
+    return spark.createDataFrame(hot, schema) if hot else None
 
 
 def same_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
@@ -30,20 +41,20 @@ def same_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     return out
 
 
-def spread(left: DataFrame, rights: list[DataFrame], keys: list[str], hot_rows: int = 1_000_000) -> tuple[DataFrame, list[DataFrame], list[str]]:
+def spread(left: DataFrame, rights: list[DataFrame], keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, list[DataFrame], list[str]]:
     """All sides ready to be joined on the returned columns: keys, and a salt where left has hot keys.
 
     The skew join of adaptive execution needs both sides to come straight from
     a shuffle; after an aggregation or before another operator on the same key
-    it does nothing. Here the rows of a left key with more than hot_rows rows
-    are spread over parts of about hot_rows, and the right rows of that key are
-    repeated once a part. Meant for right sides with few rows a key.
+    it does nothing. Here the rows of a hot left key are spread over its parts,
+    and the right rows of that key are repeated once a part. Meant for right
+    sides with few rows a key.
     """
     hot = hot_keys(left.select(*keys), keys, hot_rows)
     if hot is None:
         return left, rights, keys
-    # at most count(left) / hot_rows keys: small whatever the data
-    parts = F.broadcast(hot.select(*keys, F.ceil(F.col("n_hot") / hot_rows).cast("bigint").alias("_parts")))
+    # at most spark.sql.shuffle.partitions keys
+    parts = F.broadcast(hot.select(*keys, F.col("n_parts").alias("_parts")))
     lost = F.lit(False)
     for k in keys:
         lost = lost | F.col(k).isNull()
@@ -55,7 +66,7 @@ def spread(left: DataFrame, rights: list[DataFrame], keys: list[str], hot_rows:
     return big.drop("_parts", "_hash"), small, [*keys, "_salt"]
 
 
-def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", hot_rows: int = 1_000_000) -> DataFrame:
+def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", hot_rows: int = HOT_ROWS) -> DataFrame:
     """left.join(right, keys, how) for inner, left, left_semi and left_anti, with hot left keys spread."""
     a, (b,), on = spread(left, [right], keys, hot_rows)
     return a.join(b, on, how).drop("_salt")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 import pyspark.sql.types as T
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,12 @@ def describe(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame([(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema], "name string, type string, nullable boolean")
 
 
+def describe_catalog(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, name, type, place) of the columns of named tables, as a catalog lists them; place counts from 0. From the schemas alone."""
+    rows = [(t, f.name, f.dataType.simpleString(), i) for t, df in tables.items() for i, f in enumerate(df.schema)]
+    return spark.createDataFrame(rows, "table string, name string, type string, place int")
+
+
 def read_pages(spark: SparkSession, pattern: str) -> DataFrame:
     """(story, page_index, words, text) of files <story>_<n>_page.txt with one word a line; blank lines are dropped."""
     lines = spark.read.text(pattern, wholetext=True).select("value", F.input_file_name().alias("file"))
@@ -65,10 +73,15 @@ def read_thresholds(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Segment rows of a JSON manifest."""
+    """Segment rows of JSON manifests, in lines or as one document a file; path may be a pattern over activities."""
     return spark.read.schema("activityId string, phraseIndex int, start_ms double, end_ms double, s3_uri string").json(path)
 
 
+def manifest_path(root: str, activity: str = "*", name: str = "manifest") -> str:
+    """Where the manifest of an activity (or of all) lies, under either of its names."""
+    return f"{root.rstrip('/')}/{activity}/{name}.json"
+
+
 def list_objects(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(key, size, modified) under a path; the contents are not read."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path).select(F.col("path").alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
@@ -89,6 +102,47 @@ def read_wav(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("duration_ms", F.when(F.col("data_bytes") > 0, F.try_divide("data_bytes", per_ms)).otherwise(0.0))
 
 
+def wav_samples(content: Column, rate: int = 16_000) -> Column:
+    """Struct (channels, rate, bits, data_bytes, samples) of a WAV file's bytes, by a walk over its chunks.
+
+    samples: 16-bit mono values as floats from -1 to 1, linearly interpolated to
+    rate. Bytes that are no WAV, other sample sizes and files without data have
+    null fields and no samples; a data chunk that is cut short ends with the file.
+    """
+
+    @F.pandas_udf("channels int, rate int, bits int, data_bytes bigint, samples array<float>")
+    def walk(files: pd.Series) -> pd.DataFrame:
+        rows = []
+        for b in files:
+            channels = hz = bits = size = None
+            samples: list[float] | np.ndarray = []
+            if b is not None and b[:4] == b"RIFF" and b[8:12] == b"WAVE":
+                at = 12
+                while at + 8 <= len(b):
+                    name, n = b[at : at + 4], int.from_bytes(b[at + 4 : at + 8], "little")
+                    body = b[at + 8 : at + 8 + n]
+                    if name == b"fmt " and len(body) >= 16:
+                        channels, hz, bits = (int.from_bytes(body[i:j], "little") for i, j in ((2, 4), (4, 8), (14, 16)))
+                    elif name == b"data":
+                        size = len(body)
+                        if bits == 16 and channels and hz:
+                            x = np.frombuffer(body[: size - size % (2 * channels)], "<i2").reshape(-1, channels).mean(axis=1) / 32768
+                            m = round(len(x) * rate / hz)
+                            samples = np.interp(np.arange(m) * hz / rate, np.arange(len(x)), x).astype("float32") if len(x) else []
+                    at += 8 + n + n % 2
+            rows.append((channels, hz, bits, size, samples))
+        out = pd.DataFrame(rows, columns=["channels", "rate", "bits", "data_bytes", "samples"])
+        return out.astype({"channels": "Int32", "rate": "Int32", "bits": "Int32", "data_bytes": "Int64"})
+
+    return walk(content)
+
+
+def best_alternative(response: Column) -> Column:
+    """Struct (transcript, confidence) of a recogniser's JSON: the first alternative of the first channel, null if there is none."""
+    kind = "results struct<channels:array<struct<alternatives:array<struct<transcript:string,confidence:double>>>>>"
+    return F.get(F.get(F.from_json(response, kind)["results"]["channels"], F.lit(0))["alternatives"], F.lit(0))
+
+
 def transcript_words(text: Column) -> Column:
     """Words of a recogniser's response: of more than two lines the last but one, else the whole; its data[0].text list."""
     lines = F.split(text, "\n")

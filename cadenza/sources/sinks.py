@@ -9,16 +9,23 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.session import shared_dir
+from cadenza.plans.scan import batched
+from cadenza.session import shared_dir, written
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_results(df: DataFrame, path: str, day: str = "dt") -> None:
-    """JSON under <day>=…/activity_id=…/ with a _SUCCESS mark; rows of a folder are gathered first, so files stay few."""
-    df.repartition(day, "activity_id").write.mode("overwrite").partitionBy(day, "activity_id").json(path)
+def write_results(df: DataFrame, path: str, day: str = "dt", per_activity: bool = False) -> None:
+    """JSON under <day>=…/, or with per_activity under <day>=…/activity_id=…/, with a _SUCCESS mark.
+
+    Rows are gathered by folder in partitions of even size, so files stay few and
+    a day with most of the rows is several tasks' work. A folder for each
+    activity suits a few results; a day's file holds them as well.
+    """
+    folders = [day, "activity_id"] if per_activity else [day]
+    df.hint("rebalance", *folders).write.mode("overwrite").partitionBy(*folders).json(path)
 
 
 def upserted(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
@@ -34,8 +41,8 @@ def write_manifest(df: DataFrame, path: str) -> None:
 
 
 def write_ids(df: DataFrame, column: str, path: str) -> None:
-    """Distinct ids in order, as one CSV file with a header. For exports a reader opens whole."""
-    df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).coalesce(1).write.mode("overwrite").option("header", True).option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    """Distinct ids in order, as CSV files with a header whose names are in that order; as many files as the ids need."""
+    df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).write.mode("overwrite").option("header", True).option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def timing_json(timings: DataFrame) -> DataFrame:
@@ -71,9 +78,23 @@ def timing_documents(pages: DataFrame, timings: DataFrame) -> DataFrame:
     return rows.groupBy("activity_id").agg(F.to_json(doc, {"ignoreNullFields": "false"}).alias("timing"))
 
 
+def activity_report(summary: DataFrame, words: DataFrame) -> DataFrame:
+    """activity_id, line_no, line: of each activity a header with its accuracies, then one line a word.
+
+    summary: activity_id, n_words, accuracy_before, accuracy_after, improvement
+    (as two_level_accuracy gives them). words: activity_id, place (order within
+    the activity), word, a, b, confidence. Improvements carry their sign.
+    """
+    head = F.format_string("Activity %s: %d words, before %.3f, after %.3f, improvement %+.3f", "activity_id", "n_words", "accuracy_before", "accuracy_after", "improvement")
+    heads = summary.select("activity_id", F.lit(-1).cast("bigint").alias("line_no"), head.alias("line"))
+    lines = report_lines(words.select("activity_id", F.col("place").cast("bigint").alias("line_no"), "word", "a", "b", "confidence"))
+    return heads.unionByName(lines)
+
+
 def report_lines(words: DataFrame) -> DataFrame:
-    """line: one padded line a word (word, a, b, confidence)."""
-    return words.select(F.format_string("%s %s %s %.3f", F.rpad("word", 16, " "), F.rpad(F.col("a").cast("string"), 4, " "), F.rpad(F.col("b").cast("string"), 4, " "), F.col("confidence").cast("double")).alias("line"))
+    """line: one padded line a word (word, a, b, confidence), beside the columns it does not hold."""
+    rest = [c for c in words.columns if c not in ("word", "a", "b", "confidence")]
+    return words.select(*rest, F.format_string("%s %s %s %.3f", F.rpad("word", 16, " "), F.rpad(F.col("a").cast("string"), 4, " "), F.rpad(F.col("b").cast("string"), 4, " "), F.col("confidence").cast("double")).alias("line"))
 
 
 def summary_text(summary: DataFrame, name: str) -> DataFrame:
@@ -88,25 +109,33 @@ def append_metrics(df: DataFrame, path: str) -> None:
 
 
 class ResultCache:
-    """Results of SQL texts, kept as Parquet by a hash of text and options, for a time to live."""
+    """Results of SQL texts, kept as Parquet by a hash of text and options, for a time to live.
+
+    A result's age is that of the mark its write left, so a folder that is given
+    again serves another session, or one after a restart. max_age_s: accept a
+    result of this age at most, whatever the time to live.
+    """
 
     def __init__(self, spark: SparkSession, ttl_s: float, folder: str | None = None):
         self.spark, self.ttl_s, self.folder = spark, ttl_s, folder or shared_dir(spark, "cache")
-        self.made: dict[str, float] = {}
 
-    def query(self, sql: str, **options: str) -> DataFrame:
+    def _age(self, path: str) -> float:
+        mark = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        fs = mark.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return time.time() - fs.getFileStatus(mark).getModificationTime() / 1000 if fs.exists(mark) else float("inf")
+
+    def query(self, sql: str, max_age_s: float | None = None, **options: str) -> DataFrame:
         key = hashlib.sha256(json.dumps([sql, options], sort_keys=True).encode()).hexdigest()
         path = f"{self.folder}/{key}"
-        if time.time() - self.made.get(key, 0) > self.ttl_s:
+        if self._age(path) > (self.ttl_s if max_age_s is None else max_age_s):
             self.spark.sql(sql).write.mode("overwrite").parquet(path)
-            self.made[key] = time.time()
         return self.spark.read.parquet(path)
 
 
 def stale(objects: DataFrame, now, days: int, batch: int = 1000) -> DataFrame:
-    """Objects older than days, numbered in batches of deletions; nothing is deleted."""
+    """Objects (key, modified) older than days, numbered in batches of at most `batch` deletions; nothing is deleted."""
     old = objects.where(F.col("modified") < F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {days} DAY"))
-    return old.withColumn("batch", F.pmod(F.xxhash64("key"), F.lit(batch)))
+    return batched(old, ["key"], batch)
 
 
 def export_plan(slices: DataFrame) -> DataFrame:
@@ -115,5 +144,16 @@ def export_plan(slices: DataFrame) -> DataFrame:
 
 
 def redrive(rejected: DataFrame, most: int) -> DataFrame:
-    """The oldest rejected messages, at most `most`, to be sent again."""
+    """The oldest rejected messages, at most `most`, to be sent again. The number is the operator's own: a run is asked for that many."""
     return rejected.orderBy("timestamp", "delivery_id").limit(most)
+
+
+def redriven(rejected: DataFrame, queue: str, most: int, batch: int = 10) -> tuple[DataFrame, DataFrame]:
+    """Send the oldest rejected messages again and give (sent, left): the messages of the run and those still rejected.
+
+    Sent messages are appended to the queue's folder with their send batch;
+    only then does left, without them, take the place of rejected.
+    """
+    sent = written(batched(redrive(rejected, most), ["delivery_id"], batch), "redrive")
+    sent.write.mode("append").parquet(queue)
+    return sent, rejected.join(sent.select("delivery_id"), "delivery_id", "left_anti")

@@ -7,12 +7,13 @@ from cadenza.operators import align
 
 def test_item_vectors():
     a = align.align_items
-    assert a(["a_letter", "b_sound"], ["a", "bʌ"], ["ɛ", "b"], [0.9, 0.8])[1] == [False, False]
-    assert a(["a_letter"], ["a"], ["x"], [0.9])[:2] == (["-"], [True])
-    assert a(["a_letter"] * 2, ["a", "a"], ["a", "ɛ"], [0.9, 0.42]) == (["a", "ɛ"], [False, False], [0.9, 0.42])
+    assert a(["d_sound", "m_letter"], ["dʌ", "ɛm"], ["d", "ɛn"], [0.6, 0.7])[1] == [False, False]
+    assert a(["k_letter"], ["ka"], ["zi"], [0.3])[:2] == (["-"], [True])
+    assert a(["f_sound"] * 2, ["fʌ", "fʌ"], ["fʌ", "v"], [0.55, 0.35]) == (["fʌ", "v"], [False, False], [0.55, 0.35])
     assert a([], [], [], []) == ([], [], [])
     # an insertion shifts what follows and pushes it off the end
-    assert a(["a_letter"], ["a"], ["q", "a"], [0.8, 0.9]) == (["q"], [True], [0.4])
+    assert a(["k_letter"], ["ka"], ["ti", "ka"], [0.6, 0.7]) == (["ti"], [True], [0.3])
+    assert a(["k_letter"], ["ka"], ["ti", "ka"], [None, 0.7])[2] == [0.0]
 
 
 @given(st.lists(st.sampled_from(["a_letter", "b_sound", "zz"]), max_size=6), st.lists(st.sampled_from("abɛx"), max_size=6), st.lists(st.sampled_from("abɛx"), max_size=6))
@@ -22,27 +23,51 @@ def test_always_one_entry_an_item(expected, reference, heard):
 
 
 def test_aligned_column(spark):
-    rows = [(["a_letter"], ["a"], ["a"], [0.7]), (["a_letter", "b_sound"], ["a"], ["a"], []), (["a_letter"], ["a"], [], []), ([], [], [], []), (["a_letter"], None, None, None), (["a_letter", "b_sound"], ["a", "bʌ"], ["ɛ", "b"], [0.9, 0.8])]
+    rows = [(["p_letter"], ["pi"], ["pi"], [0.7]), (["p_letter", "d_sound"], ["pi"], ["pi"], []), (["p_letter"], ["pi"], [], []), ([], [], [], []), (["p_letter"], None, None, None), (["m_letter", "d_sound"], ["ɛm", "dʌ"], ["ɛn", "d"], [0.6, 0.5])]
+    rows += [(["p_letter"] * 2, ["pi", None], ["pi"], [0.4]), (["p_letter"], ["pi"], [None, "pi"], [0.4])]
     df = spark.createDataFrame(rows, "e array<string>, r array<string>, h array<string>, c array<double>")
     got = [tuple(r.x) for r in df.select(align.aligned_items(F.col("e"), F.col("r"), F.col("h"), F.col("c")).alias("x")).collect()]
-    assert got == [(["a"], [False], [0.7]), (["a", "-"], [False, True], [0.0, 0.0]), (["-"], [True], [0.0]), ([], [], []), (["-"], [True], [0.0]), (["ɛ", "b"], [False, False], [0.9, 0.8])]
+    want = [(["pi"], [False], [0.7]), (["pi", "-"], [False, True], [0.0, 0.0]), (["-"], [True], [0.0]), ([], [], []), (["-"], [True], [0.0]), (["ɛn", "d"], [False, False], [0.6, 0.5])]
+    # a null element: the row can't be aligned
+    assert got == want + [(["-", "-"], [True, True], [0.0, 0.0]), (["-"], [True], [0.0])]
 
 
 def test_word_and_sound_matches(spark):
-    assert align.word_matches("hello world how are you".split(), "hello world are you".split()) == [1, 1, 0, 1, 1]
-    assert align.sound_matches(["kγndhɑɹtɪd"], ["kγnd", "hɑɹtɪd"]) == [1]
-    df = spark.createDataFrame([("hello world", "good day"), ("", "x"), ("a b", ""), ("a b", None), ("a b", "a b"), (None, "a")], "a string, b string")
+    assert align.word_matches("two small frogs jump in".split(), "two frogs then jump".split()) == [1, 0, 1, 1, 0]
+    assert align.sound_matches(["sɪlvɝ", "mun"], ["sɪl", "vɝ"]) == [1, 0]
+    assert align.sound_matches(["mun"], ["sɪl", "nun", "vɝ"]) == [1]
+    df = spark.createDataFrame([("green field", "old barn"), ("", "x"), ("a b", ""), ("a b", None), ("a b", "a b"), (None, "a")], "a string, b string")
     assert [r.m for r in df.select(align.matched_words(F.col("a"), F.col("b")).alias("m")).collect()] == [[0, 0], [], [0, 0], [0, 0], [1, 1], []]
 
 
 def test_decode():
     d = align.decode_stream
-    assert d(["t", "t", "|", "æ"], [0.9, 0.7, 0.0, 0.8]) == (["t", "æ"], [0.8, 0.8])
-    assert d(["t", "|", "|", "æ"], [0.9, 0, 0, 0.8]) == (["t", "æ"], [0.9, 0.8])
-    assert d(["|", "t", "|", "|", "æ", "|"], [0, 0.9, 0, 0, 0.8, 0]) == (["t", "æ"], [0.9, 0.8])
-    assert d(["INVALID_TOKEN", "æ", "ANOTHER_INVALID"], [0.1, 0.5, 0.2]) == (["æ"], [0.5])
-    assert d(["INVALID"], [0.1]) == ([], []) and d([], []) == ([], [])
-    assert d(["t", "<pad>", "t"], [0.2, 0.9, 0.4])[0] == ["t"]
+    assert d(["m", "m", "|", "o"], [0.5, 0.25, 0.0, 0.75]) == (["m", "o"], [0.375, 0.75])
+    assert d(["|", "m", "|", "|", "o", "|"], [0, 0.5, 0, 0, 0.75, 0]) == (["m", "o"], [0.5, 0.75])
+    assert d(["??", "o", "long token"], [0.1, 0.5, 0.2]) == (["o"], [0.5])
+    assert d(["??"], [0.1]) == ([], []) and d([], []) == ([], [])
+    assert d(["z", "<pad>", "z"], [0.2, 0.9, 0.4])[0] == ["z"]
+
+
+def slow_common(a, b):
+    """Cell by cell, from the ends."""
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+    return best[0][0]
+
+
+@given(st.lists(st.sampled_from("abcd"), max_size=9), st.lists(st.sampled_from("abcd"), max_size=9))
+def test_common_subsequence(a, b):
+    got = align.common_subsequence(a, b)
+    assert len(got) == slow_common(a, b)
+    assert all(a[i] == b[j] for i, j in got) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
+
+
+def test_long_sequences():
+    a = [str(k % 97) for k in range(3000)]
+    assert len(align.common_subsequence(a, a[5:] + ["x"] * 5)) == 2995
 
 
 def timings(spark, phrases, tokens, start=1000):
@@ -51,9 +76,9 @@ def timings(spark, phrases, tokens, start=1000):
 
 
 def test_phrase_timings(spark):
-    toks = [("hello", 1.0, 1.5), ("world", 1.5, 2.0), ("how", 2.5, 2.8), ("are", 3.0, 3.2), ("you", 3.5, 3.8)]
-    assert [x[:2] for x in timings(spark, ["hello world", "how are you"], toks)] == [(1000, 2000), (2500, 3800)]
-    toks = [("hello", 1.0, 1.5), ("good", 2.5, 2.9), ("morning", 3.0, 3.5)]
-    assert timings(spark, ["hello world", "good morning"], toks) == [(1000, 1500, "hello"), (2500, 3500, "good morning")]
-    assert timings(spark, ["hello", "there"], []) == [(1000, 1000, ""), (1000, 1000, "")]
+    toks = [("two", 1.2, 1.4), ("frogs", 1.4, 1.9), ("jump", 2.2, 2.6), ("over", 2.7, 2.9), ("logs", 3.1, 3.6)]
+    assert [x[:2] for x in timings(spark, ["two frogs", "jump over logs"], toks)] == [(1200, 1900), (2200, 3600)]
+    toks = [("two", 1.2, 1.4), ("old", 2.1, 2.4), ("barns", 2.5, 3.3)]
+    assert timings(spark, ["two frogs", "old barns"], toks) == [(1200, 1400, "two"), (2100, 3300, "old barns")]
+    assert timings(spark, ["two", "frogs"], []) == [(1000, 1000, ""), (1000, 1000, "")]
     assert timings(spark, [], toks) == []

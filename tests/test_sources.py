@@ -56,7 +56,7 @@ def test_upsert_cache_results(spark, tmp_path):
     assert cache.query("SELECT count(*) AS n FROM t_cache").first().n == 2
     t.limit(1).createOrReplaceTempView("t_cache")
     assert cache.query("SELECT count(*) AS n FROM t_cache").first().n == 2
-    sinks.write_results(t.select(F.lit("2025-01-01").alias("dt"), F.col("k").alias("activity_id"), "n"), str(tmp_path / "r"))
+    sinks.write_results(t.select(F.lit("2025-01-01").alias("dt"), F.col("k").alias("activity_id"), "n"), str(tmp_path / "r"), per_activity=True)
     assert (tmp_path / "r" / "_SUCCESS").exists() and (tmp_path / "r" / "dt=2025-01-01" / "activity_id=a").is_dir()
     sinks.write_parquet(t, str(tmp_path / "p"))
     assert spark.read.parquet(str(tmp_path / "p")).count() == 2
