@@ -19,7 +19,7 @@ import pyspark.sql.types as T
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.plans.skew import skew_join
+from cadenza.plans.skew import HOT_ROWS, skew_join
 
 #: Folder of the vocabulary files, on every executor.
 FOLDER = "/opt/tokenizers"
@@ -138,7 +138,13 @@ def _pieces(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
     return both.repartition("digest", "j")
 
 
-def encode_texts(df: DataFrame, row_id: str, text: str, tokenizer: str, folder: str = FOLDER, count: bool = False, chunk: int = 4096, overlap: int = 256, hot_rows: int = 1_000_000) -> DataFrame:
+def bound_batches(spark) -> None:
+    """Let Arrow batches end at 16 MB where the session sets no bound of its own: long texts come in few rows. Other settings stay."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, "", "-1", str(2**31 - 1), str(2**63 - 1)):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
+def encode_texts(df: DataFrame, row_id: str, text: str, tokenizer: str, folder: str = FOLDER, count: bool = False, chunk: int = 4096, overlap: int = 256, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(row_id, ids), or (row_id, n_tokens) with count, of every row of df.
 
     Null and empty texts have the empty list (0 tokens). Repeated rows and
@@ -147,9 +153,7 @@ def encode_texts(df: DataFrame, row_id: str, text: str, tokenizer: str, folder:
     points are encoded in pieces, each distinct one once; for vocabularies that
     are not byte-level a text is one piece. Other columns are not looked at.
     """
-    spark = df.sparkSession
-    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, "", "-1", str(2**31 - 1), str(2**63 - 1)):
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))  # long texts come in batches of bounded size
+    bound_batches(df.sparkSession)
     name = "n_tokens" if count else "ids"
     run = _encode_udf(tokenizer, folder, count)
     rows = df.select(F.col(row_id).alias(row_id), F.col(text).alias("text"))
@@ -167,6 +171,54 @@ def encode_texts(df: DataFrame, row_id: str, text: str, tokenizer: str, folder:
     return short.unionByName(skew_join(long.select(row_id, "digest"), whole, ["digest"], hot_rows=hot_rows).select(row_id, name))
 
 
+def _counts_udf(names: list[str], folder: str):
+    """Struct of the token counts n0, n1, … of a text by each vocabulary; those for which whole is false are null."""
+
+    @F.pandas_udf(T.StructType([T.StructField(f"n{i}", T.IntegerType()) for i in range(len(names))]))
+    def counts(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        run = [encoder(n, folder) for n in names]
+        for s, cut in parts:
+            texts = s.fillna("").tolist()
+            rest = [i for i, c in enumerate(cut) if not c]
+            cols = {}
+            for i, (name, enc) in enumerate(zip(names, run)):
+                at = rest if name in BYTE_LEVEL else range(len(texts))
+                n = pd.array([None] * len(texts), "Int32")
+                if len(at):
+                    n[list(at)] = [len(x) for x in enc([texts[k] for k in at])]
+                cols[f"n{i}"] = n
+            yield pd.DataFrame(cols)
+
+    return counts
+
+
+def count_tokens(df: DataFrame, row_id: str, text: str, tokenizers: list[str], folder: str = FOLDER, chunk: int = 4096, overlap: int = 256) -> DataFrame:
+    """(tokenizer, row_id, n_tokens) of every row of df under each vocabulary, as many as encode_texts gives ids.
+
+    One pass counts a text under all vocabularies. Long texts are cut once, and
+    their pieces counted under all byte-level ones; the others take them whole.
+    """
+    spark = df.sparkSession
+    bound_batches(spark)
+    rows = df.select(F.col(row_id).alias(row_id), F.col(text).alias("text"))
+    byte_level = [n for n in tokenizers if n in BYTE_LEVEL]
+    is_long = F.coalesce(F.char_length("text") > chunk + overlap, F.lit(False)) if byte_level else F.lit(False)
+    run = _counts_udf(tokenizers, folder)
+    n = [f"n{i}" for i in range(len(tokenizers))]
+    each = F.inline(F.array(*[F.struct(F.lit(name).alias("tokenizer"), F.coalesce(c, F.lit(0)).alias("n_tokens")) for name, c in zip(tokenizers, n)]))
+    out = rows.where(~is_long).select(row_id, run("text", F.lit(False)).alias("c")).select(row_id, "c.*")
+    if byte_level:
+        long = rows.where(is_long).withColumn("digest", F.sha2("text", 256))
+        once = long.dropDuplicates(["digest"]).select("digest", "text")
+        pieces = _pieces(once, chunk, overlap).select("digest", _counts_udf(byte_level, folder)("piece", F.lit(False)).alias("c"))
+        whole = pieces.groupBy("digest").agg(*[F.sum(f"c.n{i}").cast("int").alias(f"b{i}") for i in range(len(byte_level))])
+        kept = long.select(row_id, "digest", run("text", F.lit(True)).alias("c")).select(row_id, "digest", "c.*")
+        both = skew_join(kept, whole, ["digest"])
+        cols = [F.col(f"b{byte_level.index(name)}").alias(c) if name in BYTE_LEVEL else F.col(c) for name, c in zip(tokenizers, n)]
+        out = out.unionByName(both.select(row_id, *cols))
+    return out.select(row_id, each).select("tokenizer", row_id, "n_tokens")
+
+
 def decode(ids: Column, tokenizer: str, folder: str = FOLDER) -> Column:
     """The raw bytes of byte-level ids as text; null ids give null."""
 

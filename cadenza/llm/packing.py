@@ -4,9 +4,11 @@ Only the histogram of sizes (at most `capacity` entries, whatever the corpus)
 is planned in one place: large sizes are sorted into groups of equal cardinality
 and rounded up to their group's largest, configurations of the few rounded sizes
 are optimised by column generation, actual sizes are substituted for the rounded
-ones, and small sizes go best-fit into what is left. The plan is a list of runs
-of equal containers, so it does not grow with the corpus either. Documents find
-their container by their rank within their size, which is counted in salted parts.
+ones, and small sizes go best-fit into what is left. Every large item goes into
+a configuration: what the linear program leaves in fractions of containers is
+rounded up, the largest fraction first. The plan is a list of runs of equal
+containers, so it does not grow with the corpus either. Documents find their
+container by their rank within their size, which is counted in salted parts.
 """
 
 from __future__ import annotations
@@ -19,22 +21,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cadenza.llm.encode import FOLDER, encode_texts
+from cadenza.llm.encode import FOLDER, count_tokens
 from cadenza.session import written
 from cadenza.sources.tables import table
 
-#: Sizes above this part of the capacity are large: they are grouped and configured.
-LARGE = 0.3
+#: Sizes above this part of the capacity are large: they are grouped and configured. Of several plans the one with the
+#: fewest containers is taken; the next is made only if the one before needs more than the volume does.
+LARGE = (0.3, 0.2)
 #: Groups of large sizes.
 GROUPS = 96
-#: Configurations that fill less than this part of a container, as rounded, aren't used.
-FULL = 0.995
+#: Up to so many large sizes each is a group of its own, so that none is rounded.
+EXACT = 256
+#: Rows of container_sizes that are taken in one run; more are refused.
+MOST_SPECS = 10_000
 #: Steps of room that configurations are planned in at most; rounded sizes are rounded up to them.
 STEPS = 16_384
 
 
 def linear_groups(sizes: np.ndarray, counts: np.ndarray, k: int) -> list[np.ndarray]:
-    """Indices of descending sizes in at most k groups of about equal cardinality; one size stays in one group."""
+    """Indices of descending sizes in at most k groups of about equal cardinality; one size stays in one group. Few sizes are a group each."""
+    if len(sizes) <= EXACT:
+        return [np.array([i]) for i in range(len(sizes))]
     upto = np.cumsum(counts)
     of = np.minimum((upto - counts) * k // max(1, upto[-1]), k - 1)
     return [np.flatnonzero(of == g) for g in np.unique(of)]
@@ -66,7 +73,11 @@ def _best_pattern(w: np.ndarray, y: np.ndarray, capacity: int) -> tuple[float, n
 
 
 def configurations(w: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-4, rounds: int = 2000) -> list[tuple[np.ndarray, int]]:
-    """(configuration, number of containers) rounded down from the linear program over all configurations."""
+    """(configuration, number of containers) that hold all of demand, from the linear program over all configurations.
+
+    Whole containers first; then a container for each fraction, the largest
+    first, holding those of its items that are still without one.
+    """
     k = len(w)
     basis = np.diag(np.maximum(1, capacity // w)).astype(float)
     x = demand / np.diag(basis)
@@ -82,7 +93,22 @@ def configurations(w: np.ndarray, demand: np.ndarray, capacity: int, gap: float
         x = np.maximum(x - step * d, 0)
         x[out] = step
         basis[:, out] = pattern
-    return [(basis[:, i].astype(np.int64), int(x[i] + 1e-9)) for i in range(k) if x[i] + 1e-9 >= 1]
+    whole = np.floor(x + 1e-9)
+    out = [(basis[:, i].astype(np.int64), int(whole[i])) for i in range(k) if whole[i]]
+    rest = np.maximum(np.round(demand - basis @ whole), 0)
+    for i in sorted(range(k), key=lambda i: whole[i] - x[i]):
+        some = np.minimum(basis[:, i], rest)
+        if x[i] > whole[i] + 1e-6 and some.any():
+            out.append((some.astype(np.int64), 1))
+            rest -= some
+    while rest.any():  # what numerical error leaves
+        some, room = np.zeros(k, np.int64), capacity
+        for j in range(k):
+            n = int(min(rest[j], room // w[j]))
+            some[j], room = n, room - n * int(w[j])
+        out.append((some, 1))
+        rest -= some
+    return out
 
 
 class Plan:
@@ -91,6 +117,7 @@ class Plan:
     def __init__(self, capacity: int):
         self.capacity = capacity
         self.n = 0
+        self.configured = 0  # containers opened by configurations
         self.used: dict[int, int] = defaultdict(int)  # ranks of each size given away
         self.rows: list[tuple[int, int, int, int, int]] = []  # size, from rank, to rank, first container, copies in each
         self.open: dict[int, list[tuple[int, int]]] = defaultdict(list)  # room -> (first container, how many)
@@ -136,10 +163,23 @@ class Plan:
             count -= take * copies
 
 
-def plan(sizes: dict[int, int], capacity: int, groups: int = GROUPS, large: float = LARGE) -> Plan:
-    """sizes: size -> count, all from 1 to capacity."""
+def plan(sizes: dict[int, int], capacity: int, groups: int = GROUPS, larges: tuple[float, ...] = LARGE) -> Plan:
+    """sizes: size -> count, all from 1 to capacity. The plan of the fewest containers of those for each part that counts as large."""
+    best = None
+    for large in larges:
+        one = _plan(sizes, capacity, groups, large)
+        if best is None or one.n < best.n:
+            best = one
+        if best.n == -(-sum(s * n for s, n in sizes.items()) // capacity):
+            break
+    return best
+
+
+def _plan(sizes: dict[int, int], capacity: int, groups: int, large: float) -> Plan:
     out, left = Plan(capacity), dict(sizes)
-    big = np.array(sorted((s for s in sizes if s > large * capacity), reverse=True), np.int64)
+    if full := left.pop(capacity, 0):  # fills a container alone: no group of its own size's weight
+        out.new(full, [(capacity, 1)])
+    big = np.array(sorted((s for s in left if s > large * capacity), reverse=True), np.int64)
     if len(big):
         counts = np.array([sizes[int(s)] for s in big], np.int64)
         members = linear_groups(big, counts, groups)
@@ -149,8 +189,6 @@ def plan(sizes: dict[int, int], capacity: int, groups: int = GROUPS, large: floa
         # fullest configurations first, so that what rounding leaves over is small
         unit = -(-capacity // STEPS)
         for pattern, many in sorted(configurations(-(-w // unit), demand, capacity // unit), key=lambda p: -int(p[0] @ w)):
-            if pattern @ w < FULL * capacity:
-                break  # what would leave much room is placed size by size below
             slots = [(int(j), int(pattern[j])) for j in np.flatnonzero(pattern)]
             while many:
                 content: dict[int, int] = defaultdict(int)
@@ -170,6 +208,7 @@ def plan(sizes: dict[int, int], capacity: int, groups: int = GROUPS, large: floa
                     break
                 out.new(times, sorted(content.items(), reverse=True))
                 many -= times
+    out.configured = out.n
     for size in sorted(left, reverse=True):
         out.best_fit(size, left[size])
     return out
@@ -183,12 +222,8 @@ def _take(queue: list[list[int]], n: int, left: dict[int, int]) -> None:
 
 
 def token_counts(spark: SparkSession, documents: DataFrame, tokenizers: list[str], folder: str = FOLDER) -> DataFrame:
-    """(tokenizer, doc_id, n_tokens), written once: it is read several times and costly to make."""
-    out = None
-    for name in tokenizers:
-        one = encode_texts(documents, "doc_id", "text", name, folder, count=True).select(F.lit(name).alias("tokenizer"), "doc_id", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
-        out = one if out is None else out.unionByName(one)
-    return written(out, "token_counts")
+    """(tokenizer, doc_id, n_tokens), all from one reading of the texts, written once: it is read several times and costly to make."""
+    return written(count_tokens(documents, "doc_id", "text", tokenizers, folder), "token_counts")
 
 
 def pack(counts: DataFrame, specs: list[tuple[str, int]], part_rows: int = 1_000_000) -> DataFrame:
@@ -236,14 +271,18 @@ def pack(counts: DataFrame, specs: list[tuple[str, int]], part_rows: int = 1_000
 
 
 def specs_of(container_sizes: DataFrame) -> list[tuple[str, int]]:
-    """The distinct usable rows; a row without a tokenizer or with a capacity under 1 has no containers."""
-    rows = container_sizes.where("tokenizer IS NOT NULL AND capacity >= 1").select("tokenizer", F.col("capacity").cast("int")).distinct().limit(10_000)
-    return sorted((r[0], r[1]) for r in rows.collect())
+    """The distinct usable rows; a row without a tokenizer or with a capacity under 1 has no containers. More than MOST_SPECS are a ValueError."""
+    rows = container_sizes.where("tokenizer IS NOT NULL AND capacity >= 1").select("tokenizer", F.col("capacity").cast("int")).distinct().limit(MOST_SPECS + 1).collect()
+    if len(rows) > MOST_SPECS:
+        raise ValueError(f"more than {MOST_SPECS} sizes of containers")
+    return sorted((r[0], r[1]) for r in rows)
 
 
 def containers(spark: SparkSession, sf_dir: str, folder: str = FOLDER) -> DataFrame:
     """Every document in containers, for each row of container_sizes."""
     specs = specs_of(table(spark, sf_dir, "container_sizes"))
+    if not specs:
+        return pack(spark.createDataFrame([], "tokenizer string, doc_id bigint, n_tokens int"), specs)
     counts = token_counts(spark, table(spark, sf_dir, "documents"), sorted({s[0] for s in specs}), folder)
     return pack(counts, specs)
 

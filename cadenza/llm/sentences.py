@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm import sentence_seed as seed
+from cadenza.llm.encode import bound_batches
 
 LINE_END = r"(?:\r\n|[\n\r\x0b\x0c\x85\u2028\u2029])"
 BLANK = re.compile(rf"{LINE_END}[^\S\n\r\x0b\x0c\x85\u2028\u2029]*{LINE_END}\s*")
@@ -479,9 +480,7 @@ def found(documents: DataFrame, part: int = 65_536) -> DataFrame:
     parts, several tasks to one text. Repeated rows come out as often as they
     are there. Columns other than doc_id and text are not looked at.
     """
-    spark = documents.sparkSession
-    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, "", "-1", str(2**31 - 1), str(2**63 - 1)):
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    bound_batches(documents.sparkSession)
     learned = weights()
 
     @F.pandas_udf("array<struct<at:int,text:string>>")

@@ -68,3 +68,37 @@ def test_only_empty_documents_and_nothing(spark):
 def test_specs(spark):
     df = spark.createDataFrame([("a", 5), ("a", 5), (None, 3), ("b", 0), ("b", None)], "tokenizer string, capacity int")
     assert P.specs_of(df) == [("a", 5)]
+    many = spark.sql("SELECT 'a' AS tokenizer, cast(id + 1 as int) AS capacity FROM range(10005)")
+    with pytest.raises(ValueError):
+        P.specs_of(many)
+    assert len(P.specs_of(many.where("capacity <= 10000"))) == 10_000
+
+
+def test_configurations_hold_every_large_item():
+    """Per capacity: no large item by best-fit, and about as few containers as best-fit of descending sizes takes."""
+    r = random.Random(11)
+    for capacity in (256, 1024, 5000):
+        h = Counter(max(1, min(capacity, round(r.lognormvariate(0, 1.1) * capacity / 5))) for _ in range(6000))
+        p = P.plan(dict(h), capacity)
+        inside = Counter()
+        for size, lo, hi, first, _ in p.rows:
+            if first < p.configured:
+                inside[size] += hi - lo
+        assert all(inside[s] == n for s, n in h.items() if s > max(P.LARGE) * capacity)
+        plain = P.Plan(capacity)
+        for size in sorted(h, reverse=True):
+            plain.best_fit(size, h[size])
+        assert p.n <= plain.n * 1.002, capacity
+
+
+def test_counts_of_all_vocabularies_at_once(spark):
+    from cadenza.llm import encode as E
+
+    texts = [None, "", "a b", "the frogs jump. " * 600, "the frogs jump. " * 600, "ก" * 5000, "short"]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, n0 string")
+    names = ["byte_bpe_50k", "byte_bpe_multi_50k", "piece_bpe_32k", "word_bpe_49k"]
+    got = {(x.tokenizer, x.doc_id): x.n_tokens for x in E.count_tokens(df, "doc_id", "text", names).collect()}
+    assert got == {(n, i): len(ids) for n in names for i, ids in enumerate(E.encoder(n, E.FOLDER)([t or "" for t in texts]))}
+    few = E.count_tokens(df, "doc_id", "text", ["piece_bpe_32k"]).collect()
+    assert {(x.tokenizer, x.doc_id): x.n_tokens for x in few} == {k: v for k, v in got.items() if k[0] == "piece_bpe_32k"}
+    assert E.count_tokens(df.limit(0), "doc_id", "text", names).count() == 0
