@@ -15,6 +15,7 @@ def queries() -> dict:
         "p1_found": nearest.found,
         "p5_percentiles": percentiles.all_percentiles,
         "p5_combined_days": percentiles.combined_days,
+        "p5_combined_parts": percentiles.combined_parts,
         "p6_ids": _ids("byte_bpe_50k"),
         "p6_ids_multi": _ids("byte_bpe_multi_50k"),
         "p6_ids_words": _ids("word_bpe_49k"),
@@ -31,5 +32,6 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": nearest.FOUND_SQL,
         "p5_percentiles": percentiles.ALL_SQL,
         "p5_combined_days": percentiles.COMBINED_SQL,
+        "p5_combined_parts": percentiles.PARTS_SQL,
         "p6_decoded": encode.DECODED_SQL,
     }
