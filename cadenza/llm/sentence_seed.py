@@ -12,14 +12,16 @@ import re
 # Abbreviations, by what their dot can mean.
 #: Never the last word of a sentence.
 NEVER_LAST = frozenset(
-    """mr mrs ms dr prof rev hon gen col sgt capt lt gov pres messrs mx st mt
+    """mr mrs ms dr prof rev hon gen col sgt capt lt gov pres messrs mx st mt adm cmdr maj cpl pvt supt insp
     vs cf e.g i.e eg ie approx viz ca bzw z.b d.h u.a o.ä resp incl ggf evtl vgl inkl sog bspw
     sr sra srta dra dres dña uds ud vd vds p.ej ej p.ex ex
     mme mlle mmes mm fr hr hrn env éd
+    avv dott dottssa ing arch geom rag sig sigg sigra sigg egr spett exmo exma dhr mevr bijv tzn inż mgr
+    им ул стр рис напр κ κα δρ
     डॉ श्री पृ क्र सं प्रो पं कु श्रीमती""".split()
 )
 #: An abbreviation before a number or a small word, else a word at a sentence's end.
-BEFORE_NUMBER = frozenset("no nos nr nrn núm num pág págs pag p pp s fig figs abb tab vol ch chap sec art n ed max kap bd lín cap al".split())
+BEFORE_NUMBER = frozenset("no nos nr nrn blz núm num pág págs pag p pp s fig figs abb tab vol ch chap sec art n ed max kap bd lín cap al jan feb febr apr jul aug sept oct nov dec ene abr dic janv févr avr juil déc okt dez genn giu lug ott".split())
 #: May end a sentence: the next word decides.
 MAYBE_LAST = frozenset("etc usw p.m a.m m h min sec hr hrs inc ltd co corp u.k u.s e.u u.n jr bros ff ph.d b.c a.d c.d etcétera".split())
 # Forms of verbs that report speech.
@@ -51,6 +53,7 @@ At 6 p.m. the bell rang.|It rang again at 7 p.m.|Then all slept.
 Bring pens, ink, etc.|Then sit down.
 The U.K. list is long.|q is the letter after p.|iPods came later.
 The game Hey! is loud.|The score is .5 below it.
+Gen. Smith met Adm. Jones on Jan. 5.|They left by ship.
 Open notes_1.txt and run.py first.|Use v2.0.1-rc.3 now.
 It ended.^Then we left.|All was well!^Nobody cried.
 He waited... and then ran.|She sang on...|Then she slept.
@@ -83,6 +86,15 @@ Heute z. B. die Laute, d. h. alle.|Es sind 4.500 im 3. Heft.|Wir üben usw.|Dann
 قرأت د. منى ص. 7 من الكتاب.|أين هو؟|«هيا. تأخرنا!» قال علي.|ذهب علي.
 قال علي: «أين هي؟»|انتظر علي... ثم ذهب.
 "هذا كتاب. خذه." همس علي.|نام الجميع.
+L'avv. Rossi parla.|Il dott. Verdi ride e la sig. Neri dorme.|Chi è?
+O sr. Lima saiu.|A dra. Reis ficou!|Onde está?
+Dhr. Bos leest blz. 4.|Wie is daar?|Niemand!
+Πού πας;|Πάω σπίτι.|Έλα εδώ!
+Кот спит.|Кто там?|Никого!
+고양이가 잔다.|개가 뛴다!|누가 왔니?
+ድመቷ ተኛች።|ውሻው ሮጠ።|ማን መጣ?
+ឆ្មាដេក។|ឆ្កែរត់។|អ្នកណាមក?
+ကြောင်အိပ်သည်။|ခွေးပြေးသည်။
 The bell rang. —!|Nobody came.
 Ana rió. ¡!|Luego salió.|Llovió. ¿?|Nevó.
 """
@@ -91,6 +103,13 @@ UNPUNCTUATED = """
 นกบินไป.|แมวนอน!|ครูอ่านหน้า 7 ถึงหน้า 9 แล้ว.|เด็กๆเล่น
 ครูเปิด page_1.txt ก่อน?|ทุกคนฟัง.|ฝนตก
 ครูบอกว่า “ฝนตก”.|นกบิน
+ນົກບິນໄປ.|ແມວນອນ.|ຄູອ່ານໜ້າ 7 ແລ້ວ.|ໝາແລ່ນ
+ឆ្មាដេក.|ឆ្កែរត់.|កូនអាន
+ကြောင်အိပ်သည်.|ခွေးပြေးသည်.|ကလေးဖတ်သည်
+the fox ran home and the owl slept by the pond
+der Fuchs lief heim und die Eule schlief
+小明走了鸟飞了天黑了
+鳥がいますケンは走りました
 """
 
 

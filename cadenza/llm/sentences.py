@@ -1,12 +1,18 @@
 """Sentence boundaries across languages and scripts.
 
-Every character of a block (text between blank lines) is tagged boundary or
-inside by a linear-chain model with Viterbi decoding. Only characters after a
-closing mark, and in Thai spaces, can carry the boundary tag; all others have
-one possible tag, so the chain is decoded over those alone. The weights, of the
-places and of the transitions between them, are trained here, by an averaged
-structured perceptron on the labelled lines of sentence_seed, those of the
-unpunctuated script with all punctuation stripped.
+The characters of a block (text between blank lines) are tagged by a linear-chain
+model with Viterbi decoding. A character is inside a sentence, at its boundary,
+or quoted: within a quotation or bracket, where a mark may end a sentence of the
+quotation but none of the text. Only closing marks, the spaces of scripts that
+write none, the starts of list items and the edges of quotations can change the
+tag; all other characters carry on the one before, so the chain is decoded over
+those places. What a mark says for itself and what its neighbours say are weighed
+against each other: a mark after which each sentence could end does not end one
+while the chain is quoted, or where only marks stand between two boundaries.
+
+All weights, of the features of places and of the steps between tags, are trained
+here, by an averaged structured perceptron on the labelled lines of
+sentence_seed, those of the unpunctuated scripts with all punctuation stripped.
 """
 
 from __future__ import annotations
@@ -19,6 +25,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,9 +34,11 @@ from cadenza.llm.encode import bound_batches
 
 LINE_END = r"(?:\r\n|[\n\r\x0b\x0c\x85\u2028\u2029])"
 BLANK = re.compile(rf"{LINE_END}[^\S\n\r\x0b\x0c\x85\u2028\u2029]*{LINE_END}\s*")
-STRONG = "!?。！？｡‼⁇⁈⁉।॥؟۔"
 DOTS = ".…‥．"
-ENDS = re.compile(rf"[{re.escape(STRONG + DOTS)}](?:[{re.escape(STRONG + DOTS)}]|[ \u00a0\u202f](?=[!?]))*")
+#: Marks that end a sentence in any script, by their Unicode property; the little section of Burmese is its comma.
+STRONG = "".join(c for c in regex.findall(r"\p{Sentence_Terminal}", "".join(map(chr, [*range(0xD800), *range(0xF900, 0x10000)]))) if c not in DOTS + "၊")
+GREEK_ASKS = r"(?<=[\u0370-\u03ff\u1f00-\u1fff])[;\u037e]"
+ENDS = re.compile(rf"(?:[{re.escape(STRONG + DOTS)}]|{GREEK_ASKS})(?:[{re.escape(STRONG + DOTS)}]|[ \u00a0\u202f](?=[!?]))*")
 QUOTES = {"“": "”", "„": "“”", "«": "»", "»": "«", "「": "」", "『": "』", "‘": "’", '"': '"', "'": "'", "‚": "‘’"}
 BRACKETS = {"(": ")", "[": "]", "{": "}", "（": "）", "【": "】", "《": "》", "〈": "〉", "［": "］"}
 MORE = re.compile(rf"\s*[{re.escape(STRONG)}]")
@@ -37,9 +46,9 @@ NEXT_WORD = re.compile(r"[\w\-'’]+")
 LINE = re.compile(LINE_END)
 MARKS = re.compile("[" + re.escape("".join(QUOTES) + "”’」』" + "".join(BRACKETS) + "".join(BRACKETS.values())) + "]")
 OPENING = set(QUOTES) | set(BRACKETS) | set("¿¡—–")
-#: Code points in which the dash before the reporting words is looked for.
-REACH = 2_000
-THAI = re.compile(r"[฀-๿]")
+#: Scripts whose sentences end at spaces, and those where they do in a block without their own marks.
+SPACED = re.compile(r"[฀-๿຀-໿]")
+SPACED_BARE = re.compile(r"[က-႟ក-៿]")
 THAI_SPACE = re.compile(r"[^\S\n\r\x0b\x0c\x85\u2028\u2029]+")
 NOISE = re.compile(r"[\s\u200b-\u200f\u2060\ufeff️\U0001F1E6-\U0001F1FF\U0001F300-\U0001FAFF☀-➿]*")
 SPACES = re.compile(r"[\s\u200b\u2060\ufeff]*")
@@ -47,6 +56,7 @@ WORD = re.compile(r"[^\W_]+(?:[-'’·][^\W_]+)*")
 BEFORE = re.compile(r"[\w.\-/’'̀-ͯऀ-ॿ]*$")
 LIST = re.compile(r"[^\S\n\r]*(?:(\d{1,3})[.)]|([^\W\d_])[.)])(?=\s)")
 INNER_END = re.compile(r"[\s”’\"'」』»)）]+$")
+ELIDED = re.compile(r"(?:l|d|un|dell|all|nell|sull|dall|qu|quell)['’](\w{2,})$")
 SHORT = re.compile(r"(?<!\S)(\S{1,6})\.(?=\s)")
 DASH = re.compile(r"[—–]")
 
@@ -110,9 +120,25 @@ def _pairs(s: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
 
 def _dialogue(s: str, starts: set[int], quotes: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """(from, to) of quotations opened by a dialogue dash: up to the dash before the reporting words, else to the line's end."""
+    dashes = [m.start() for m in DASH.finditer(s)]
+    if not dashes:
+        return []
+    # from the last dash back: where a line that is open before this one ends, None if nowhere before the line itself does
+    goes_on: list[int | None] = [None]
+    for i in reversed(dashes):
+        said = s[(k := SPACES.match(s, i + 1).end()) : k + 1]
+        left = i
+        while left and s[left - 1] in " \t":
+            left -= 1
+        if said.islower() or (said and said in ".,;:") or (said.isalpha() and not _cased(said)):
+            goes_on.append(i)
+        elif not left or s[left - 1] in "\n\r" or s[left - 1] in STRONG + DOTS:
+            goes_on.append(None)
+        else:
+            goes_on.append(goes_on[-1])
+    goes_on.reverse()
     out, at = [], 0
-    for m in DASH.finditer(s):
-        i = m.start()
+    for n, i in enumerate(dashes):
         if i < at or _inside(quotes, i):
             continue
         left = _trimmed(s, i)
@@ -121,18 +147,7 @@ def _dialogue(s: str, starts: set[int], quotes: list[tuple[int, int]]) -> list[t
         after = s[k : k + 1]
         if not opened or not after or not (after.isalpha() or after in "¿¡"):
             continue
-        end = None
-        for n in DASH.finditer(s, i + 1, i + REACH):
-            k = SPACES.match(s, n.end()).end()
-            said = s[k : k + 1]
-            if said.islower() or (said and said in ".,;:") or (said.isalpha() and not _cased(said)):
-                end = n.start()
-                break
-            left = n.start()
-            while left and s[left - 1] in " \t":
-                left -= 1
-            if not left or s[left - 1] in "\n\r" or s[left - 1] in STRONG + DOTS:
-                break
+        end = goes_on[n + 1]
         if end is None:
             stop = LINE.search(s, i)
             end = stop.start() if stop else len(s)
@@ -177,8 +192,13 @@ def _says(s: str, a: int) -> bool:
     return any(w in seed.SPEECH or w in seed.SPEECH_BARE for w in words)
 
 
-def candidates(s: str) -> list[tuple[int, int, tuple[str, ...]]]:
-    """(end of the left sentence, start of the right one, features) of each place in block s that may carry the boundary tag."""
+#: Kinds of places: one that may be a boundary, the start of a quotation or bracket, its end.
+MAY, OPENS, SHUTS = 0, 1, 2
+Place = tuple[int, int, tuple[str, ...], int]  # end of the left sentence, start of the right one, features, kind
+
+
+def places(s: str) -> list[Place]:
+    """The places of block s where the tag can change, in the order of the characters that make them."""
     quotes, brackets = _pairs(s)
     lists = _lists(s)
     spoken = _dialogue(s, set(lists.values()) | {SPACES.match(s, e).end() for e in lists.values()}, quotes)
@@ -186,52 +206,61 @@ def candidates(s: str) -> list[tuple[int, int, tuple[str, ...]]]:
     for a, b in sorted(quotes + brackets + spoken):  # the outermost
         if not shut or a > shut[-1][1]:
             shut.append((a, b))
+    outer = dict(shut)
     heads = {i for i in lists}
     list_dots = {e - 1 for e in lists.values()}
-    out = []
+    out: list[tuple[int, int, Place]] = []  # character, rank among those of one character, place
     for m in ENDS.finditer(s):
         i, e = m.start(), m.end()
-        if i in list_dots:
+        if i in list_dots or (not s[e : e + 2].strip().isalnum() and MORE.match(s, e, e + 3)):
             continue
-        if _inside(shut, i):
-            continue  # inside a quotation or bracket: only the inside tag
-        if MORE.match(s, e, e + 3):
-            continue
-        out.append(_mark(s, i, e, heads))
+        out.append((i, 1, (*_mark(s, i, e, heads), MAY)))
+    closed = set()
     for a, b in quotes:
         e = b + 1
         inner = INNER_END.sub("", s[a + 1 : b])
         nxt = SPACES.match(s, e).end()
-        if not inner or inner[-1] not in STRONG + DOTS or _inside(shut, a):
+        if not inner or inner[-1] not in STRONG + DOTS:
             continue
         if s[nxt : nxt + 1] in tuple(",，、;；:：،") or ENDS.match(s, e):
             continue
-        out.append(_quote(s, a, e, nxt, heads))
+        end, start, feats = _quote(s, a, e, nxt, heads)
+        if outer.get(a) == b and feats:
+            closed.add(a)
+            feats += ("shut",)
+        out.append((b, 0, (end, start, feats, MAY)))
     for a, b in spoken:  # a spoken line without reporting words ends with its line
         if b < len(s) and not DASH.match(s, b):
-            out.append((b, SPACES.match(s, b).end(), ("quote", "q_alone")))
-    if THAI.search(s):
+            last = outer.get(a) == b
+            if last:
+                closed.add(a)
+            out.append((b, 0, (b, SPACES.match(s, b).end(), ("quote", "q_alone") + ("shut",) * last, MAY)))
+    for a, b in shut:
+        out.append((a, 0, (a, a, ("open",), OPENS)))
+        if a not in closed:
+            e = b if (a, b) in spoken else b + 1
+            out.append((b, 0, (e, e, ("shut",), SHUTS)))
+    spaced = SPACED if SPACED.search(s) else None
+    if SPACED_BARE.search(s) and not re.search("[។៕၊။]", s):
+        spaced = re.compile(SPACED.pattern[:-1] + SPACED_BARE.pattern[1:])
+    if spaced:
         for m in THAI_SPACE.finditer(s):
             i, e = m.span()
             a, b = s[i - 1 : i], s[e : e + 1]
-            if not a or not b or not (THAI.match(a) or THAI.match(b)) or a.isspace() or b.isspace():
-                continue
-            if _inside(shut, i):
+            if not a or not b or not (spaced.match(a) or spaced.match(b)) or a.isspace() or b.isspace() or a in STRONG + DOTS:
                 continue
             feats = ["space"]
             if any(c.isdigit() or (c.isalpha() and c.isascii()) or "LATIN" in _name(c) for c in (a, b)):
                 feats.append("th_beside")
             if b in QUOTES and s[max(0, i - 3) : i] == "ว่า":
                 feats.append("th_told")
-            if a in STRONG + DOTS:
-                continue
-            out.append((i, e, tuple(feats)))
-    ends = {x[0] for x in out}
+            out.append((i, 1, (i, e, tuple(feats), MAY)))
+    ends = {x[0] for _, _, x in out if x[3] == MAY and x[2]}
     for h in heads:  # a list item ends before the next one
         left = _trimmed(s, h)
         if left and not (s[left - 1] in STRONG + DOTS) and left not in ends:
-            out.append((left, h, ("item",)))
-    return sorted({x for x in out if x[2]})
+            out.append((left - 1, 2, (left, h, ("item",), MAY)))
+    return [x for _, _, x in sorted(x for x in set(out) if x[2][2])]
 
 
 @functools.lru_cache(maxsize=4096)
@@ -239,13 +268,13 @@ def _name(c: str) -> str:
     return unicodedata.name(c, "")
 
 
-def _next(s: str, e: int, heads: set[int]) -> tuple[str, int, str]:
-    """Kind of what follows place e, past white space and emoji, its place and its first word."""
-    j = NOISE.match(s, e).end()
+def _next(s: str, e: int, start: int, heads: set[int]) -> tuple[str, int, str]:
+    """Kind of what follows place e, past white space (which ends at start) and emoji, its place and its first word."""
+    j = start if s[start : start + 1].isalnum() else NOISE.match(s, e).end()
     if j >= len(s):
         return "end", j, ""
     c = s[j]
-    if SPACES.match(s, e).end() in heads or j in heads:
+    if heads and (start in heads or j in heads):
         return "list", j, c
     if c in OPENING:
         return "open", j, c
@@ -269,15 +298,15 @@ def _next(s: str, e: int, heads: set[int]) -> tuple[str, int, str]:
 
 def _mark(s: str, i: int, e: int, heads: set[int]) -> tuple[int, int, tuple[str, ...]]:
     """Features of the place after the closing marks s[i:e]."""
-    run = re.sub(r"\s", "", s[i:e])
-    kind, j, word = _next(s, e, heads)
-    start = SPACES.match(s, e).end()
+    run = s[i] if e == i + 1 else "".join(s[i:e].split())
+    start = e + 1 if s[e : e + 1] == " " and s[e + 1 : e + 2].isalnum() else SPACES.match(s, e).end()
+    kind, j, word = _next(s, e, start, heads)
     glued = start == e and start < len(s)
     if kind == "end":
         return e, start, ()
     feats: list[str] = []
     prev = s[i - 1 : i]
-    if any(c in STRONG for c in run):
+    if run in STRONG or any(c in STRONG or c in ";\u037e" for c in run):
         feats.append("strong")
         if (kind in ("low", "other") or (glued and kind == "small")) and run[-1] in "!?.":
             feats.append("lower")
@@ -289,7 +318,11 @@ def _mark(s: str, i: int, e: int, heads: set[int]) -> tuple[int, int, tuple[str,
         feats += ["ellipsis", "e_open" if opened and _cased(bare) or kind == "list" else "e_on"]
         return e, start, tuple(feats)
     feats.append("dot")
-    token = BEFORE.search(s[max(0, i - 40) : i]).group()
+    token = s[max(0, i - 40) : i]
+    if token and not token[-1].isspace():
+        token = token.split()[-1]
+    if not (token.isalnum() and token.isascii()):
+        token = BEFORE.search(token).group()
     if not token.isascii():
         token = unicodedata.normalize("NFC", token)
     if glued:
@@ -318,6 +351,8 @@ def _abbreviation(token: str, kind: str, word: str, after: str = "") -> str:
     t = token.lower().strip("’'-(")
     if not t:
         return ""
+    if (elided := ELIDED.match(t)) and elided[1] in seed.NEVER_LAST:
+        t = elided[1]
     head, _, tail = t.rpartition(".")
     if len(head.rsplit(".")[-1]) > 2 and head[-1:].isalpha():
         t = tail  # a sentence begins without a space before the abbreviation
@@ -345,7 +380,7 @@ def _abbreviation(token: str, kind: str, word: str, after: str = "") -> str:
 
 def _quote(s: str, a: int, e: int, start: int, heads: set[int]) -> tuple[int, int, tuple[str, ...]]:
     """Features of the place after a quotation from a to e that ends with a closing mark."""
-    kind, j, word = _next(s, e, heads)
+    kind, j, word = _next(s, e, start, heads)
     if kind == "end":
         return e, start, ()
     feats = ["quote"]
@@ -366,45 +401,89 @@ def _quote(s: str, a: int, e: int, start: int, heads: set[int]) -> tuple[int, in
     return e, start, tuple(feats)
 
 
-#: Names of the transition weights, by (boundary at the place before, boundary here).
-STEPS = {(False, False): "in_in", (False, True): "in_cut", (True, False): "cut_in", (True, True): "cut_cut"}
+#: Tags: inside a sentence, its boundary, quoted.
+INSIDE, CUT, QUOTED = 0, 1, 2
+#: Names of the weights of steps between tags. Among quoted places no step is weighed, so a quotation may be of any length.
+STEPS = {(INSIDE, INSIDE): "in_in", (INSIDE, CUT): "in_cut", (CUT, INSIDE): "cut_in", (CUT, CUT): "cut_cut", (INSIDE, QUOTED): "to_quoted", (CUT, QUOTED): "to_quoted", (QUOTED, INSIDE): "from_quoted", (QUOTED, CUT): "from_quoted", (QUOTED, QUOTED): None}
+NEVER = -1e9
+#: Training: rounds over the seed lines (the weights of the second half are averaged), margin of the right tag, rate of steps.
+ROUNDS, MARGIN, STEP = 120, 2.0, 0.1
 
 
-def steps(tags: list[bool], gaps: list[bool]) -> Iterator[str]:
-    """Names of the transition weights along a block's tags; "empty" is a stretch of marks alone between two boundaries."""
-    for a, b, g in zip(tags, tags[1:], gaps[1:]):
-        yield STEPS[a, b]
-        if a and b and not g:
+def steps(tags: list[int], gaps: list[bool]) -> Iterator[str]:
+    """Names of the weights of a block's steps, the first from inside; "empty" is a stretch of marks alone between two boundaries."""
+    for a, b, g in zip([INSIDE, *tags], tags, gaps):
+        if name := STEPS[a, b]:
+            yield name
+        if a == b == CUT and not g:
             yield "empty"
 
 
-def viterbi(feats: list[tuple[str, ...]], gaps: list[bool], w: dict[str, float]) -> list[bool]:
-    """The best tags (True: boundary) of a block's places. gaps: has the stretch before each place a letter or digit, or is it a quotation?"""
-    if not feats:
+def score(feats: tuple[str, ...], kind: int, w: dict[str, float]) -> tuple[float, float, float]:
+    """What a place says for each tag. In a quotation a mark may end a sentence of it or not, whichever it says; its end is quoted no more."""
+    x = sum([w.get(f, 0.0) for f in feats])
+    if kind == OPENS:
+        return (-x, NEVER, x)
+    return (-x, x if kind == MAY else NEVER, NEVER if "shut" in feats else abs(x))
+
+
+def viterbi(scores: list[tuple[float, float, float]], gaps: list[bool], w: dict[str, float]) -> list[int]:
+    """The best tags of a block's places. gaps: has the stretch before each place a letter or digit, or is it a quotation?
+
+    The quoted tag begins only where a quotation can, at places that can be no boundary.
+    """
+    if not scores:
         return []
-    in_in, in_cut, cut_in, cut_cut = (w.get(x, 0.0) for x in STEPS.values())
-    empty = cut_cut + w.get("empty", 0.0)
-    score = sum(w.get(x, 0.0) for x in feats[0])
-    back, inside, cut = [], -score, score
-    for f, g in zip(feats[1:], gaps[1:]):
-        score = sum(w.get(x, 0.0) for x in f)
-        stay, leave = inside + in_in, cut + cut_in
-        enter, again = inside + in_cut, cut + (cut_cut if g else empty)
-        back.append((leave > stay, again > enter))
-        inside, cut = max(stay, leave) - score, max(enter, again) + score
-    tags, last = [], cut > inside
-    for b in reversed(back):
+    step = {k: w.get(name, 0.0) if name else 0.0 for k, name in STEPS.items()}
+    ii, ic, iq = step[0, 0], step[0, 1], step[0, 2]
+    ci, cc, cq = step[1, 0], step[1, 1], step[1, 2]
+    qi, qc = step[2, 0], step[2, 1]
+    empty = cc + w.get("empty", 0.0)
+    back = []
+    inside, cut, quoted = 0.0, NEVER, NEVER
+    for (a, b, c), g in zip(scores, gaps):
+        from_in, from_cut = (inside + ii, 0), (cut + ci, 1)
+        i = from_in if from_in[0] >= from_cut[0] else from_cut
+        x, y = inside + ic, cut + (cc if g else empty)
+        k = (x, 0) if x >= y else (y, 1)
+        q = (NEVER, 0)
+        if b < NEVER / 2:
+            x, y = inside + iq, cut + cq
+            q = (x, 0) if x >= y else (y, 1)
+        if quoted > NEVER / 2:
+            if quoted + qi > i[0]:
+                i = (quoted + qi, 2)
+            if quoted + qc > k[0]:
+                k = (quoted + qc, 2)
+            if quoted > q[0]:
+                q = (quoted, 2)
+        back.append((i[1], k[1], q[1]))
+        inside, cut, quoted = i[0] + a, k[0] + b, q[0] + c
+    last = max((inside, 0), (cut, -1), (quoted, -2))[1] * -1
+    tags = [last]
+    for b in reversed(back[1:]):
+        last = b[last]
         tags.append(last)
-        last = b[1] if last else b[0]
-    tags.append(last)
     return tags[::-1]
 
 
-def _chain(s: str) -> tuple[list[tuple[int, int, tuple[str, ...]]], list[bool]]:
-    found = candidates(s)
-    ends = [0, *[x[1] for x in found]]
-    # a quotation is a sentence even without a word
-    return found, ["quote" in x[2] or any(c.isalnum() for c in s[a : x[0]]) for a, x in zip(ends, found)]
+def _chain(s: str) -> tuple[list[Place], list[bool]]:
+    found = places(s)
+    out, at = [], 0
+    for e, start, feats, _ in found:
+        # a quotation is a sentence even without a word
+        out.append("quote" in feats or any(map(str.isalnum, s[at:e])))
+        at = start
+    return found, out
+
+
+def _gold(found: list[Place], cuts: set[int]) -> list[int]:
+    """The tags of labelled places: quoted from each start of a quotation to its end, else a boundary where a sentence ends."""
+    out, quoted = [], False
+    for e, _, feats, kind in found:
+        quoted = (quoted or kind == OPENS) and "shut" not in feats
+        out.append(QUOTED if quoted else CUT if kind == MAY and e in cuts else INSIDE)
+    return out
 
 
 @functools.lru_cache(maxsize=1)
@@ -413,30 +492,31 @@ def weights() -> tuple[tuple[str, float], ...]:
     blocks = []
     for text, cuts in seed.labelled():
         found, gaps = _chain(text)
-        gold = [x[0] in cuts for x in found]
-        # each right decision must win by a margin: in training a fixed weight speaks against it
-        blocks.append(([(*x[2], "against" if right else "for") for x, right in zip(found, gold)], gaps, gold))
-    w: dict[str, float] = defaultdict(float, {"for": 1.0, "against": -1.0})
+        blocks.append((found, gaps, _gold(found, cuts)))
+    w: dict[str, float] = defaultdict(float)
     total: dict[str, float] = defaultdict(float)
-    rounds = 100
-    for n in range(rounds):
-        for feats, gaps, gold in blocks:
-            tags = viterbi(feats, gaps, w)
-            for f, tag, right in zip(feats, tags, gold):
+    for n in range(ROUNDS):
+        for found, gaps, gold in blocks:
+            # each right tag must win by a margin, which the wrong ones are given in training
+            said = [score(x[2], x[3], w) for x in found]
+            tags = viterbi([tuple(v + MARGIN * (k != right) for k, v in enumerate(x)) for x, right in zip(said, gold)], gaps, w)
+            for x, tag, right in zip(found, tags, gold):
                 if tag != right:
-                    for x in f[:-1]:
-                        w[x] += 1.0 if right else -1.0
-            # a place's score changes sign with its tag, a transition's does not: half a step
-            for path, step in ((gold, 0.5), (tags, -0.5)):
-                for x in steps(path, gaps):
-                    w[x] += step
-        for x, v in w.items():
-            total[x] += v
-    return tuple(sorted((x, v / rounds) for x, v in total.items()))
-
-
-def sentences(text: str, w: dict[str, float]) -> list[tuple[int, int]]:
-    """(start, end) of the sentences of a text, in code points."""
+                    for f in x[2] if x[3] == OPENS or QUOTED not in (tag, right) else ():
+                        w[f] += 1.0 if right > tag else -1.0
+            # steps learn in small steps: what a place says comes first
+            for path, part in ((gold, STEP), (tags, -STEP)):
+                for name in steps(path, gaps):
+                    w[name] += part
+        if n >= ROUNDS // 2:
+            for x, v in w.items():
+                total[x] += v
+    return tuple(sorted((x, v / (ROUNDS - ROUNDS // 2)) for x, v in total.items()))
+
+
+def sentences(text: str, w: dict[str, float], known: dict | None = None) -> list[tuple[int, int]]:
+    """(start, end) of the sentences of a text, in code points. known: scores by features, kept from text to text."""
+    known = {} if known is None else known
     out = []
     at = 0
     blocks = []
@@ -450,8 +530,13 @@ def sentences(text: str, w: dict[str, float]) -> list[tuple[int, int]]:
             continue
         found, gaps = _chain(s)
         start = len(s) - len(s.lstrip())
-        for (e, nxt, _), tag in zip(found, viterbi([x[2] for x in found], gaps, w)):
-            if tag and e > start:
+        said = []
+        for x in found:
+            if (v := known.get(x[2:])) is None:
+                v = known[x[2:]] = score(x[2], x[3], w)
+            said.append(v)
+        for (e, nxt, _, _), tag in zip(found, viterbi(said, gaps, w)):
+            if tag == CUT and e > start:
                 end = _trimmed(s, e)
                 if end > start:
                     out.append((a + start, a + end))
@@ -476,6 +561,10 @@ def cut_blocks(text: str, size: int) -> list[int]:
 def found(documents: DataFrame, part: int = 65_536) -> DataFrame:
     """(doc_id, sent_start, sent_end), one row per sentence; null and blank texts have none.
 
+    Scripts without marks: in Thai and Lao a space ends a sentence, in Khmer and
+    Burmese where a block has none of their marks. A paragraph of any other script
+    without marks is one sentence.
+
     Texts of more than part code points are cut before blocks and tagged in
     parts, several tasks to one text. Repeated rows come out as often as they
     are there. Columns other than doc_id and text are not looked at.
@@ -491,9 +580,9 @@ def found(documents: DataFrame, part: int = 65_536) -> DataFrame:
 
     @F.pandas_udf("array<struct<a:int,b:int>>")
     def tag(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        w = dict(learned)
+        w, known = dict(learned), {}
         for s in parts:
-            yield pd.Series([[{"a": a, "b": b} for a, b in sentences(t, w)] for t in s], dtype=object)
+            yield pd.Series([[{"a": a, "b": b} for a, b in sentences(t, w, known)] for t in s], dtype=object)
 
     rows = documents.where(F.col("text").isNotNull()).select("doc_id", "text")
     is_long = F.char_length("text") > 2 * part
