@@ -9,6 +9,12 @@ third of all rows is spread over its buckets. A right row within the tolerance
 of a bucket's edge goes to both buckets. A bucket with too many left rows is
 salted, and one with too many right rows is pre-aggregated to one row a
 millisecond before it is shuffled.
+
+Stored tables are replayed in the order of their event time, a slice of it in
+each micro-batch. The clock of a replay is the start of the slice that arrives:
+when it moves on, the left rows of the slices before leave and their right rows
+are evicted. So what the state holds at once is two to three slices, not the
+tables.
 """
 
 from __future__ import annotations
@@ -22,15 +28,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from cadenza.plans.skew import hot_keys
+from cadenza.plans.skew import HOT_ROWS, hot_keys
 from cadenza.session import discard, shared_dir
 
 #: Added to all times (ms), so that the clock starts far above Spark's initial watermark of 0
 #: and stays within the range of nanosecond timestamps.
-BASE = 4_000_000_000_000
+BASE = 4_100_000_000_000
 #: Times beyond this many ms are held at it on the watermark's clock only; matching uses the true time.
 FAR = 4_000_000_000_000
 OUT = "left_id bigint, right_id bigint"
+#: Rows of a slice of event time, while there are no more than MOST_SLICES; beyond that slices grow, and the state with them.
+SLICE_ROWS = 400_000
+MOST_SLICES = 64
+#: Keeps state outside the executors' heap and on their disks, with what changed in the shared checkpoint folder.
+PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def match_sorted(le: np.ndarray, lt: np.ndarray, re_: np.ndarray, rt: np.ndarray, rid: np.ndarray, tolerance: int) -> np.ndarray:
@@ -106,7 +117,7 @@ def _stepper(tolerance: int):
             partner = pd.array(np.where(hit >= 0, ids[right][hit] if len(right) else 0, 0), "Int64")
             partner[hit < 0] = pd.NA
             yield pd.DataFrame({"left_id": ids[at], "right_id": partner})
-        keep = np.where(side == 0, ~due, clock >= now - 2 * tolerance - 2)
+        keep = np.where(side == 0, ~due, (side == 1) & (clock >= now - 2 * tolerance - 2))
         # of the rights of one entity and time only the smallest id can be a partner
         order = right[np.lexsort((ids[right], t[right], code[right]))]
         again = np.zeros(len(order), bool)
@@ -137,6 +148,22 @@ def _placed(rows: DataFrame, side: int, tolerance: int, bucket_ms: int, salts: D
     return rows.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_salts") - 1))).drop("n_salts")
 
 
+def _clock() -> Column:
+    return F.least(F.greatest(F.col("t"), F.lit(-FAR)), F.lit(FAR))
+
+
+def _sharded(left: DataFrame, right: DataFrame, tolerance_ms: int, shards: int, bucket_ms: int, salts: DataFrame | None) -> DataFrame:
+    """(side, entity, t, id, shard): the rows of both sides where they are buffered."""
+    rows = _placed(left, 0, tolerance_ms, bucket_ms, salts).unionByName(_placed(right, 1, tolerance_ms, bucket_ms, salts))
+    return rows.select("side", "entity", "t", "id", F.pmod(F.xxhash64("entity", "bucket", "salt"), F.lit(shards)).cast("int").alias("shard"))
+
+
+def _joined(rows: DataFrame, at: Column, tolerance_ms: int, delay: str) -> DataFrame:
+    """The pairs of a stream of sharded rows, with the event time at (ms)."""
+    rows = rows.withColumn("horizon", F.timestamp_millis(at + F.lit(BASE))).withWatermark("horizon", delay)
+    return rows.groupBy("shard").applyInPandasWithState(_stepper(tolerance_ms), OUT, "rows binary", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def nearest_stream(left: DataFrame, right: DataFrame, tolerance_ms: int, shards: int, bucket_ms: int = 600_000, delay: str = "0 seconds", salts: DataFrame | None = None) -> DataFrame:
     """(left_id, right_id) of two streams of (entity string, t bigint in ms, id bigint), none of them null.
 
@@ -146,10 +173,15 @@ def nearest_stream(left: DataFrame, right: DataFrame, tolerance_ms: int, shards:
     spread. Each left row comes out once, with a null right_id if it has no
     partner. Needs output mode append.
     """
-    rows = _placed(left, 0, tolerance_ms, bucket_ms, salts).unionByName(_placed(right, 1, tolerance_ms, bucket_ms, salts))
-    clock = F.least(F.greatest(F.col("t"), F.lit(-FAR)), F.lit(FAR))
-    rows = rows.select("side", "entity", "t", "id", F.pmod(F.xxhash64("entity", "bucket", "salt"), F.lit(shards)).cast("int").alias("shard"), F.timestamp_millis(clock + F.lit(BASE + tolerance_ms + 2)).alias("horizon"))
-    return rows.withWatermark("horizon", delay).groupBy("shard").applyInPandasWithState(_stepper(tolerance_ms), OUT, "rows binary", "append", GroupStateTimeout.EventTimeTimeout)
+    return _joined(_sharded(left, right, tolerance_ms, shards, bucket_ms, salts), _clock() + F.lit(tolerance_ms + 2), tolerance_ms, delay)
+
+
+def _slice_bounds(times: DataFrame, slices: int) -> list[int]:
+    """At most slices - 1 times that cut the rows into parts of about equal size."""
+    if slices < 2:
+        return []
+    at = times.agg(F.percentile_approx("t", [k / slices for k in range(1, slices)], 10_000)).first()[0]
+    return sorted(set(at or []))
 
 
 def replay_nearest(
@@ -162,57 +194,90 @@ def replay_nearest(
     right_ok: Column,
     tolerance_ms: int,
     bucket_ms: int = 600_000,
-    hot_rows: int = 1_000_000,
+    hot_rows: int = HOT_ROWS,
     shard_rows: int = 100_000,
-    slice_rows: int = 20_000_000_000,
+    slice_rows: int = SLICE_ROWS,
+    watch=None,
 ) -> DataFrame:
-    """Two stored tables replayed through nearest_stream, whole: one micro-batch takes every row, so none is late.
+    """Two stored tables replayed through the stateful join, whole and in event-time order: none of their rows is late.
 
     left, right: expressions of entity, t and id; the *_ok conditions say which
-    rows take part (nulls must be excluded there). Entities are replayed in
-    slices of about slice_rows rows, so the state held at once is bounded.
-    Writes to the shared folder and returns (left_id, right_id) read from there.
+    rows take part (nulls must be excluded there). The rows are put in place once
+    and written by slices of event time, both sides together; slice after slice
+    is added to the folder of one running stream. All rows of a slice have the
+    slice's start as their event time, so the watermark stays behind it until
+    the next slice comes, whether its files arrive at once or not. watch(progress)
+    is called for each micro-batch, for tests and logs. Writes to the shared
+    folder and returns (left_id, right_id) read from there.
     """
-    sides = []
-    for path, cols, ok in ((left_path, left, left_ok), (right_path, right, right_ok)):
-        stored = spark.read.parquet(path)
-        take = lambda df, cols=cols, ok=ok: df.where(ok).select(*[c.alias(k) for k, c in cols.items()]).where("t IS NOT NULL")
-        sides.append((path, stored, take))
-    (_, l_stored, l_take), (_, r_stored, r_take) = sides
+    l_stored, r_stored = spark.read.parquet(left_path), spark.read.parquet(right_path)
+    take = lambda df, cols, ok: df.where(ok).select(*[c.alias(k) for k, c in cols.items()]).where("t IS NOT NULL")
+    l_rows, r_rows = take(l_stored, left, left_ok), take(r_stored, right, right_ok)
     total = l_stored.count() + r_stored.count()  # from the files' footers
+    slices = min(MOST_SLICES, max(1, -(-total // slice_rows)))
+    bounds = _slice_bounds(l_rows.select(_clock().alias("t")).unionByName(r_rows.select(_clock().alias("t"))), slices)
     bucket = F.floor(F.col("t") / F.lit(bucket_ms)).cast("bigint").alias("bucket")
-    keys = ["entity", "bucket"]
-    hot_l = hot_keys(l_take(l_stored).select("entity", bucket), keys, hot_rows)
-    hot_r = hot_keys(r_take(r_stored).select("entity", bucket), keys, hot_rows)
-    # at most total / hot_rows buckets each: small whatever the data
-    salts = None if hot_l is None else hot_l.select(*keys, F.ceil(F.col("n_hot") / hot_rows).cast("bigint").alias("n_salts"))
-
-    def stream(path: str, stored: DataFrame, take) -> DataFrame:
-        # the file source wants folders; a pattern also takes a single file
-        return take(spark.readStream.schema(stored.schema).parquet(path[:-1] + f"[{path[-1]}]"))
-
-    left_rows, right_rows = (stream(*s) for s in sides)
-    if hot_r is not None:
-        dense = r_take(r_stored).withColumn("bucket", bucket)
-        dense = dense.join(F.broadcast(hot_r), keys, "left_semi").groupBy("entity", "t").agg(F.min("id").alias("id"))
-        dense.write.parquet(path := shared_dir(spark, "dense"))
-        right_rows = right_rows.withColumn("bucket", bucket).join(F.broadcast(hot_r.drop("n_hot")), keys, "left_anti").drop("bucket")
-        right_rows = right_rows.unionByName(spark.readStream.schema(dense.schema).parquet(path))
+    sided = l_rows.select(F.lit(0).alias("side"), "entity", bucket).unionByName(r_rows.select(F.lit(1).alias("side"), "entity", bucket))
+    # at most spark.sql.shuffle.partitions buckets
+    hot = hot_keys(sided, ["side", "entity", "bucket"], hot_rows)
+    salts = None
+    if hot is not None:
+        salts = hot.where("side = 0").select("entity", "bucket", F.col("n_parts").alias("n_salts"))
+        dense = F.broadcast(hot.where("side = 1").select("entity", "bucket"))
+        r_rows = r_rows.withColumn("bucket", bucket)
+        few = r_rows.join(dense, ["entity", "bucket"], "left_semi").groupBy("entity", "t").agg(F.min("id").alias("id"))
+        r_rows = r_rows.join(dense, ["entity", "bucket"], "left_anti").drop("bucket").unionByName(few)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(1, -(-total // slice_rows))
-    shards = max(4 * partitions, total // slices // shard_rows)
-    out = shared_dir(spark, "nearest")
-    for k in range(slices):
-        part = (lambda df, k=k: df.where(F.pmod(F.hash("entity"), F.lit(slices)) == k)) if slices > 1 else (lambda df: df)
-        pairs = nearest_stream(part(left_rows), part(right_rows), tolerance_ms, shards, bucket_ms, salts=salts)
-        query = pairs.writeStream.format("parquet").option("checkpointLocation", f"{out}/state-{k}").option("path", f"{out}/slice={k}").outputMode("append").trigger(availableNow=True).start()
-        query.awaitTermination()
-        discard(spark, f"{out}/state-{k}")  # the slice is done: its state and log aren't needed again
-    parts = [spark.read.schema(OUT).parquet(f"{out}/slice={k}") for k in range(slices)]
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
-    return whole
+    shards = max(4 * partitions, total // shard_rows)
+    rows = _sharded(l_rows, r_rows, tolerance_ms, shards, bucket_ms, salts)
+    cut = sum(((_clock() >= b).cast("int") for b in bounds), F.lit(0))
+    starts = [-FAR - 1, *bounds]
+    mark = F.element_at(F.array(*[F.lit(x).cast("bigint") for x in starts]), F.col("slice") + 1)
+    base = shared_dir(spark, "nearest")
+    rows = rows.withColumn("slice", cut).withColumn("mark", mark)
+    rows.hint("rebalance", "slice").write.partitionBy("slice").parquet(f"{base}/slices")
+    rows = rows.drop("slice")
+    # two last slices without rows of either side: the first moves the clock past all rows, the second lets them leave
+    for k in (0, 1):
+        end = spark.range(1).select(F.lit(2).cast("byte").alias("side"), F.lit("").alias("entity"), F.lit(FAR).alias("t"), F.lit(0).cast("bigint").alias("id"), F.lit(0).alias("shard"), F.lit(FAR + 4 * tolerance_ms + 10 + k).alias("mark"))
+        end.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema]).write.parquet(f"{base}/slices/slice={len(starts) + k}")
+    return _replay(spark, base, rows, tolerance_ms, range(len(starts) + 2), watch)
+
+
+def _replay(spark: SparkSession, base: str, rows: DataFrame, tolerance_ms: int, slices: range, watch) -> DataFrame:
+    """The pairs of the slices written under base, a micro-batch each."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(f"{base}/in/{slices[-1] + 1:04d}"))  # an empty one, so that there is a folder from the start
+    settings = {"spark.sql.streaming.stateStore.providerClass": PROVIDER, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        arriving = spark.readStream.schema(rows.schema).parquet(f"{base}/in/*")
+        out = _joined(arriving, F.col("mark"), tolerance_ms, "1 millisecond").writeStream.format("parquet").option("checkpointLocation", f"{base}/state").option("path", f"{base}/pairs")
+        query = out.outputMode("append").start()
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    try:
+        seen = -1
+        for k in slices:
+            if not fs.rename(path(f"{base}/slices/slice={k}"), path(f"{base}/in/{k:04d}")):
+                continue  # no row has such a time
+            query.processAllAvailable()
+            for progress in query.recentProgress if watch is not None else ():
+                if progress["batchId"] > seen and progress["numInputRows"]:
+                    seen = progress["batchId"]
+                    watch(progress)
+    finally:
+        query.stop()
+    for done in ("state", "in", "slices"):  # the replay is over: its state, log and input aren't needed again
+        discard(spark, f"{base}/{done}")
+    return spark.read.schema(OUT).parquet(f"{base}/pairs")
 
 
 def _ms(c: str) -> Column:

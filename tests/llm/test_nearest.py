@@ -80,3 +80,48 @@ def test_stream_emits_behind_the_watermark_and_evicts(spark, tmp_path):
     assert {k: v[1] for k, v in ids.items()} == {1: 11, 2: 12, 3: 13}
     assert ids[1][0] < ids[3][0]
     assert F is not None
+
+
+def test_replay_emits_slice_by_slice_and_keeps_little(spark, save):
+    """Pairs come out before the last slice, and the words that wait stay far below the input."""
+    import glob
+
+    r = random.Random(4)
+    words = [(i, f"e{i % 40}", 0, "w", round(i / 50, 2), None, "x", "y") for i in range(5000)]
+    trans = [(10_000 + i, f"e{i % 40}", round(i / 50 + r.uniform(-0.2, 0.2), 3), 200.0, "z") for i in range(5000)]
+    d = save(word_items=(words, W), word_transcriptions=(trans, R))
+    waiting, dropped, arrived = [], 0, 0
+
+    def watch(progress):
+        nonlocal dropped, arrived
+        state = progress["stateOperators"][0]
+        dropped += state["numRowsDroppedByWatermark"]
+        arrived += progress["numInputRows"]
+        folder = max(glob.glob(spark.conf.get("spark.checkpoint.dir").removeprefix("file://") + "/nearest-*/pairs"), key=lambda f: __import__("os").path.getmtime(f))
+        out = spark.read.schema(nearest.OUT).parquet(folder).count() if glob.glob(folder + "/*.parquet") else 0
+        waiting.append(arrived / 2 - out)  # about half of what arrived is words
+
+    out = nearest.words(spark, d, slice_rows=1000, watch=watch)
+    assert {x.word_id: x.trans_id for x in out.where("trans_id IS NOT NULL").collect()} == {k: v for k, v in brute_sorted(words, trans).items() if v is not None}
+    assert len(waiting) == 12 and dropped == 0
+    assert max(waiting) < 1600 and waiting[-1] < 50
+
+
+def brute_sorted(words, trans):
+    """As brute, by entity and with a search in the sorted times."""
+    import bisect
+
+    by = {}
+    for t in trans:
+        if t[3] > t[2]:
+            by.setdefault(t[1], []).append((round(t[2] * 1000), t[0]))
+    out = {}
+    for e in by:
+        by[e].sort()
+    for w in words:
+        mine, at = by.get(w[1], []), round(w[4] * 1000)
+        k = bisect.bisect_left(mine, (at, -1))
+        near = [(abs(x - at), x, i) for x, i in mine[max(0, k - 3) : k + 3]]
+        best = min(near, default=None)
+        out[w[0]] = best[2] if best and best[0] <= 250 else None
+    return out
