@@ -240,12 +240,13 @@ def phrase_timings(pages: DataFrame) -> DataFrame:
     return continuous(df, ["activity_id", "page_index"], ["phrase"], "start_ms", "end_ms", F.coalesce("page_start", F.lit(0))).drop("page_start")
 
 
-def decode_stream(tokens: list[str], probs: list[float]) -> tuple[list[str], list[float]]:
+def decode_stream(tokens: list[str], probs: list[float], strict: bool = False) -> tuple[list[str], list[float]]:
     """Phonetic elements and their confidences of a decoder's token stream.
 
     Pads are dropped, separators cut; equal neighbours are one token with their
     mean confidence; of a segment the longest elements are taken from the left,
-    with the mean confidence of their tokens; what matches none is skipped.
+    with the mean confidence of their tokens; what matches none is skipped, or,
+    if strict, a ValueError.
     """
     elements, sure = [], []
     known = set(ELEMENTS)
@@ -259,6 +260,8 @@ def decode_stream(tokens: list[str], probs: list[float]) -> tuple[list[str], lis
         i = 0
         while i < len(text):
             size = next((k for k in range(min(longest, len(text) - i), 0, -1) if text[i : i + k] in known), 0)
+            if not size and strict:
+                raise ValueError(f"no element at {i} of {''.join(t for t, _, _ in segment)!r}")
             if size:
                 elements.append(text[i : i + size])
                 sure.append(sum(conf[i : i + size]) / size)
@@ -279,13 +282,13 @@ def decode_stream(tokens: list[str], probs: list[float]) -> tuple[list[str], lis
     return elements, sure
 
 
-def decoded_stream(tokens: Column, probs: Column) -> Column:
-    """Struct (elements, confidences) per row; null arrays count as empty."""
+def decoded_stream(tokens: Column, probs: Column, strict: bool = False) -> Column:
+    """Struct (elements, confidences) per row; null arrays count as empty. strict: a token that fits no element fails the query."""
 
     @F.pandas_udf("elements array<string>, confidences array<double>")
     def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for t, p in parts:
-            rows = [decode_stream(list(a), list(b)) for a, b in zip(t, p)]
+            rows = [decode_stream(list(a), list(b), strict) for a, b in zip(t, p)]
             yield pd.DataFrame(rows, columns=["elements", "confidences"], dtype=object)
 
     return run(F.coalesce(tokens, F.array().cast("array<string>")), F.coalesce(probs, F.array().cast("array<double>")))

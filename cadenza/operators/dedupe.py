@@ -108,9 +108,9 @@ def kept(stored: DataFrame, new: DataFrame) -> DataFrame:
     return keep_one(new.select(*few), stored.select(*few)).select("delivery_id")
 
 
-def found(new: DataFrame) -> DataFrame:
+def found(new: DataFrame, part_rows: int = 100_000, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(delivery_id) of the deliveries to drop."""
-    return tag_deliveries(new.select("delivery_id", "activity_id", "source", "timestamp", "received_at")).where("NOT _keep").select("delivery_id")
+    return tag_deliveries(new.select("delivery_id", "activity_id", "source", "timestamp", "received_at"), None, part_rows, hot_rows).where("NOT _keep").select("delivery_id")
 
 
 FOUND_SQL = r"""

@@ -78,3 +78,47 @@ SELECT storyid, phraseindex, coalesce(list_aggregate(list_transform(generate_ser
 DECODE = f"""WITH s AS (SELECT storyid, phraseindex, list_transform(string_split(array_to_string(reference_phonemes, '|'), '|'), lambda x: string_split(x, '')) AS segs FROM story_phrase WHERE reference_phonemes IS NOT NULL),
 c AS (SELECT storyid, phraseindex, flatten(list_transform(segs, lambda x: regexp_extract_all(coalesce(list_aggregate(list_transform(list_filter(range(1, len(x) + 1), lambda i: i = 1 OR x[i] <> x[i - 1]), lambda i: x[i]), 'string_agg', ''), ''), '{"|".join(ELEMENTS)}'))) AS e FROM s)
 SELECT storyid, phraseindex, array_to_string(e, ' ') AS elements, len(e) AS n, round(coalesce(list_sum(list_transform(e, lambda x: list_avg(list_transform(string_split(x, ''), lambda ch: (unicode(ch) % 100) / 100.0)))), 0), 6) AS sure FROM c"""
+
+
+def mapped_places(source: str) -> str:
+    """CTEs src (id, a, b and what source has besides) and pairs (id, i, j): equal and replaced stretches, place by place.
+
+    Of a stretch of both sides the longest common run is taken, the first in a
+    and then in b; what lies before and after it are stretches again.
+    """
+    best = "coalesce(list_max(flatten(list_transform(range(alo, ahi), lambda i: list_transform(range(blo, bhi), lambda j: least(run[i + 1][j + 1], ahi - i, bhi - j) * 100000000 - i * 10000 - j)))), 0)"
+    size = "CAST((code + 99999999) // 100000000 AS INT)"
+    return f"""WITH RECURSIVE src AS (SELECT row_number() OVER () AS id, * FROM ({source})),
+dp AS (SELECT id, CAST(len(a) AS INT) AS i, list_transform(range(len(b) + 1), lambda x: 0) AS line FROM src
+ UNION ALL SELECT dp.id, dp.i - 1, list_append(list_transform(range(len(b)), lambda j: CASE WHEN b[j + 1] = a[dp.i] THEN line[j + 2] + 1 ELSE 0 END), 0) FROM dp JOIN src ON src.id = dp.id WHERE dp.i > 0),
+mat AS (SELECT id, list(line ORDER BY i) AS run FROM dp GROUP BY id),
+part AS (SELECT id, alo, ahi, blo, bhi, CAST({best} AS BIGINT) AS code FROM (SELECT src.id, run, 0 AS alo, CAST(len(a) AS INT) AS ahi, 0 AS blo, CAST(len(b) AS INT) AS bhi FROM src JOIN mat ON mat.id = src.id)
+ UNION ALL SELECT id, alo, ahi, blo, bhi, CAST({best} AS BIGINT) FROM (
+  SELECT q.id, run, CASE side WHEN 0 THEN alo ELSE i + k END AS alo, CASE side WHEN 0 THEN i ELSE ahi END AS ahi, CASE side WHEN 0 THEN blo ELSE j + k END AS blo, CASE side WHEN 0 THEN j ELSE bhi END AS bhi
+  FROM (SELECT *, {size} AS k, CAST(({size} * 100000000 - code) // 10000 AS INT) AS i, CAST(({size} * 100000000 - code) % 10000 AS INT) AS j FROM part WHERE code > 0) q JOIN mat ON mat.id = q.id JOIN (VALUES (0), (1)) s(side) ON true)
+ WHERE alo < ahi AND blo < bhi),
+blocks AS (SELECT id, CAST(({size} * 100000000 - code) // 10000 AS INT) AS i, CAST(({size} * 100000000 - code) % 10000 AS INT) AS j, {size} AS k FROM part WHERE code > 0 UNION ALL SELECT id, CAST(len(a) AS INT), CAST(len(b) AS INT), 0 FROM src),
+cuts AS (SELECT *, coalesce(lag(i + k) OVER w, 0) AS pi, coalesce(lag(j + k) OVER w, 0) AS pj FROM blocks WINDOW w AS (PARTITION BY id ORDER BY i, j, k DESC)),
+pairs AS (SELECT id, i + x AS i, j + x AS j FROM (SELECT *, unnest(range(k)) AS x FROM cuts) UNION ALL SELECT id, pi + x, pj + x FROM (SELECT *, unnest(range(least(i - pi, j - pj))) AS x FROM cuts))"""
+
+
+MAPPING = (
+    mapped_places(PAGE_WORDS.replace("list_filter(string_split_regex(array_to_string(t, ' '), '\\s+'), lambda x: x <> '') AS b", "t AS b"))
+    + " SELECT activity_id, page_index, coalesce(m, '') AS places FROM src LEFT JOIN (SELECT id, string_agg(i || '-' || j, ' ' ORDER BY i) AS m FROM pairs GROUP BY id) USING (id)"
+)
+
+_PLAIN = r"""regexp_replace(lower({c}), '[.,?!:;()\[\]"''’“”]', '', 'g')"""
+#: Every page with its phrases' words (a) and the plain words that lie in it by time (b), with the tokens they are of.
+PAGE_TOKENS = rf"""WITH p AS (SELECT activity_id, page_index, max(phrases) AS phrases, max(start_time) AS s, max(end_time) AS e FROM page_data WHERE activity_id IS NOT NULL AND page_index IS NOT NULL GROUP BY 1, 2),
+w AS (SELECT p.activity_id, p.page_index, list({{'start': w.start, 'end': w."end", 'word': w.word}} ORDER BY w.start, w."end" NULLS FIRST, w.word_id) AS tokens FROM p JOIN word_items w ON w.activity_id = p.activity_id AND w.start * 1000 >= p.s AND w.start * 1000 <= p.e + 1000 AND abs(w.start) < 1e9 WHERE p.e + 1000 >= p.s GROUP BY 1, 2),
+f AS (SELECT activity_id, page_index, coalesce(s, 0) AS page_start, list_transform(phrases, lambda x: list_filter(string_split_regex({_PLAIN.format(c="x")}, '\s+'), lambda y: y <> '')) AS parts, coalesce(tokens, []) AS tokens FROM p LEFT JOIN w USING (activity_id, page_index))
+SELECT activity_id, page_index, page_start, parts, tokens, flatten(parts) AS a, list_transform(tokens, lambda x: {_PLAIN.format(c="x.word")}) AS b FROM f WHERE len(parts) > 0"""
+TIMES = (
+    mapped_places(PAGE_TOKENS)
+    + """, ph AS (SELECT id, CAST(x AS INT) AS phrase, coalesce(list_sum(list_transform(parts[1:x], lambda y: len(y))), 0) AS low, coalesce(list_sum(list_transform(parts[1:x + 1], lambda y: len(y))), 0) AS high FROM (SELECT id, parts, unnest(range(len(parts))) AS x FROM src)),
+mine AS (SELECT ph.id, phrase, min(j) AS first, max(j) AS last FROM ph LEFT JOIN pairs ON pairs.id = ph.id AND pairs.i >= low AND pairs.i < high GROUP BY 1, 2),
+t AS (SELECT activity_id, page_index, phrase, page_start, CAST(trunc(tokens[first + 1].start * 1000) AS INT) AS s, CAST(trunc(tokens[last + 1]."end" * 1000) AS INT) AS e, CASE WHEN first IS NULL THEN '' ELSE array_to_string(list_transform(tokens[first + 1:last + 1], lambda x: x.word), ' ') END AS parsed FROM mine JOIN src USING (id)),
+r AS (SELECT *, max(greatest(page_start, s, e)) OVER (PARTITION BY activity_id, page_index ORDER BY phrase ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM t),
+g AS (SELECT *, greatest(coalesce(reach, page_start), coalesce(s, 0), page_start) AS b FROM r)
+SELECT activity_id, page_index, phrase, b AS start_ms, greatest(coalesce(e, 0), b) AS end_ms, parsed FROM g"""
+)

@@ -620,7 +620,7 @@ def sound_match(spark, d):
     return t.select("storyid", "phraseindex", m.alias("m")).select("storyid", "phraseindex", _digits("m"))
 
 
-@query()
+@query(align_sql.MAPPING)
 def sequence_mapping(spark, d):
     """Which recognised word each word of a page is mapped onto."""
     t = _told(spark, d)
@@ -638,7 +638,7 @@ def _timed(spark, d):
     return p.join(w, ["activity_id", "page_index"], "left").withColumn("tokens", F.coalesce("tokens", none)).withColumnRenamed("start_time", "page_start")
 
 
-@query()
+@query(align_sql.TIMES)
 def page_phrase_alignment(spark, d):
     """Times of the phrases of every page; those of a page without words are empty intervals at its start."""
     return align.phrase_timings(_timed(spark, d))

@@ -236,3 +236,101 @@ def signed_lines(spark, d):
     """Padded fields, fixed decimals and signed numbers in a line."""
     t = table(spark, d, "word_items").where("length(word) < 16 AND confidence IS NOT NULL AND page_index IS NOT NULL AND page_index < 10000")
     return t.select("word_id", F.format_string("%-16s%-5s %.3f %+d", "word", F.col("page_index").cast("string"), (F.round(F.col("confidence") * 8) / 8).cast("double"), "page_index").alias("line"))
+
+
+# ---- files written and read again
+
+
+@query("SELECT storyid AS \"storyId\", phraseindex AS \"phraseIndex\", array_to_string(expected_text, '|') AS words FROM story_phrase WHERE storyid IS NOT NULL AND NOT regexp_matches(storyid, '^\\s|\\s$|^$')")
+def csv_phrases(spark, d):
+    """Phrases as a CSV file whose lists are literals, read back."""
+    path = shared_dir(spark, "phrases") + ".csv"
+    quoted = F.transform("expected_text", lambda w: F.concat(F.lit('"'), w, F.lit('"')))
+    t = table(spark, d, "story_phrase").where("storyid IS NOT NULL AND NOT storyid RLIKE '^\\\\s|\\\\s$|^$'")
+    t = t.select(F.col("storyid").alias("storyId"), F.col("phraseindex").alias("phraseIndex"), F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]")).alias("expected_text"), F.lit("[]").alias("reference_phonemes"))
+    t.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return readers.read_story_phrases(spark, path).select("storyId", "phraseIndex", F.array_join("expected_text", "|").alias("words"))
+
+
+@query("SELECT activityid, status, createdat FROM activity_v")
+def parquet_roundtrip(spark, d):
+    path = shared_dir(spark, "activities") + ".parquet"
+    sinks.write_parquet(table(spark, d, "activity_v").select("activityid", "status", "createdat"), path)
+    return readers.read_file(spark, path)
+
+
+@query("""SELECT DISTINCT strftime(make_timestamp("timestamp" * 1000000), '%Y-%m-%d') AS dt FROM activity_results""")
+def object_listing(spark, d):
+    """The days of a result folder, from the names of its files alone."""
+    path = shared_dir(spark, "listed")
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("timestamp") / 86400).cast("int")).cast("string")
+    sinks.write_results(table(spark, d, "activity_results").select(day.alias("dt"), "status"), path)
+    return readers.list_objects(spark, path, "*.json").where("size > 0").select(F.regexp_extract("key", r"/dt=([^/]+)/", 1).alias("dt")).distinct()
+
+
+@query("SELECT s3_uri AS key FROM segment_manifest WHERE s3_uri IS NOT NULL")
+def valid_keys(spark, d):
+    return readers.valid_keys(table(spark, d, "segment_manifest").select(F.col("s3_uri").alias("Key")))
+
+
+@query("""WITH z AS (SELECT expected_text, reference_phonemes, unnest(generate_series(1, least(len(expected_text), len(reference_phonemes)))) AS i FROM story_phrase WHERE expected_text IS NOT NULL AND reference_phonemes IS NOT NULL)
+SELECT expected_text[i] AS word, min(reference_phonemes[i]) AS phonemes FROM z WHERE reference_phonemes[i] IS NOT NULL AND regexp_full_match(expected_text[i], '\\S+') AND regexp_full_match(reference_phonemes[i], '\\S+') GROUP BY 1""")
+def dictionary_file(spark, d):
+    """A dictionary written as lines and read again."""
+    from cadenza.plans.queries import _dictionary
+
+    path = shared_dir(spark, "dictionary")
+    t = _dictionary(spark, d).where("word RLIKE '^\\\\S+$' AND phonemes RLIKE '^\\\\S+$'")
+    t.select(F.concat_ws(" ", "word", "phonemes").alias("value")).write.text(path)
+    return readers.read_dictionary(spark, path)
+
+
+@query("""SELECT word_id, word, start, "end", confidence FROM word_items WHERE start IS NOT NULL AND "end" IS NOT NULL AND confidence IS NOT NULL AND NOT isnan(start) AND NOT isnan("end") AND NOT isnan(confidence)""")
+def transcript_words(spark, d):
+    """Words out of a recogniser's response of several lines."""
+    t = table(spark, d, "word_items").where("start IS NOT NULL AND end IS NOT NULL AND confidence IS NOT NULL AND NOT isnan(start) AND NOT isnan(end) AND NOT isnan(confidence)")
+    body = F.to_json(F.struct(F.array(F.struct(F.array(F.struct("word", "start", "end", "confidence")).alias("text"))).alias("data")))
+    return t.select("word_id", F.explode(readers.transcript_words(F.concat_ws("\n", F.lit("begin"), body, F.lit("end")))).alias("w")).select("word_id", "w.word", "w.start", "w.end", "w.confidence")
+
+
+@query("""WITH h AS (SELECT segment_id, sha256(s3_uri) AS h FROM segment_manifest WHERE s3_uri IS NOT NULL), v AS (SELECT segment_id, CAST('0x' || h[3:4] || h[1:2] AS INT) AS a, CAST('0x' || h[63:64] || h[61:62] AS INT) AS z FROM h)
+SELECT segment_id, 1 AS channels, 16000 AS rate, 32 AS data_bytes, 16 AS n_samples, round((CASE WHEN a > 32767 THEN a - 65536 ELSE a END) / 32768, 6) + 0 AS first, round((CASE WHEN z > 32767 THEN z - 65536 ELSE z END) / 32768, 6) + 0 AS last FROM v""")
+def wav_chunks(spark, d):
+    """The samples of sound files, by a walk over their chunks; each file holds the digest of a segment's address."""
+    head = "524946460000000057415645" + "4C495354" + "03000000" + "61626300" + "666D7420" + "10000000" + "0100" + "0100" + "803E0000" + "007D0000" + "0200" + "1000" + "64617461" + "20000000"
+    t = table(spark, d, "segment_manifest").where("s3_uri IS NOT NULL").select("segment_id", F.unhex(F.concat(F.lit(head), F.sha2("s3_uri", 256))).alias("content"))
+    t = t.select("segment_id", readers.wav_samples(F.col("content")).alias("w"))
+    x = lambda c: (F.round(c.cast("double"), 6) + 0)
+    return t.select("segment_id", "w.channels", "w.rate", F.col("w.data_bytes").cast("int").alias("data_bytes"), F.size("w.samples").alias("n_samples"), x(F.get("w.samples", F.lit(0))).alias("first"), x(F.get("w.samples", F.lit(15))).alias("last"))
+
+
+@query("SELECT event_type AS metric, strftime(ts, '%Y-%m-%d') AS dt, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def metric_sink(spark, d):
+    """Metric samples appended to a table by day, in two goes, and read back."""
+    path = shared_dir(spark, "metrics")
+    t = table(spark, d, "events").select("ts", F.lit("app").alias("namespace"), F.col("event_type").alias("metric"), "value", F.create_map(F.lit("user"), F.col("user_id").cast("string")).alias("dims"), "event_id")
+    for odd in (0, 1):
+        sinks.append_metrics(t.where(F.col("event_id") % 2 == odd).drop("event_id"), path)
+    back = spark.read.schema("ts timestamp_ntz, metric string, value double, dt string").parquet(path)
+    return back.groupBy("metric", "dt").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query("SELECT segment_id, start_ms, end_ms FROM segment_manifest WHERE end_ms > start_ms")
+def slice_export(spark, d):
+    """Slices worth exporting, written and read back."""
+    path = shared_dir(spark, "slices")
+    sinks.write_parquet(sinks.export_plan(table(spark, d, "segment_manifest")).select("segment_id", "start_ms", "end_ms"), path)
+    return spark.read.schema("segment_id bigint, start_ms double, end_ms double").parquet(path)
+
+
+@query(_VOTES + """, x AS (SELECT activity_id, page_index, len(m) AS w, list_sum(list_transform(generate_series(1, len(m)), lambda i: (e[i] = (p[i] = 0))::INT)) AS b,
+ list_sum(list_transform(generate_series(1, len(m)), lambda i: ((NOT (p[i] = 1 OR m[i] + s[i] + p[i] > 1)) = (p[i] = 0))::INT)) AS a FROM d), g AS (SELECT activity_id, CAST(sum(w) AS BIGINT) AS n, sum(b) AS b, sum(a) AS a FROM x GROUP BY 1)
+SELECT activity_id, 'Activity ' || activity_id || ': ' || n || ' words' AS line FROM g""")
+def activity_report(spark, d):
+    """The header lines of a readable report, up to the number of words."""
+    t = _sources(spark, d)
+    truth = F.transform("prior", lambda x: x == 0)
+    s = rules.two_level_accuracy(t, ["activity_id"], truth, F.col("errors"), S.vote(F.col("matches"), F.col("second"), F.col("prior")))
+    words = table(spark, d, "word_items").select("activity_id", F.col("word_id").alias("place"), "word", F.col("page_index").alias("a"), F.lit(0).alias("b"), "confidence")
+    r = sinks.activity_report(s, words).where("line_no = -1")
+    return r.select("activity_id", F.regexp_extract("line", r"^(.*? words),", 1).alias("line"))

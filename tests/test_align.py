@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -46,6 +47,9 @@ def test_decode():
     assert d(["|", "m", "|", "|", "o", "|"], [0, 0.5, 0, 0, 0.75, 0]) == (["m", "o"], [0.5, 0.75])
     assert d(["??", "o", "long token"], [0.1, 0.5, 0.2]) == (["o"], [0.5])
     assert d(["??"], [0.1]) == ([], []) and d([], []) == ([], [])
+    with pytest.raises(ValueError):
+        d(["o", "??"], [0.5, 0.1], strict=True)
+    assert d(["o", "|"], [0.5, 0.1], strict=True) == (["o"], [0.5])
     assert d(["z", "<pad>", "z"], [0.2, 0.9, 0.4])[0] == ["z"]
 
 

@@ -24,7 +24,7 @@ def duck():
 
 def canon(names, rows):
     order = sorted(range(len(names)), key=lambda i: names[i])
-    value = lambda x: None if x is None or x != x else float(x) if isinstance(x, (int, float)) and not isinstance(x, bool) else x
+    value = lambda x: None if x is None else "nan" if x != x else float(x) if isinstance(x, (int, float)) and not isinstance(x, bool) else x
     return sorted(repr(tuple(value(r[i]) for i in order)) for r in rows)
 
 
