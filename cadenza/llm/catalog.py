@@ -14,6 +14,9 @@ def queries() -> dict:
     return {
         "p1_found": nearest.found,
         "p5_percentiles": percentiles.all_percentiles,
+        # the ways of hot keys, which small tables hardly have: the same results with low thresholds
+        "salted_buckets": lambda s, d: nearest.words(s, d, hot_rows=100, slice_rows=20_000).where("trans_id IS NOT NULL"),
+        "followed_digits": lambda s, d: percentiles.all_percentiles(s, d, hot_rows=50),
         "p5_combined_days": percentiles.combined_days,
         "p5_combined_parts": percentiles.combined_parts,
         "p6_ids": _ids("byte_bpe_50k"),
@@ -31,6 +34,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": nearest.FOUND_SQL,
         "p5_percentiles": percentiles.ALL_SQL,
+        "salted_buckets": nearest.FOUND_SQL,
+        "followed_digits": percentiles.ALL_SQL,
         "p5_combined_days": percentiles.COMBINED_SQL,
         "p5_combined_parts": percentiles.PARTS_SQL,
         "p6_decoded": encode.DECODED_SQL,

@@ -25,6 +25,8 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyspark.sql.types as T
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -578,15 +580,21 @@ def found(documents: DataFrame, part: int = 65_536) -> DataFrame:
             starts = [cut_blocks(t, part) for t in s]
             yield pd.Series([[{"at": a, "text": t[a:b]} for a, b in zip(c, [*c[1:], len(t)])] for t, c in zip(s, starts)], dtype=object)
 
-    @F.pandas_udf("array<struct<a:int,b:int>>")
-    def tag(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, known = dict(learned), {}
-        for s in parts:
-            yield pd.Series([[{"a": a, "b": b} for a, b in sentences(t, w, known)] for t in s], dtype=object)
+        for batch in batches:
+            row, low, high = [], [], []
+            for i, (at, text) in enumerate(zip(batch.column("at").to_pylist(), batch.column("text").to_pylist())):
+                for x, y in sentences(text, w, known):
+                    row.append(i)
+                    low.append(at + x)
+                    high.append(at + y)
+            ids = batch.column("doc_id").take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(low, pa.int32()), pa.array(high, pa.int32())], ["doc_id", "sent_start", "sent_end"])
 
     rows = documents.where(F.col("text").isNotNull()).select("doc_id", "text")
     is_long = F.char_length("text") > 2 * part
     short = rows.where(~is_long).select("doc_id", F.lit(0).alias("at"), "text")
     long = rows.where(is_long).select("doc_id", F.inline(cuts("text"))).repartition("doc_id", "at")
-    tagged = short.unionByName(long).select("doc_id", "at", F.explode(tag("text")).alias("s"))
-    return tagged.select("doc_id", (F.col("at") + F.col("s.a")).cast("int").alias("sent_start"), (F.col("at") + F.col("s.b")).cast("int").alias("sent_end"))
+    kind = T.StructType([T.StructField("doc_id", documents.schema["doc_id"].dataType), T.StructField("sent_start", T.IntegerType()), T.StructField("sent_end", T.IntegerType())])
+    return short.unionByName(long).select("doc_id", "at", "text").mapInArrow(tag, kind)
