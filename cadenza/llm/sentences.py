@@ -39,6 +39,8 @@ BLANK = re.compile(rf"{LINE_END}[^\S\n\r\x0b\x0c\x85\u2028\u2029]*{LINE_END}\s*"
 DOTS = ".…‥．"
 #: Marks that end a sentence in any script, by their Unicode property; the little section of Burmese is its comma.
 STRONG = "".join(c for c in regex.findall(r"\p{Sentence_Terminal}", "".join(map(chr, [*range(0xD800), *range(0xF900, 0x10000)]))) if c not in DOTS + "၊")
+STRONG_SET = frozenset(STRONG)
+ABBREVIATED = seed.NEVER_LAST | seed.BEFORE_NUMBER | seed.MAYBE_LAST
 GREEK_ASKS = r"(?<=[\u0370-\u03ff\u1f00-\u1fff])[;\u037e]"
 ENDS = re.compile(rf"(?:[{re.escape(STRONG + DOTS)}]|{GREEK_ASKS})(?:[{re.escape(STRONG + DOTS)}]|[ \u00a0\u202f](?=[!?]))*")
 QUOTES = {"“": "”", "„": "“”", "«": "»", "»": "«", "「": "」", "『": "』", "‘": "’", '"': '"', "'": "'", "‚": "‘’"}
@@ -242,8 +244,9 @@ def places(s: str) -> list[Place]:
         if a not in closed:
             e = b if (a, b) in spoken else b + 1
             out.append((b, 0, (e, e, ("shut",), SHUTS)))
-    spaced = SPACED if SPACED.search(s) else None
-    if SPACED_BARE.search(s) and not re.search("[។៕၊။]", s):
+    ascii = s.isascii()
+    spaced = SPACED if not ascii and SPACED.search(s) else None
+    if not ascii and SPACED_BARE.search(s) and not re.search("[។៕၊။]", s):
         spaced = re.compile(SPACED.pattern[:-1] + SPACED_BARE.pattern[1:])
     if spaced:
         for m in THAI_SPACE.finditer(s):
@@ -262,7 +265,9 @@ def places(s: str) -> list[Place]:
         left = _trimmed(s, h)
         if left and not (s[left - 1] in STRONG + DOTS) and left not in ends:
             out.append((left - 1, 2, (left, h, ("item",), MAY)))
-    return [x for _, _, x in sorted(x for x in set(out) if x[2][2])]
+    out = [x for x in out if x[2][2]]
+    out.sort()
+    return [x[2] for x, y in zip(out, [None, *out]) if x != y]
 
 
 @functools.lru_cache(maxsize=4096)
@@ -300,6 +305,16 @@ def _next(s: str, e: int, start: int, heads: set[int]) -> tuple[str, int, str]:
 
 def _mark(s: str, i: int, e: int, heads: set[int]) -> tuple[int, int, tuple[str, ...]]:
     """Features of the place after the closing marks s[i:e]."""
+    if e == i + 1:  # most places: a mark between a plain word and a capital, or between words of a script without spaces
+        c, after = s[i], s[e : e + 1]
+        if after == " " and e + 1 not in heads and ((x := s[e + 1 : e + 2]).isupper() or (x.isalpha() and not _cased(x))):
+            if c in STRONG_SET:
+                return e, e + 1, ("strong",)
+            at = s.rfind(" ", max(0, i - 40), i) + 1
+            if c == "." and at and (t := s[at:i]).isalpha() and t.isascii() and len(t) > 2 and t.lower() not in ABBREVIATED:
+                return e, e + 1, ("dot",)
+        elif c in STRONG_SET and after.isalpha() and not _cased(after) and e not in heads:
+            return e, e, ("strong",)
     run = s[i] if e == i + 1 else "".join(s[i:e].split())
     start = e + 1 if s[e : e + 1] == " " and s[e + 1 : e + 2].isalnum() else SPACES.match(s, e).end()
     kind, j, word = _next(s, e, start, heads)
@@ -474,7 +489,7 @@ def _chain(s: str) -> tuple[list[Place], list[bool]]:
     out, at = [], 0
     for e, start, feats, _ in found:
         # a quotation is a sentence even without a word
-        out.append("quote" in feats or any(map(str.isalnum, s[at:e])))
+        out.append(s[at : at + 1].isalnum() and at < e or "quote" in feats or any(map(str.isalnum, s[at:e])))
         at = start
     return found, out
 
