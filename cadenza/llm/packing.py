@@ -80,19 +80,25 @@ def configurations(w: np.ndarray, demand: np.ndarray, capacity: int, gap: float
     """
     k = len(w)
     basis = np.diag(np.maximum(1, capacity // w)).astype(float)
+    inverse = np.diag(1 / np.diag(basis))
     x = demand / np.diag(basis)
-    for _ in range(rounds):
-        y = np.linalg.solve(basis.T, np.ones(k))
+    for n in range(rounds):
+        if n % 100 == 99:  # what the updates lose
+            inverse = np.linalg.inv(basis)
+        y = inverse.sum(axis=0)
         value, pattern = _best_pattern(w, np.maximum(y, 0), capacity)
         if value <= 1 + gap:
             break
-        d = np.linalg.solve(basis, pattern.astype(float))
+        d = inverse @ pattern
         ratio = np.where(d > 1e-9, x / np.where(d > 1e-9, d, 1), np.inf)
         out = int(np.argmin(ratio))
         step = ratio[out]
         x = np.maximum(x - step * d, 0)
         x[out] = step
         basis[:, out] = pattern
+        row = inverse[out] / d[out]
+        inverse -= np.outer(d, row)
+        inverse[out] = row
     whole = np.floor(x + 1e-9)
     out = [(basis[:, i].astype(np.int64), int(whole[i])) for i in range(k) if whole[i]]
     rest = np.maximum(np.round(demand - basis @ whole), 0)
