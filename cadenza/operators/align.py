@@ -26,31 +26,26 @@ ALIGNED = "phonemes array<string>, errors array<boolean>, confidences array<doub
 def common_subsequence(a: list, b: list) -> list[tuple[int, int]]:
     """Places (i, j) of a longest common subsequence; of several, the one whose matches come first in a.
 
-    Equal ends are taken off first: they are part of it. Each row of the table
-    is made at once, as the maxima from the right of the row below and what a
-    match adds to it.
+    A row of the table of lengths is one number whose bits say where the length
+    does not grow, so a row costs a few operations on numbers of len(b) bits.
     """
     n, m = len(a), len(b)
-    head = next((k for k in range(min(n, m)) if a[k] != b[k]), min(n, m))
-    if head:
-        return [*zip(range(head), range(head)), *((i + head, j + head) for i, j in common_subsequence(a[head:], b[head:]))]
-    if not n or not m:
-        return []
-    known: dict = {}
-    code = [known.setdefault(x, len(known)) for x in a]
-    there = np.array([known.get(x, -1) for x in b])
-    best = np.zeros((n + 1, m + 1), np.int32)
+    at: dict = {}  # element -> the bits of its places in b, the last place being bit 0
+    for k, x in enumerate(reversed(b)):
+        at[x] = at.get(x, 0) | 1 << k
+    full = (1 << m) - 1
+    rows = [full] * (n + 1)
     for i in range(n - 1, -1, -1):
-        below = best[i + 1]
-        gain = np.where(there == code[i], below[1:] + 1, below[:-1])
-        best[i, :m] = np.maximum.accumulate(gain[::-1])[::-1]
-    best = best.tolist()
+        below, hit = rows[i + 1], at.get(a[i], 0)
+        rows[i] = (below + (below & hit) | below & ~hit) & full
+    # the length for what is left from i and j on: the bits that are not set among those of b[j:]
+    length = lambda i, j: (m - j) - (rows[i] & (1 << m - j) - 1).bit_count()
     out, i, j = [], 0, 0
     while i < n and j < m:
         if a[i] == b[j]:
             out.append((i, j))
             i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
+        elif length(i + 1, j) >= length(i, j + 1):
             i += 1
         else:
             j += 1

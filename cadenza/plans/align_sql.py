@@ -122,3 +122,8 @@ r AS (SELECT *, max(greatest(page_start, s, e)) OVER (PARTITION BY activity_id,
 g AS (SELECT *, greatest(coalesce(reach, page_start), coalesce(s, 0), page_start) AS b FROM r)
 SELECT activity_id, page_index, phrase, b AS start_ms, greatest(coalesce(e, 0), b) AS end_ms, parsed FROM g"""
 )
+
+#: The phrases of every page with their times, and a row for a page without phrases.
+DOCUMENT_ROWS = f"""WITH p AS (SELECT activity_id, page_index, max(phrases) AS phrases, max(phrase_indices) AS idx, max(start_time) AS s, max(end_time) AS e FROM page_data WHERE activity_id IS NOT NULL AND page_index IS NOT NULL GROUP BY 1, 2)
+SELECT p.activity_id, p.page_index, p.s AS page_start, p.e AS page_end, CASE WHEN t.phrase IS NOT NULL THEN idx[t.phrase + 1] END AS phrase_idx, t.start_ms AS start, t.end_ms AS "end", t.parsed, CASE WHEN t.phrase IS NOT NULL THEN coalesce(phrases[t.phrase + 1], '') END AS phrase_text
+FROM p LEFT JOIN ({TIMES}) t ON t.activity_id = p.activity_id AND t.page_index = p.page_index"""

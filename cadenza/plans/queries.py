@@ -785,7 +785,7 @@ def timing_documents(spark, d):
     return _documents(spark, d).select("activity_id", F.size(pages).cast("bigint").alias("n_pages"))
 
 
-@query()
+@query(align_sql.DOCUMENT_ROWS)
 def timing_document_rows(spark, d):
     """The documents parsed again: a row for each phrase of every page, and one for a page without phrases."""
     pages = F.from_json("timing", "pages array<struct<page_index:int,page_start:int,page_end:int,phrases:array<struct<phrase_idx:int,start:int,end:int,parsed:string,phrase_text:string>>>>")["pages"]
