@@ -24,6 +24,7 @@ def queries() -> dict:
         "p6_ids_words": _ids("word_bpe_49k"),
         "p6_ids_pieces": _ids("piece_bpe_32k"),
         "p6_decoded": lambda s, d: encode.decoded(table(s, d, "documents"), "byte_bpe_50k"),
+        "p6_decoded_multi": lambda s, d: encode.decoded(table(s, d, "documents"), "byte_bpe_multi_50k"),
         "p7_containers": packing.containers,
         "p8_found": lambda s, d: sentences.found(table(s, d, "documents")),
         "p7_fill": lambda s, d: packing.fill(packing.containers(s, d)),
@@ -39,4 +40,5 @@ def oracle_sql() -> dict[str, str]:
         "p5_combined_days": percentiles.COMBINED_SQL,
         "p5_combined_parts": percentiles.PARTS_SQL,
         "p6_decoded": encode.DECODED_SQL,
+        "p6_decoded_multi": encode.DECODED_SQL,
     }
