@@ -17,9 +17,9 @@ from cadenza.functions.text import folded, nonblank
 from cadenza.plans.skew import HOT_ROWS, skew_join, spread
 from cadenza.session import written
 
-#: Bits of a filter at most (8 MB): what is broadcast is bounded whatever the number of keys. With more keys the
+#: Bits of a filter at most (32 MB): what is broadcast is bounded whatever the number of keys. With more keys the
 #: filter lets more references through to the exact join; the result stays the same.
-MAX_BITS = 1 << 26
+MAX_BITS = 1 << 28
 
 
 @dataclass

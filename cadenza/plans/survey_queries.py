@@ -334,3 +334,38 @@ def activity_report(spark, d):
     words = table(spark, d, "word_items").select("activity_id", F.col("word_id").alias("place"), "word", F.col("page_index").alias("a"), F.lit(0).alias("b"), "confidence")
     r = sinks.activity_report(s, words).where("line_no = -1")
     return r.select("activity_id", F.regexp_extract("line", r"^(.*? words),", 1).alias("line"))
+
+
+@query("SELECT activityid, createdat FROM activity_v WHERE createdat >= TIMESTAMP '2025-02-10' AND createdat < TIMESTAMP '2025-02-20'")
+def time_range(spark, d):
+    """Required columns and a half-open range of time."""
+    t = select.require_columns(table(spark, d, "activity_v"), ["activityid", "createdat"])
+    for condition in select.time_range("createdat", "2025-02-10", "2025-02-20"):
+        t = t.where(condition)
+    return t.select("activityid", "createdat")
+
+
+@query("SELECT status, count(*) AS n, CAST(2 AS INT) AS asked FROM activity_v GROUP BY status")
+def cached_query(spark, d):
+    """The result of a SQL text, asked for twice and made once."""
+    table(spark, d, "activity_v").createOrReplaceTempView("cadenza_cached_query")
+    folder = shared_dir(spark, "cache")
+    text = "SELECT status, count(*) AS n FROM cadenza_cached_query GROUP BY status"
+    first = sinks.ResultCache(spark, 3600, folder).query(text)
+    table(spark, d, "activity_v").limit(0).createOrReplaceTempView("cadenza_cached_query")
+    again = sinks.ResultCache(spark, 3600, folder).query(text)
+    spark.catalog.dropTempView("cadenza_cached_query")
+    both = first.unionByName(again).groupBy("status").agg(F.max("n").alias("n"), F.count(F.lit(1)).cast("int").alias("asked"))
+    return both.select("status", "n", "asked")
+
+
+@query("""SELECT DISTINCT strftime(make_timestamp("timestamp" * 1000000), '%Y-%m-%d') AS key, CASE WHEN ("timestamp" // 86400) % 2 = 0 THEN true END AS has_bytes FROM activity_results""")
+def object_metadata(spark, d):
+    """The days of the results with the metadata of their stored objects; those of odd days were never stored."""
+    path = shared_dir(spark, "heads")
+    number = F.floor(F.col("timestamp") / 86400).cast("int")
+    t = table(spark, d, "activity_results").select(number.alias("number"), F.date_add(F.lit("1970-01-01").cast("date"), number).cast("string").alias("dt"), "status")
+    sinks.write_results(t.where("number % 2 = 0").drop("number"), path)
+    found = readers.list_objects(spark, path, "*.json").select(F.regexp_extract("key", r"/dt=([^/]+)/", 1).alias("key"), "size")
+    heads = found.groupBy("key").agg((F.sum("size") > 0).alias("has_bytes"))
+    return joins.with_heads(t.select(F.col("dt").alias("key")).distinct(), heads)
