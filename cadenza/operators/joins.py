@@ -36,25 +36,25 @@ def dropped_rows(activities: DataFrame, phrases: DataFrame) -> DataFrame:
     return skew_join(a, p, ["_story"], "left").agg(F.count(F.lit(1)).alias("n_activities"), F.count_if(F.col("_has").isNull()).alias("n_dropped"))
 
 
-#: A page interval is put into two buckets at most on each of these levels, the width growing by WIDER from one to the next.
-LEVELS = 10
+#: Levels of time buckets, the width growing by WIDER from one to the next; a page interval touches at most WIDER + 1 buckets of its level.
+LEVELS = 9
 WIDER = 16
 
 
 def words_in_pages(pages: DataFrame, words: DataFrame, right_ms: int = 1000, bucket_ms: int = 30_000, columns: tuple[str, ...] = ("word_id",)) -> DataFrame:
     """(activity_id, page_index, columns of the word): words whose start lies in the page's interval, both ends closed, and up to right_ms after it.
 
-    A word can lie in two pages. A page is put into the one or two time buckets
-    it touches, of the least width that makes them that few, so a hot activity is
+    A word can lie in two pages. A page is put into the time buckets it touches,
+    of the least width that makes them at most WIDER + 1, so a hot activity is
     joined bucket by bucket and one page with a far end makes no more rows than
-    any other. Words come once for each width that pages have (one, unless pages
-    last longer than bucket_ms).
+    that. Words come once for each width that pages have: one, unless pages last
+    longer than WIDER times bucket_ms (eight minutes).
     """
     low, high = F.col("start_time").cast("bigint"), F.col("end_time").cast("bigint") + right_ms
     p = pages.where(F.col("start_time").isNotNull() & (high >= low)).select("activity_id", "page_index", low.alias("low"), high.alias("high"))
     long = F.lit(LEVELS)
     for k in reversed(range(LEVELS)):
-        long = F.when(F.col("high") - F.col("low") < bucket_ms * WIDER**k, k).otherwise(long)
+        long = F.when(F.col("high") - F.col("low") < bucket_ms * WIDER ** (k + 1), k).otherwise(long)
     p = p.withColumn("level", long.cast("int"))
     width = lambda level: F.lit(bucket_ms).cast("bigint") * F.pow(F.lit(float(WIDER)), level).cast("bigint")
     at = lambda t: F.floor(F.col(t) / width(F.col("level")))
