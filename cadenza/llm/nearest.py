@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -40,6 +40,12 @@ OUT = "left_id bigint, right_id bigint"
 #: Rows of a slice of event time, while there are no more than MOST_SLICES; beyond that slices grow, and the state with them.
 SLICE_ROWS = 400_000
 MOST_SLICES = 64
+#: Slices whose rows the state of a replay holds at once.
+HELD_SLICES = 3
+#: Shards up to this number are dealt evenly to the state partitions; more of them even out by themselves.
+DEALT_SHARDS = 4096
+#: Rows of an Arrow batch of the replay: a few MB, so that a shard comes to Python in few pieces.
+BATCH_ROWS = 50_000
 #: Keeps state outside the executors' heap and on their disks, with what changed in the shared checkpoint folder.
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -98,6 +104,7 @@ def _stepper(tolerance: int):
 
     def step(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         held = _load(bytes(state.get[0])) if state.exists else []
+        n_held = sum(h.num_rows for h in held)
         if not state.hasTimedOut:
             for f in frames:
                 held.append(pa.table({"side": pa.array(f["side"], pa.int8()), "entity": pa.array(f["entity"], pa.string()).dictionary_encode(), "t": pa.array(f["t"], pa.int64()), "id": pa.array(f["id"], pa.int64())}))
@@ -110,15 +117,17 @@ def _stepper(tolerance: int):
         now = state.getCurrentWatermarkMs() - BASE
         clock = np.clip(t, -FAR, FAR)
         due = (side == 0) & (clock + tolerance < now)
-        right = np.flatnonzero(side == 1)
         if due.any():
             at = np.flatnonzero(due)
-            hit = match_sorted(code[at], t[at], code[right], t[right], ids[right], tolerance)
-            partner = pd.array(np.where(hit >= 0, ids[right][hit] if len(right) else 0, 0), "Int64")
+            # a right row from now on is farther than the tolerance from all that are due
+            near = np.flatnonzero((side == 1) & (clock < now))
+            hit = match_sorted(code[at], t[at], code[near], t[near], ids[near], tolerance)
+            partner = pd.array(np.where(hit >= 0, ids[near][hit] if len(near) else 0, 0), "Int64")
             partner[hit < 0] = pd.NA
             yield pd.DataFrame({"left_id": ids[at], "right_id": partner})
         keep = np.where(side == 0, ~due, (side == 1) & (clock >= now - 2 * tolerance - 2))
-        # of the rights of one entity and time only the smallest id can be a partner
+        # of the rights of one entity and time that come together only the smallest id can be a partner
+        right = np.flatnonzero(keep[n_held:] & (side[n_held:] == 1)) + n_held
         order = right[np.lexsort((ids[right], t[right], code[right]))]
         again = np.zeros(len(order), bool)
         again[1:] = (code[order][1:] == code[order][:-1]) & (t[order][1:] == t[order][:-1])
@@ -152,15 +161,38 @@ def _clock() -> Column:
     return F.least(F.greatest(F.col("t"), F.lit(-FAR)), F.lit(FAR))
 
 
-def _sharded(left: DataFrame, right: DataFrame, tolerance_ms: int, shards: int, bucket_ms: int, salts: DataFrame | None) -> DataFrame:
-    """(side, entity, t, id, shard): the rows of both sides where they are buffered."""
+def _sharded(left: DataFrame, right: DataFrame, tolerance_ms: int, shards: int | list[int], bucket_ms: int, salts: DataFrame | None) -> DataFrame:
+    """(side, entity, t, id, shard): the rows of both sides where they are buffered. shards: how many, or their numbers."""
     rows = _placed(left, 0, tolerance_ms, bucket_ms, salts).unionByName(_placed(right, 1, tolerance_ms, bucket_ms, salts))
-    return rows.select("side", "entity", "t", "id", F.pmod(F.xxhash64("entity", "bucket", "salt"), F.lit(shards)).cast("int").alias("shard"))
+    shard = F.pmod(F.xxhash64("entity", "bucket", "salt"), F.lit(shards if isinstance(shards, int) else len(shards))).cast("int")
+    if not isinstance(shards, int):
+        shard = F.element_at(F.array(*[F.lit(x) for x in shards]), shard + 1)
+    return rows.select("side", "entity", "t", "id", shard.alias("shard"))
+
+
+def _dealt(spark: SparkSession, shards: int, partitions: int) -> int | list[int]:
+    """At least so many shards: numbers of which the hash partitioning of a stream gives each state partition equally many."""
+    if shards > DEALT_SHARDS:
+        return shards
+    each = -(-shards // partitions)
+    number = F.col("id").cast("int")
+    home = F.pmod(F.hash(number), F.lit(partitions))
+    rank = F.row_number().over(Window.partitionBy(home).orderBy("id"))
+    few = spark.range(0, 8 * each * partitions + 200, 1, 1).select(number.alias("id"), rank.alias("rank")).where(F.col("rank") <= each)
+    return sorted(r.id for r in few.collect())
+
+
+def _state_partitions(spark: SparkSession, slices: int, shards: int) -> int:
+    """Partitions of a replay's state, which holds few of the slices at once: as many as are of a shuffle partition's size,
+    or one a core if that is more, but none without a shard: each costs a task of Python and a state store in every micro-batch."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(partitions, shards, max(spark.sparkContext.defaultParallelism, -(-HELD_SLICES * partitions // slices)))
 
 
 def _joined(rows: DataFrame, at: Column, tolerance_ms: int, delay: str) -> DataFrame:
     """The pairs of a stream of sharded rows, with the event time at (ms)."""
     rows = rows.withColumn("horizon", F.timestamp_millis(at + F.lit(BASE))).withWatermark("horizon", delay)
+    rows = rows.select("side", "entity", "t", "id", "shard", "horizon")
     return rows.groupBy("shard").applyInPandasWithState(_stepper(tolerance_ms), OUT, "rows binary", "append", GroupStateTimeout.EventTimeTimeout)
 
 
@@ -184,6 +216,14 @@ def _slice_bounds(times: DataFrame, slices: int) -> list[int]:
     return sorted(set(at or []))
 
 
+def _slice_of(t: Column, bounds: list[int], first: int = 0) -> Column:
+    """How many of the sorted bounds are no later than t, by bisection."""
+    if not bounds:
+        return F.lit(first)
+    k = len(bounds) // 2
+    return F.when(t < bounds[k], _slice_of(t, bounds[:k], first)).otherwise(_slice_of(t, bounds[k + 1 :], first + k + 1))
+
+
 def replay_nearest(
     spark: SparkSession,
     left_path: str,
@@ -227,10 +267,10 @@ def replay_nearest(
         r_rows = r_rows.withColumn("bucket", bucket)
         few = r_rows.join(dense, ["entity", "bucket"], "left_semi").groupBy("entity", "t").agg(F.min("id").alias("id"))
         r_rows = r_rows.join(dense, ["entity", "bucket"], "left_anti").drop("bucket").unionByName(few)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = max(4 * partitions, total // shard_rows)
-    rows = _sharded(l_rows, r_rows, tolerance_ms, shards, bucket_ms, salts)
-    cut = sum(((_clock() >= b).cast("int") for b in bounds), F.lit(0))
+    shards = max(1, -(-HELD_SLICES * total // (max(slices, HELD_SLICES) * shard_rows)))
+    partitions = _state_partitions(spark, slices, shards)
+    rows = _sharded(l_rows, r_rows, tolerance_ms, _dealt(spark, shards, partitions), bucket_ms, salts)
+    cut = _slice_of(_clock(), bounds)
     starts = [-FAR - 1, *bounds]
     mark = F.element_at(F.array(*[F.lit(x).cast("bigint") for x in starts]), F.col("slice") + 1)
     base = shared_dir(spark, "nearest")
@@ -241,15 +281,21 @@ def replay_nearest(
     for k in (0, 1):
         end = spark.range(1).select(F.lit(2).cast("byte").alias("side"), F.lit("").alias("entity"), F.lit(FAR).alias("t"), F.lit(0).cast("bigint").alias("id"), F.lit(0).alias("shard"), F.lit(FAR + 4 * tolerance_ms + 10 + k).alias("mark"))
         end.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema]).write.parquet(f"{base}/slices/slice={len(starts) + k}")
-    return _replay(spark, base, rows, tolerance_ms, range(len(starts) + 2), watch)
+    return _replay(spark, base, rows, tolerance_ms, range(len(starts) + 2), partitions, watch)
 
 
-def _replay(spark: SparkSession, base: str, rows: DataFrame, tolerance_ms: int, slices: range, watch) -> DataFrame:
+def _replay(spark: SparkSession, base: str, rows: DataFrame, tolerance_ms: int, slices: range, partitions: int, watch) -> DataFrame:
     """The pairs of the slices written under base, a micro-batch each."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(path(f"{base}/in/{slices[-1] + 1:04d}"))  # an empty one, so that there is a folder from the start
-    settings = {"spark.sql.streaming.stateStore.providerClass": PROVIDER, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": PROVIDER,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+    }
     before = {k: spark.conf.get(k, None) for k in settings}
     try:
         for k, v in settings.items():
